@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.plans import corpus
+from quire.plans import corpus, similarity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
-for _module in (corpus,):
+for _module in (corpus, similarity):
     QUERIES |= _module.QUERIES
     SQL |= _module.SQL

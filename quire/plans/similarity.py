@@ -1,0 +1,41 @@
+"""Near-duplicate books and variant names."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quire.operators import near_duplicates as nd
+from quire.runtime import table
+
+_WORDS, _THRESHOLD = 3, 0.5
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    members, links = nd.near_duplicates(table(spark, sf_dir, "book"), "book_id", "body", _WORDS, _THRESHOLD)
+    return nd.all_pairs(members, links).select(F.col("key_a").alias("book_id_a"), F.col("key_b").alias("book_id_b"))
+
+
+def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of nearly equal bodies with five-word shingles and similarity 0.8."""
+    members, links = nd.near_duplicates(table(spark, sf_dir, "book"), "book_id", "body")
+    return nd.groups(members, links).select(
+        F.col("key").alias("book_id"), F.col("group").alias("group_id"), "copies", "links"
+    )
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p4_groups)}
+SQL = {
+    "p4_found": r"""
+        WITH w AS (
+            SELECT book_id, regexp_extract_all(lower(body), '[\p{L}\p{M}\p{Nd}]+') AS w FROM book WHERE body IS NOT NULL),
+        s AS (
+            SELECT book_id, list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) AS s
+            FROM w WHERE len(w) >= 3),
+        e AS (SELECT book_id, len(s) AS n, unnest(s) AS g FROM s),
+        c AS (
+            SELECT a.book_id AS book_id_a, b.book_id AS book_id_b, a.n + b.n AS total, count(*) AS k
+            FROM e a JOIN e b ON a.g = b.g AND a.book_id < b.book_id
+            GROUP BY ALL)
+        SELECT book_id_a, book_id_b FROM c WHERE k >= 0.5 * (total - k)""",
+}
