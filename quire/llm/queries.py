@@ -5,11 +5,40 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quire.llm import leaks, mixing, pieces
+from quire.llm import languages, leaks, mixing, pieces, sentences
 from quire.runtime import table
 
 
+def _sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentences.paragraph_sentences(table(spark, sf_dir, "p"), table(spark, sf_dir, "book"))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sentences(spark, sf_dir).select(F.col("key").alias("para_id"), "end_char")
+
+
+def p1_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sentences(spark, sf_dir).withColumnRenamed("key", "para_id")
+
+
+def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.segment_languages(table(spark, sf_dir, "page"), "page_id", "page_body", "lang")
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.unnamed_languages(_segments(spark, sf_dir)).withColumnRenamed("key", "page_id")
+
+
+def p3_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _segments(spark, sf_dir).withColumnRenamed("key", "page_id")
+
+
+def p3_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.page_languages(_segments(spark, sf_dir)).withColumnRenamed("key", "page_id")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.exact_leaks(leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")))
 
@@ -49,7 +78,7 @@ def p8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p6_found, p6_leaks, p7_found, p7_plan, p7_mix, p7_report, p8_found, p8_pieces)
+    f.__name__: f for f in (p1_found, p1_sentences, p3_found, p3_segments, p3_pages, p6_found, p6_leaks, p7_found, p7_plan, p7_mix, p7_report, p8_found, p8_pieces)
 }
 
 _SIZE = "octet_length(encode(coalesce(text, '')))"
