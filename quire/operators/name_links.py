@@ -1,0 +1,222 @@
+"""Variant spellings of names: a trie join on name words, then word-order permutations.
+
+The words of all names of a book go into tries, sharded so that no task holds an
+unbounded book. Every word walks through the tries with a Levenshtein automaton
+(insertions, deletions, substitutions, swaps of neighbours), which gives its
+neighbours within a bounded distance. Names are linked where surname and given
+name are both neighbours, in either order; nicknames stand for their full names.
+Initials and bare titles are attached last, and only where one person fits.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from quire.functions import names as nm
+from quire.operators.graph import connected_components
+from quire.runtime import durable, spread
+
+#: Words of one trie shard.
+CELL = 4000
+#: Distance of surname and given name together.
+MAX_TOTAL = 2
+
+
+def bound(n: int) -> int:
+    """Admissible distance of a word of n letters."""
+    return 0 if n < 4 else 1 if n < 9 else 2
+
+
+class Trie:
+    """Prefix tree walked by a Levenshtein automaton with transpositions."""
+
+    def __init__(self, words: list[str]):
+        self.root: dict = {}
+        for word in words:
+            node = self.root
+            for c in word:
+                node = node.setdefault(c, {})
+            node[""] = word
+
+    def within(self, word: str, most: int) -> list[tuple[str, int]]:
+        """Words at optimal-string-alignment distance of at most ``most``.
+
+        The state of the automaton is the row of distances to all prefixes of
+        ``word``; a branch dies when no entry is within the bound.
+        """
+        n = len(word)
+        out = []
+        stack = [(self.root, "", list(range(n + 1)), None)]
+        while stack:
+            node, last, row, above = stack.pop()
+            for c, child in node.items():
+                if c == "":
+                    if row[n] <= most:
+                        out.append((child, row[n]))
+                    continue
+                new = [row[0] + 1]
+                for i in range(1, n + 1):
+                    d = min(new[i - 1] + 1, row[i] + 1, row[i - 1] + (word[i - 1] != c))
+                    if above is not None and i > 1 and word[i - 1] == last and word[i - 2] == c:
+                        d = min(d, above[i - 2] + 1)
+                    new.append(d)
+                if min(new) <= most or min(row) < most:
+                    stack.append((child, c, new, row))
+        return out
+
+
+_READ = (
+    "uid long, book string, kind string, s string, g string, mid string, title string, gender string, swapped boolean, nick boolean"
+)
+
+
+def read_records(characters: DataFrame) -> DataFrame:
+    """One row per reading of every record: its fields, its generic name and all its ``names``.
+
+    Fields in the wrong order give both orders; a nickname gives a row per full
+    name. Records without any readable name give none and are never linked.
+    """
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for uid, book, first, last, generic, gender, more in zip(
+                pdf["char_uid"], pdf["book_id"], pdf["first_name"], pdf["last_name"], pdf["generic_name"], pdf["gender"], pdf["more"]
+            ):
+                own = gender if isinstance(gender, str) else ""
+                typed = " ".join(x for x in (first, last) if isinstance(x, str) and x.strip())
+                seen = [*nm.read_name(typed), *nm.read_name(generic if isinstance(generic, str) else None)]
+                for name in more if more is not None else ():
+                    # what only the list of names says must be as full as the record's own name
+                    seen += [f for f in nm.read_name(name) if f.kind in ("full", "org", "title")]
+                if any(f.kind in ("full", "org") for f in seen):
+                    seen = [f for f in seen if f.kind in ("full", "org")]
+                for f in dict.fromkeys(seen):
+                    if f.kind == "single":
+                        continue
+                    sex = own or f.gender
+                    for g in nm.full_givens(f.given) if f.kind == "full" else (f.given,):
+                        rows.append((uid, book, f.kind, f.surname, g, f.middle, f.title, sex, False, g != f.given))
+                    if f.kind == "full":
+                        for g in nm.full_givens(f.surname):
+                            rows.append((uid, book, f.kind, f.given, g, f.middle, f.title, sex, True, g != f.surname))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _READ.split(", ")])
+
+    source = characters.where("char_uid is not null and book_id is not null").select(
+        "char_uid", "book_id", "first_name", "last_name", "generic_name", "gender", F.map_keys("names").alias("more")
+    )
+    return spread(source, "char_uid").mapInPandas(read, _READ).distinct()
+
+
+def neighbours(words: DataFrame, cell: int = CELL) -> DataFrame:
+    """(book, t1, t2, d): all ordered pairs of words of a book within the bound, themselves included."""
+    words = words.select("book", "word").where("word <> ''").distinct()
+    sizes = words.groupBy("book").agg(F.ceil(F.count(F.lit(1)) / cell).cast("int").alias("cells"))
+    placed = words.join(sizes, "book").withColumn("p", F.pmod(F.xxhash64("word"), F.col("cells")).cast("int"))
+    asks = placed.select("book", F.col("p").alias("i"), F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("j"), "word", F.lit(True).alias("ask"))
+    holds = placed.select("book", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("i"), F.col("p").alias("j"), "word", F.lit(False).alias("ask"))
+
+    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
+        trie = Trie(pdf.loc[~pdf["ask"], "word"].tolist())
+        rows = []
+        for word in pdf.loc[pdf["ask"], "word"]:
+            for other, d in trie.within(word, bound(len(word))):
+                if d <= bound(len(other)):
+                    rows.append((pdf["book"].iloc[0], word, other, d))
+        return pd.DataFrame(rows, columns=["book", "t1", "t2", "d"])
+
+    return asks.unionByName(holds).groupBy("book", "i", "j").applyInPandas(walk, "book string, t1 string, t2 string, d int")
+
+
+def _agree(a: str, b: str) -> F.Column:
+    """Equal or unknown on one side."""
+    return (F.col(a) == F.col(b)) | (F.col(a) == "") | (F.col(b) == "")
+
+
+def link_names(characters: DataFrame) -> DataFrame:
+    """(uid, book, entity): every record with a readable name and the person or
+    organisation it names within its book.
+
+    Records of different books are never linked. Two different genders or middle
+    initials never link. An initial or a bare title with a surname joins the one
+    entity of its book that fits it; where several fit it stays with its like.
+    """
+    read = durable(read_records(characters))
+    near = durable(
+        neighbours(
+            read.where("kind <> 'figure'").select("book", F.explode(F.array("s", "g")).alias("word")).where("not startswith(word, '#')")
+        )
+    )
+    same = read.where("startswith(g, '#')").select("book", F.col("g").alias("t1"), F.col("g").alias("t2"), F.lit(0).alias("d")).distinct()
+    given = near.unionByName(same)
+
+    strong = read.where("kind in ('full', 'org')")
+    forms = strong.select("book", "s", "g", "mid", "gender", "swapped").distinct().withColumn(
+        "form", F.concat(F.lit("f"), F.hex(F.xxhash64("book", "s", "g", "mid", "gender", "swapped")))
+    )
+    mine = forms.where("not swapped").select("book", F.col("s").alias("s1"), F.col("g").alias("g1"), F.col("mid").alias("m1"), F.col("gender").alias("x1"), F.col("form").alias("f1"))
+    theirs = forms.select("book", F.col("s").alias("s2"), F.col("g").alias("g2"), F.col("mid").alias("m2"), F.col("gender").alias("x2"), F.col("form").alias("f2"))
+    pairs = (
+        mine.join(near.select("book", F.col("t1").alias("s1"), F.col("t2").alias("s2"), F.col("d").alias("ds")), ["book", "s1"])
+        .join(given.select("book", F.col("t1").alias("g1"), F.col("t2").alias("g2"), F.col("d").alias("dg")), ["book", "g1"])
+        .where(F.col("ds") + F.col("dg") <= MAX_TOTAL)
+        .join(theirs, ["book", "s2", "g2"])
+        .where(F.col("f1") != F.col("f2"))
+        .where(_agree("m1", "m2") & _agree("x1", "x2"))
+        .select(F.col("f1").alias("a"), F.col("f2").alias("b"))
+    )
+    holders = strong.join(forms, ["book", "s", "g", "mid", "gender", "swapped"]).select(
+        F.concat(F.lit("r"), F.col("uid")).alias("a"), F.col("form").alias("b"), "uid", "book", "swapped"
+    )
+    figures = read.where("kind = 'figure'").select(
+        F.concat(F.lit("r"), F.col("uid")).alias("a"), F.concat(F.lit("g"), F.hex(F.xxhash64("book", "s"))).alias("b")
+    )
+    # a swapped reading counts only if it meets another record's straight one, which `pairs` says
+    edges = pairs.unionByName(holders.select("a", "b")).unionByName(figures)
+    entities = durable(
+        connected_components(edges, "a", "b").where("startswith(node, 'r')").select(
+            F.expr("substring(node, 2)").cast("long").alias("uid"), F.col("component").alias("entity")
+        )
+    )
+
+    known = strong.where("not swapped").join(entities, "uid").select("book", "s", F.substring("g", 1, 1).alias("i"), "gender", "title", "entity").distinct()
+    weak = read.where("kind in ('initial', 'title')").join(entities, "uid", "left_anti")
+    shapes = weak.select("book", "kind", "s", "g", "title", "gender").distinct()
+    fits = (
+        shapes.withColumnRenamed("gender", "x1").withColumnRenamed("title", "t").withColumnRenamed("s", "s1")
+        .join(near.select("book", F.col("t1").alias("s1"), F.col("t2").alias("s"), "d"), ["book", "s1"])
+        .join(known, ["book", "s"])
+        .where(_agree("x1", "gender") & ((F.col("kind") == "title") | (F.col("g") == F.col("i"))))
+        .where("not startswith(i, '#')")
+        .withColumn("rank", F.col("d") * 2 + F.when((F.col("kind") == "title") & (F.col("t") != F.col("title")), 1).otherwise(0))
+        .groupBy("book", "kind", F.col("s1").alias("s"), "g", F.col("t").alias("title"), F.col("x1").alias("gender"), "rank")
+        .agg(F.min("entity").alias("least"), F.max("entity").alias("most"))
+        .groupBy("book", "kind", "s", "g", "title", "gender")
+        .agg(F.min(F.struct("rank", "least", "most")).alias("best"))
+    )
+    placed = weak.join(fits, ["book", "kind", "s", "g", "title", "gender"], "left").select(
+        "uid",
+        "book",
+        F.when(F.col("best.least") == F.col("best.most"), F.col("best.least"))
+        .otherwise(F.concat(F.lit("w"), F.hex(F.xxhash64("book", "kind", "s", "g", "gender"))))
+        .alias("entity"),
+    )
+    strong_books = read.select("uid", "book").distinct().join(entities, "uid")
+    return strong_books.unionByName(placed).groupBy("uid", "book").agg(F.min("entity").alias("entity"))
+
+
+def entity_pairs(linked: DataFrame) -> DataFrame:
+    """All pairs of records of one entity, the smaller id first."""
+    a = linked.select("book", "entity", F.col("uid").alias("a"))
+    b = linked.select("book", "entity", F.col("uid").alias("b"))
+    return a.join(b, ["book", "entity"]).where("a < b").select("a", "b").distinct()
+
+
+def entity_groups(linked: DataFrame) -> DataFrame:
+    """One row per record: its entity, named by its least record, and its number of links."""
+    sizes = linked.groupBy("book", "entity").agg(F.min("uid").alias("group"), (F.count(F.lit(1)) - 1).alias("links"))
+    return linked.join(sizes, ["book", "entity"]).select("uid", "book", "group", "links")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.operators import name_links as nl
 from quire.operators import near_duplicates as nd
 from quire.runtime import table
 
@@ -24,7 +25,19 @@ def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_groups)}
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = nl.link_names(table(spark, sf_dir, "characters"))
+    return nl.entity_pairs(linked).select(F.col("a").alias("char_uid_a"), F.col("b").alias("char_uid_b"))
+
+
+def p5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = nl.link_names(table(spark, sf_dir, "characters"))
+    return nl.entity_groups(linked).select(
+        F.col("uid").alias("char_uid"), F.col("book").alias("book_id"), F.col("group").alias("entity_uid"), "links"
+    )
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p4_groups, p5_found, p5_groups)}
 SQL = {
     "p4_found": r"""
         WITH w AS (
