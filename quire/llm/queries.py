@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import languages, leaks, mixing, pieces, sentences
+from quire.llm import languages, leaks, mixing, pieces, scans, sentences
 from quire.runtime import table
 
 
@@ -23,6 +23,14 @@ def p1_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sentences(spark, sf_dir).withColumnRenamed("key", "para_id")
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.findings(table(spark, sf_dir, "page"))
+
+
+def p2_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.paragraphs(table(spark, sf_dir, "page"))
+
+
 def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.segment_languages(table(spark, sf_dir, "page"), "page_id", "page_body", "lang")
 
@@ -78,7 +86,7 @@ def p8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_sentences, p3_found, p3_segments, p3_pages, p6_found, p6_leaks, p7_found, p7_plan, p7_mix, p7_report, p8_found, p8_pieces)
+    f.__name__: f for f in (p1_found, p1_sentences, p2_found, p2_paragraphs, p3_found, p3_segments, p3_pages, p6_found, p6_leaks, p7_found, p7_plan, p7_mix, p7_report, p8_found, p8_pieces)
 }
 
 _SIZE = "octet_length(encode(coalesce(text, '')))"
