@@ -326,7 +326,7 @@ def label_lines(pages: DataFrame) -> DataFrame:
                 text = [i for i, s in enumerate(path) if s in (_B, _K)]
                 after = dict(zip(text, text[1:]))
                 indents = [len(lines[i][2]) - len(lines[i][2].lstrip()) for i in text]
-                usual = sorted(indents)[len(indents) // 4] if indents else 0
+                usual = sorted(indents)[len(indents) // 4] if len(indents) > 1 else 0
                 carried = False
                 blank = False
                 for i, (zone, number, line, blank_after) in enumerate(lines):
@@ -511,7 +511,7 @@ def paragraphs(pages: DataFrame) -> DataFrame:
     numbered = text.withColumn("part", bare).withColumn("start", F.when(F.col("starts"), F.struct("page_no", "page_id", "seq")))
     # the running "last start" keeps no more than one row in memory
     owned = numbered.withColumn("owner", F.last("start", ignorenulls=True).over(in_book))
-    owned = owned.withColumn("owner", F.coalesce("owner", F.struct("page_no", "page_id", F.lit(0).alias("seq"))))
+    owned = owned.withColumn("owner", F.coalesce("owner", F.first(F.struct("page_no", "page_id", "seq")).over(in_book)))
     built = owned.groupBy("book_id", "owner").agg(F.array_sort(F.collect_list(F.struct("page_no", "page_id", "seq", "part"))).alias("parts"))
     return built.select(
         "book_id",
