@@ -37,7 +37,7 @@ def shingle_sets(rows: DataFrame, key: str, text: str, words: int = 5) -> DataFr
     Null texts and texts of fewer words have no run and so no row: they are never
     near-duplicates. Rows without a key are left out.
     """
-    split = rows.select(
+    split = spread(rows.select(key, text)).select(
         F.col(key).alias("key"),
         F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"([\p{L}\p{M}\p{Nd}]+)"), F.lit(1)).alias("w"),
     ).where(F.col("key").isNotNull() & (F.size("w") >= words))
@@ -117,7 +117,7 @@ def similar_sets(sets: DataFrame, threshold: float = 0.8) -> DataFrame:
             yield pd.DataFrame({"key": keys, "sig": sigs, "n": sizes, "own": own})
 
     kind = sets.schema["key"].dataType.simpleString()
-    postings = spread(shared, "key").mapInPandas(index, f"key {kind}, sig long, n int, own boolean")
+    postings = shared.mapInPandas(index, f"key {kind}, sig long, n int, own boolean")
     postings = durable(postings)  # read three times below
     lists = postings.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     placed = (

@@ -55,13 +55,17 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_TASK_BYTES = 4 << 20
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give Python-heavy stages enough tasks when the input is only a few files.
+    """Give Python-heavy stages enough tasks when the input is only a few small files.
 
-    Inputs which already have as many partitions as the cluster has cores are
-    left alone, so nothing is shuffled at scale.
+    Judged by the optimiser's size estimate, so nothing is executed; inputs of
+    more than a few MB per core are left alone and nothing is shuffled at scale.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if estimate >= cores * _TASK_BYTES:
         return df
     return df.repartition(2 * cores, *keys)
