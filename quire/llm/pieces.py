@@ -180,10 +180,10 @@ def split_oversized(
     (ByT5); any other count must not exceed the sum over parts.
     """
     measured = size or utf8_len
+    docs = spread(docs.select("doc_id", "source", "text"), "doc_id")
     sized = with_limit(docs, limits).where("text is not null and _max is not null")
     if size is None:  # cheap test in the JVM before anything reaches Python
         sized = sized.where(F.octet_length("text") > F.col("_max"))
-    sized = spread(sized, "doc_id")
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
