@@ -1,11 +1,14 @@
-"""Corpus counts over annotated tokens."""
+"""Corpus counts and exports over the annotated tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quire.operators import analytics
+from quire.operators import analytics, annotation
+from quire.operators import characters as ch
 from quire.runtime import table
+from quire.sources import books, exports
 
 
 def lemma_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,9 +23,138 @@ def dep_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.value_counts(table(spark, sf_dir, "tokens"), "dependency_relation")
 
 
-QUERIES = {f.__name__: f for f in (lemma_counts, pos_counts, dep_counts)}
+def _spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "entities").select("book_id", F.col("start_tok_num").alias("start_tok"), F.col("end_tok_num").alias("end_tok"), "phrase", "ner")
+
+
+def lemma_counts_non_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.counts_outside(table(spark, sf_dir, "tokens"), "lemma", _spans(spark, sf_dir))
+
+
+def lemma_counts_non_character(spark: SparkSession, sf_dir: str) -> DataFrame:
+    people = ch.person_mentions(table(spark, sf_dir, "entities"))
+    often = ch.frequent_mentions(people)
+    return analytics.counts_outside(table(spark, sf_dir, "tokens"), "lemma", people.join(often, ["book_id", "phrase"], "left_semi"))
+
+
+def tokens_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exports.tokens_export(table(spark, sf_dir, "tokens")).select("book_id", "para_num", "sent_num", "tok_num_in_doc", "tok_num_in_para", "tok_num_in_sent")
+
+
+def entities_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = ch.person_mentions(table(spark, sf_dir, "entities"))
+    numbered = spans.withColumn("entity", F.col("start_tok").cast("long") * 100_000 + F.col("end_tok")).withColumn("tok_num", F.explode(F.sequence("start_tok", "end_tok")))
+    words = ch.distinct_tokens(table(spark, sf_dir, "tokens"))
+    return exports.entities_export(numbered.select("book_id", "entity", "tok_num", F.lit("PERSON").alias("ner")).join(words, ["book_id", "tok_num"]))
+
+
+def quotes_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exports.quotes_export(table(spark, sf_dir, "quotes"))
+
+
+def new_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return books.only_new(table(spark, sf_dir, "book").select("book_id", "lib_id"), table(spark, sf_dir, "page"), ["book_id"])
+
+
+def annotated_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paras = table(spark, sf_dir, "p").groupBy("book_id", "para_num").agg(F.min_by("text", "para_id").alias("text"))
+    return annotation.number_tokens(annotation.annotate(paras)).select("book_id", "para_num", "sent_num", "tok_num", "word", "pos_tag", "ner")
+
+
+def entity_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = table(spark, sf_dir, "tokens").select("book_id", F.col("tok_num_in_doc").alias("tok_num"), "ner").distinct()
+    return annotation.entity_spans(_spans(spark, sf_dir).drop("ner"), tokens).distinct()
+
+
+def resolved_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return annotation.resolve_overlaps(_spans(spark, sf_dir).where("start_tok is not null").select("book_id", "start_tok", "end_tok"), ["book_id"], "start_tok", "end_tok")
+
+
+def token_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = table(spark, sf_dir, "tokens").where("sent_num is not null").select(
+        "book_id", F.col("tok_num_in_doc").alias("tok_num"), F.concat_ws("/", "para_num", "sent_num").alias("sent_num"), F.col("dependency_head_token_num").alias("head_in_sent")
+    )
+    return annotation.global_heads(tokens.distinct()).select("book_id", "tok_num", "head_in_sent", "head")
+
+
+def quote_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes counted within paragraphs and moved back into the book."""
+    tokens = table(spark, sf_dir, "tokens").select("book_id", "para_num", F.col("tok_num_in_doc").alias("tok_num"))
+    first = tokens.groupBy("book_id", "para_num").agg(F.min("tok_num").alias("f"))
+    begin = table(spark, sf_dir, "quotes").select("book_id", F.col("begin_tok_num").alias("tok_num"), "end_tok_num").distinct()
+    local = begin.join(tokens.distinct(), ["book_id", "tok_num"]).join(first, ["book_id", "para_num"])
+    local = local.select("book_id", "para_num", (F.col("tok_num") - F.col("f")).alias("begin"), (F.col("end_tok_num") - F.col("f")).alias("end"))
+    return annotation.shift_spans(local, tokens, ["begin", "end"], by="para_num")
+
+
+def antecedents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mentions of one spelling as a chain."""
+    people = ch.person_mentions(table(spark, sf_dir, "entities"))
+    return annotation.antecedents(people.select("book_id", F.col("phrase").alias("chain"), "start_tok", "end_tok"))
+
+
+def sentence_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences by their first token, put into the paragraphs by the last token of each."""
+    tokens = table(spark, sf_dir, "tokens").where("sent_num is not null and para_num is not null").select("book_id", F.lit(1).alias("section"), "para_num", "sent_num", "tok_num_in_doc")
+    s = tokens.groupBy("book_id", "section", "para_num", "sent_num").agg(F.min("tok_num_in_doc").alias("start")).select("book_id", "section", "start", F.col("sent_num").alias("sent"))
+    p = tokens.groupBy("book_id", "section", "para_num").agg((F.max("tok_num_in_doc") + 1).alias("end_offset"))
+    return annotation.assign_paragraphs(s.distinct(), p.withColumn("end_offset", F.col("end_offset").cast("int"))).select("book_id", "start", "sent", "para_num")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        lemma_counts, pos_counts, dep_counts, lemma_counts_non_entity, lemma_counts_non_character, tokens_export, entities_export,
+        quotes_export, new_books, annotated_tokens, entity_spans, resolved_spans, token_heads, quote_offsets, antecedents, sentence_paragraphs,
+    )
+}
+
+_PEOPLE = """people AS (
+    SELECT book_id, start_tok_num AS a, end_tok_num AS b, min(phrase) AS phrase FROM entities
+    WHERE ner = 'PERSON' AND start_tok_num IS NOT NULL GROUP BY ALL)"""
+_WORDS = """words AS (
+    SELECT book_id, tok_num_in_doc AS tok, min(word) AS word FROM tokens WHERE tok_num_in_doc IS NOT NULL GROUP BY ALL)"""
 SQL = {
     "lemma_counts": "SELECT lemma, count(*) AS n FROM tokens WHERE lemma IS NOT NULL GROUP BY lemma",
     "pos_counts": "SELECT pos_tag, count(*) AS n FROM tokens WHERE pos_tag IS NOT NULL GROUP BY pos_tag",
     "dep_counts": "SELECT dependency_relation, count(*) AS n FROM tokens WHERE dependency_relation IS NOT NULL GROUP BY dependency_relation",
+    "lemma_counts_non_entity": """
+        SELECT lemma, count(*) AS n FROM tokens t WHERE lemma IS NOT NULL AND NOT EXISTS (
+            SELECT 1 FROM entities e WHERE e.book_id = t.book_id AND t.tok_num_in_doc BETWEEN e.start_tok_num AND e.end_tok_num)
+        GROUP BY lemma""",
+    "lemma_counts_non_character": f"""
+        WITH {_PEOPLE}, often AS (SELECT book_id, phrase FROM people WHERE phrase IS NOT NULL GROUP BY ALL HAVING count(*) >= 2),
+        spans AS (SELECT * FROM people JOIN often USING (book_id, phrase))
+        SELECT lemma, count(*) AS n FROM tokens t WHERE lemma IS NOT NULL AND NOT EXISTS (
+            SELECT 1 FROM spans e WHERE e.book_id = t.book_id AND t.tok_num_in_doc BETWEEN e.a AND e.b)
+        GROUP BY lemma""",
+    "tokens_export": """
+        WITH t AS (SELECT DISTINCT ON (book_id, tok_num_in_doc) * FROM tokens)
+        SELECT book_id, para_num, sent_num, tok_num_in_doc,
+               tok_num_in_doc - min(tok_num_in_doc) OVER (PARTITION BY book_id, para_num) AS tok_num_in_para,
+               tok_num_in_doc - min(tok_num_in_doc) OVER (PARTITION BY book_id, para_num, sent_num) AS tok_num_in_sent
+        FROM t""",
+    "entities_export": f"""
+        WITH {_PEOPLE}, {_WORDS}
+        SELECT p.book_id, min(w.tok) AS start_tok_num, max(w.tok) AS end_tok_num, string_agg(w.word, ' ' ORDER BY w.tok) AS phrase, 'PERSON' AS ner
+        FROM people p JOIN words w ON w.book_id = p.book_id AND w.tok BETWEEN p.a AND p.b GROUP BY p.book_id, p.a, p.b""",
+    "quotes_export": "SELECT DISTINCT book_id, mention, begin_tok_num, end_tok_num, begin_mention_tok_num, end_mention_tok_num FROM quotes",
+    "new_books": "SELECT book_id, lib_id FROM book WHERE book_id NOT IN (SELECT book_id FROM page WHERE book_id IS NOT NULL)",
+    "entity_spans": """
+        SELECT DISTINCT e.book_id, e.start_tok_num AS start_tok, e.end_tok_num AS end_tok, e.phrase, t.ner
+        FROM entities e JOIN tokens t ON t.book_id = e.book_id AND t.tok_num_in_doc = e.start_tok_num
+        WHERE t.ner IS NOT NULL AND t.ner <> 'O'""",
+    "token_heads": """
+        WITH t AS (SELECT DISTINCT book_id, tok_num_in_doc AS tok_num, para_num, sent_num, dependency_head_token_num AS head_in_sent
+                   FROM tokens WHERE sent_num IS NOT NULL)
+        SELECT book_id, tok_num, head_in_sent,
+               CASE WHEN head_in_sent > 0 THEN min(tok_num) OVER (PARTITION BY book_id, para_num, sent_num) + head_in_sent - 1 ELSE -1 END AS head
+        FROM t""",
+    "antecedents": f"""
+        WITH {_PEOPLE}, n AS (
+            SELECT *, row_number() OVER w AS k, first_value(a) OVER w AS fa, first_value(b) OVER w AS fb FROM people
+            WINDOW w AS (PARTITION BY book_id, phrase ORDER BY a, b)),
+        t AS (SELECT book_id, unnest(range(a, b + 1)) AS tok_num, phrase, k, fa, fb FROM n WHERE k > 1)
+        SELECT book_id, tok_num::INT AS tok_num, arg_max(fa, (phrase, k)) AS coref_start, arg_max(fb, (phrase, k)) AS coref_end
+        FROM t GROUP BY book_id, tok_num""",
 }
