@@ -116,7 +116,7 @@ def neighbours(words: DataFrame, cell: int = CELL) -> DataFrame:
     """(book, t1, t2, d): all ordered pairs of words of a book within the bound, themselves included."""
     words = words.select("book", "word").where("word <> ''").distinct()
     sizes = words.groupBy("book").agg(F.ceil(F.count(F.lit(1)) / cell).cast("int").alias("cells"))
-    placed = words.join(sizes, "book").withColumn("p", F.pmod(F.xxhash64("word"), F.col("cells")).cast("int"))
+    placed = words.join(sizes.hint("merge"), "book").withColumn("p", F.pmod(F.xxhash64("word"), F.col("cells")).cast("int"))
     asks = placed.select("book", F.col("p").alias("i"), F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("j"), "word", F.lit(True).alias("ask"))
     holds = placed.select("book", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("i"), F.col("p").alias("j"), "word", F.lit(False).alias("ask"))
 
@@ -129,7 +129,10 @@ def neighbours(words: DataFrame, cell: int = CELL) -> DataFrame:
                     rows.append((pdf["book"].iloc[0], word, other, d))
         return pd.DataFrame(rows, columns=["book", "t1", "t2", "d"])
 
-    return asks.unionByName(holds).groupBy("book", "i", "j").applyInPandas(walk, "book string, t1 string, t2 string, d int")
+    # little data, much work: the number of tasks is set, or they would be merged into one
+    parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = asks.unionByName(holds).repartition(parts, "book", "i", "j")
+    return cells.groupBy("book", "i", "j").applyInPandas(walk, "book string, t1 string, t2 string, d int")
 
 
 def _agree(a: str, b: str) -> F.Column:
@@ -161,35 +164,35 @@ def link_names(characters: DataFrame) -> DataFrame:
     mine = forms.where("not swapped").select("book", F.col("s").alias("s1"), F.col("g").alias("g1"), F.col("mid").alias("m1"), F.col("gender").alias("x1"), F.col("form").alias("f1"))
     theirs = forms.select("book", F.col("s").alias("s2"), F.col("g").alias("g2"), F.col("mid").alias("m2"), F.col("gender").alias("x2"), F.col("form").alias("f2"))
     pairs = (
-        mine.join(near.select("book", F.col("t1").alias("s1"), F.col("t2").alias("s2"), F.col("d").alias("ds")), ["book", "s1"])
-        .join(given.select("book", F.col("t1").alias("g1"), F.col("t2").alias("g2"), F.col("d").alias("dg")), ["book", "g1"])
+        mine.join(near.select("book", F.col("t1").alias("s1"), F.col("t2").alias("s2"), F.col("d").alias("ds")).hint("merge"), ["book", "s1"])
+        .join(given.select("book", F.col("t1").alias("g1"), F.col("t2").alias("g2"), F.col("d").alias("dg")).hint("merge"), ["book", "g1"])
         .where(F.col("ds") + F.col("dg") <= MAX_TOTAL)
-        .join(theirs, ["book", "s2", "g2"])
+        .join(theirs.hint("merge"), ["book", "s2", "g2"])
         .where(F.col("f1") != F.col("f2"))
         .where(_agree("m1", "m2") & _agree("x1", "x2"))
-        .select(F.col("f1").alias("a"), F.col("f2").alias("b"))
+        .select("book", F.col("f1").alias("a"), F.col("f2").alias("b"))
     )
-    holders = strong.join(forms, ["book", "s", "g", "mid", "gender", "swapped"]).select(
+    holders = strong.join(forms.hint("merge"), ["book", "s", "g", "mid", "gender", "swapped"]).select(
         F.concat(F.lit("r"), F.col("uid")).alias("a"), F.col("form").alias("b"), "uid", "book", "swapped"
     )
     figures = read.where("kind = 'figure'").select(
-        F.concat(F.lit("r"), F.col("uid")).alias("a"), F.concat(F.lit("g"), F.hex(F.xxhash64("book", "s"))).alias("b")
+        "book", F.concat(F.lit("r"), F.col("uid")).alias("a"), F.concat(F.lit("g"), F.hex(F.xxhash64("book", "s"))).alias("b")
     )
     # a swapped reading counts only if it meets another record's straight one, which `pairs` says
-    edges = pairs.unionByName(holders.select("a", "b")).unionByName(figures)
+    edges = pairs.unionByName(holders.select("book", "a", "b")).unionByName(figures)
     entities = durable(
-        connected_components(edges, "a", "b").where("startswith(node, 'r')").select(
+        connected_components(edges, "a", "b", near="book").where("startswith(node, 'r')").select(
             F.expr("substring(node, 2)").cast("long").alias("uid"), F.col("component").alias("entity")
         )
     )
 
-    known = strong.where("not swapped").join(entities, "uid").select("book", "s", F.substring("g", 1, 1).alias("i"), "gender", "title", "entity").distinct()
-    weak = read.where("kind in ('initial', 'title')").join(entities, "uid", "left_anti")
+    known = strong.where("not swapped").join(entities.hint("merge"), "uid").select("book", "s", F.substring("g", 1, 1).alias("i"), "gender", "title", "entity").distinct()
+    weak = read.where("kind in ('initial', 'title')").join(entities.hint("merge"), "uid", "left_anti")
     shapes = weak.select("book", "kind", "s", "g", "title", "gender").distinct()
     fits = (
         shapes.withColumnRenamed("gender", "x1").withColumnRenamed("title", "t").withColumnRenamed("s", "s1")
-        .join(near.select("book", F.col("t1").alias("s1"), F.col("t2").alias("s"), "d"), ["book", "s1"])
-        .join(known, ["book", "s"])
+        .join(near.select("book", F.col("t1").alias("s1"), F.col("t2").alias("s"), "d").hint("merge"), ["book", "s1"])
+        .join(known.hint("merge"), ["book", "s"])
         .where(_agree("x1", "gender") & ((F.col("kind") == "title") | (F.col("g") == F.col("i"))))
         .where("not startswith(i, '#')")
         .withColumn("rank", F.col("d") * 2 + F.when((F.col("kind") == "title") & (F.col("t") != F.col("title")), 1).otherwise(0))
@@ -198,22 +201,23 @@ def link_names(characters: DataFrame) -> DataFrame:
         .groupBy("book", "kind", "s", "g", "title", "gender")
         .agg(F.min(F.struct("rank", "least", "most")).alias("best"))
     )
-    placed = weak.join(fits, ["book", "kind", "s", "g", "title", "gender"], "left").select(
+    placed = weak.join(fits.hint("merge"), ["book", "kind", "s", "g", "title", "gender"], "left").select(
         "uid",
         "book",
         F.when(F.col("best.least") == F.col("best.most"), F.col("best.least"))
         .otherwise(F.concat(F.lit("w"), F.hex(F.xxhash64("book", "kind", "s", "g", "gender"))))
         .alias("entity"),
     )
-    strong_books = read.select("uid", "book").distinct().join(entities, "uid")
-    return strong_books.unionByName(placed).groupBy("uid", "book").agg(F.min("entity").alias("entity"))
+    strong_books = read.select("uid", "book").distinct().join(entities.hint("merge"), "uid")
+    # cut here: pairs and groups read the result twice
+    return durable(strong_books.unionByName(placed).groupBy("uid", "book").agg(F.min("entity").alias("entity")))
 
 
 def entity_pairs(linked: DataFrame) -> DataFrame:
     """All pairs of records of one entity, the smaller id first."""
     a = linked.select("book", "entity", F.col("uid").alias("a"))
     b = linked.select("book", "entity", F.col("uid").alias("b"))
-    return a.join(b, ["book", "entity"]).where("a < b").select("a", "b").distinct()
+    return a.join(b.hint("merge"), ["book", "entity"]).where("a < b").select("a", "b").distinct()
 
 
 def entity_groups(linked: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+from quire.operators import graph
 from quire.operators import near_duplicates as nd
 from quire.operators.graph import connected_components
 
@@ -67,3 +68,13 @@ def test_components(spark):
     got = {r.node: r.component for r in connected_components(df, "a", "b").collect()}
     assert got == {i: 0 for i in range(21)} | {100: 100, 101: 100, 102: 100}
     assert connected_components(df.limit(0), "a", "b").count() == 0
+
+
+def test_components_contracted_in_portions(spark, monkeypatch):
+    monkeypatch.setattr(graph, "PORTION", 7)
+    edges = [("x", f"n{i:02}", f"n{i + 1:02}") for i in range(30)] + [("y", f"m{i}", "m0") for i in range(9)] + [("y", "m3", "n05"), (None, "q", "p")]
+    df = spark.createDataFrame(edges, "k string, a string, b string")
+    got = {r.node: r.component for r in connected_components(df, "a", "b", near="k").collect()}
+    plain = {r.node: r.component for r in connected_components(df.where("k is not null"), "a", "b").collect()}
+    assert {k: v for k, v in got.items() if k not in ("p", "q")} == plain
+    assert set(plain.values()) == {"m0"}
