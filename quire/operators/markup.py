@@ -27,8 +27,8 @@ def text_span(lines: Sequence[str], starts: Sequence[str] = START_PREFIXES, ends
     """First and behind-last line of the text proper, by line index.
 
     A header line discards what was kept so far as long as at most ``RESET`` lines lie
-    between it and the first kept one; the block that follows the header without a
-    blank line is passed over, as are blank lines at both ends.
+    between it and the first kept one; a block of lines right behind the first kept line
+    is passed over (credits), as are blank lines at both ends.
     """
     starts, ends = tuple(starts), tuple(ends)
     begin: int | None = None
