@@ -183,7 +183,7 @@ def features(lines: list[tuple[int, int, str, bool]], recurs: dict, usual: dict)
         share = recurs.get((zone, number))
         size = len(line.strip()) / usual_size
         out[i] = (
-            places[i],
+            4 if forms[i] == 14 else places[i],  # a title page has no furniture but numbers
             forms[i],
             # both say nothing of text, at an edge or not; only then they add to the place
             0 if share is None or share < 0.2 else 1 if share < 0.5 else 2,
