@@ -297,7 +297,7 @@ def words_of(line: str) -> list[str]:
 
 _LINES = (
     "page_id long, book_id string, page_no int, zone int, line_no int, seq int, label string, line string, "
-    "starts boolean, words array<string>, half string, mark string, rest string, first string"
+    "starts boolean, words array<string>, half string, mark string, rest string, first string, carried boolean"
 )
 
 
@@ -305,8 +305,9 @@ def label_lines(pages: DataFrame) -> DataFrame:
     """Every line that isn't blank with its label, and the words broken at its ends.
 
     ``half`` is the first half of a word with a hyphen at the end of a text line,
-    ``rest`` what the next text line of the page begins with (null on the page's
-    last line), ``first`` the first word of the page's text on its first text line.
+    ``rest`` what the page's next text line that begins with a word begins with (null
+    where none follows), ``first`` that word on the first such line of the page,
+    ``carried`` a line that begins with the second half.
     ``starts`` marks a line that begins a paragraph. Pages without any line give no row.
     """
     source = pages.where("page_id is not null").select("page_id", "book_id", "page_no", "page_header", "page_body", "page_footer").dropDuplicates(["page_id"])
@@ -324,7 +325,8 @@ def label_lines(pages: DataFrame) -> DataFrame:
                     continue
                 path = viterbi(features(lines, *_read(stats)), parameters)
                 text = [i for i, s in enumerate(path) if s in (_B, _K)]
-                after = dict(zip(text, text[1:]))
+                # a word goes on where a line begins with letters, not at a number taken for text
+                worded = [i for i in text if _FIRST.match(lines[i][2])]
                 indents = [len(lines[i][2]) - len(lines[i][2].lstrip()) for i in text]
                 usual = sorted(indents)[len(indents) // 4] if len(indents) > 1 else 0
                 carried = False
@@ -333,25 +335,24 @@ def label_lines(pages: DataFrame) -> DataFrame:
                     own = path[i] in (_B, _K)
                     half = mark = rest = first = None
                     words: list[str] = []
+                    second = carried and i in worded
                     if own:
                         m = _HYPHEN.search(line)
                         body = line
-                        if carried:
+                        if second:
                             body = _FIRST.sub("", body, count=1)
-                        carried = False
+                            carried = False
                         if m and path[i] == _B:
                             half, mark = m.groups()
                             body = body[: max(0, len(body) - (len(line) - m.start()))]
-                            if i in after:
-                                n = _FIRST.match(lines[after[i]][2])
-                                rest = n.group(1) if n else None
-                                carried = n is not None
+                            if later := next((j for j in worded if j > i), None):
+                                rest = _FIRST.match(lines[later][2]).group(1)
+                                carried = True
                         words = words_of(body)
-                        if i == text[0]:
-                            n = _FIRST.match(line)
-                            first = n.group(1) if n else None
+                        if i in worded[:1]:
+                            first = _FIRST.match(line).group(1)
                     starts = own and (path[i] == _K or blank or len(line) - len(line.lstrip()) > usual + 1)
-                    rows.append((page, book, no, zone, number, i + 1, STATES[path[i]], line, bool(starts), words, half, mark, rest, first))
+                    rows.append((page, book, no, zone, number, i + 1, STATES[path[i]], line, bool(starts), words, half, mark, rest, first, second))
                     if own:
                         blank = blank_after or path[i] == _K
                     elif blank_after and zone == 1:
@@ -368,26 +369,38 @@ def broken_words(lines: DataFrame) -> DataFrame:
     """(page_id, seq, half, mark, rest, broken): words with a hyphen at a line's end.
 
     The second half comes from the next line or, at the end of a page, from the next
-    page of the book. ``broken`` is false for a compound: a word that the collection
-    prints with its hyphen within lines more often than without.
+    page of the book that has text. ``broken`` is false for a compound: a word that the
+    collection prints with its hyphen within lines more often than without. Where none
+    follows (end of the book, page without number) ``rest`` is null and the half alone decides: it is broken at a soft hyphen or not
+    sign, or if the collection prints it nowhere as a whole word.
     """
-    ahead = (
-        lines.where("first is not null and book_id is not null")
-        .groupBy("book_id", (F.col("page_no") - 1).alias("page_no"))
-        .agg(F.min_by("first", "page_id").alias("over"))
+    text = lines.where("label in ('text', 'break')")
+    inside = F.regexp_replace("line", r"[-‐‑¬\x{AD}]\s*$", "")
+    token = r"([\p{L}\p{M}]+(?:[-‐‑][\p{L}\p{M}]+)*)"
+    plain = lambda c: F.regexp_replace(c, _HYPHENS, "-")
+    pages = (
+        lines.where("first is not null and book_id is not null and page_no is not null")
+        .groupBy("book_id", "page_no")
+        .agg(F.min_by(F.struct("first", F.lower(F.regexp_extract("line", token, 1)).alias("token")), "page_id").alias("begin"))
     )
+    ahead = pages.select("book_id", "page_no", F.lead("begin").over(Window.partitionBy("book_id").orderBy("page_no")).alias("over"))
     last = lines.where("half is not null").join(ahead, ["book_id", "page_no"], "left")
-    ends = last.select("page_id", "seq", "half", "mark", F.coalesce("rest", "over").alias("rest"))
-    ends = ends.where("rest is not null").withColumn("joined", F.lower(F.concat("half", "rest"))).withColumn("compound", F.lower(F.concat_ws("-", "half", "rest")))
-    inside = F.regexp_replace("line", r"[-‐‑¬\x{AD}]\s*$", "")
+    ends = last.select("page_id", "seq", "half", "mark", F.coalesce("rest", "over.first").alias("rest"))
+    # without a second half the half itself is looked up
+    ends = ends.withColumn("joined", F.lower(F.concat("half", F.coalesce("rest", F.lit(""))))).withColumn("compound", F.lower(F.concat("half", F.lit("-"), "rest")))
+    cut = (F.col("carried") & (F.col("i") == 0)) | (F.col("half").isNotNull() & (F.col("i") == F.col("last")))
+    found = F.regexp_extract_all(F.lower(inside), F.lit(token), F.lit(1))
+    tokens = text.select("carried", "half", (F.size(found) - 1).alias("last"), F.posexplode(found).alias("i", "w"))
+    # second halves on a next page are no whole words either
+    second = last.where("rest is null and over.first is not null")
     printed = (
-        lines.where("label in ('text', 'break')")
-        .select(F.explode(F.regexp_extract_all(F.lower(inside), F.lit(r"([\p{L}\p{M}]+(?:[-‐‑][\p{L}\p{M}]+)*)"), F.lit(1))).alias("w"))
-        .groupBy(F.regexp_replace("w", _HYPHENS, "-").alias("w"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        tokens.select(plain("w").alias("w"), F.lit(1).alias("n"), F.when(cut, 0).otherwise(1).alias("free"))
+        .unionByName(second.select(plain("over.token").alias("w"), F.lit(0).alias("n"), F.lit(-1).alias("free")))
+        .groupBy("w")
+        .agg(F.sum("n").alias("n"), F.sum("free").alias("free"))
     )
     return (
-        ends.join(printed.select(F.col("w").alias("joined"), F.col("n").alias("whole")), "joined", "left")
+        ends.join(printed.select(F.col("w").alias("joined"), F.col("n").alias("whole"), "free"), "joined", "left")
         .join(printed.select(F.col("w").alias("compound"), F.col("n").alias("parted")), "compound", "left")
         .select(
             "page_id",
@@ -395,7 +408,10 @@ def broken_words(lines: DataFrame) -> DataFrame:
             "half",
             "mark",
             "rest",
-            (F.col("mark").isin("¬", "­") | (F.coalesce("parted", F.lit(0)) <= F.coalesce("whole", F.lit(0)))).alias("broken"),
+            (
+                F.col("mark").isin("¬", "­")
+                | F.when(F.col("rest").isNull(), F.coalesce("free", F.lit(0)) <= 0).otherwise(F.coalesce("parted", F.lit(0)) <= F.coalesce("whole", F.lit(0)))
+            ).alias("broken"),
         )
     )
 
@@ -468,7 +484,9 @@ def repair(pages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     every = whole.unionByName(joined)
     bad = misreadings(every.select("word"))
     # the second half of a broken word stands on the next line of text
-    following = text.select("page_id", "seq", F.lead("seq").over(Window.partitionBy("page_id").orderBy("seq")).alias("next"))
+    begins = F.when(F.col("line").rlike(r"(?U)^\W*[^\W\d_]"), F.col("seq"))
+    after = Window.partitionBy("page_id").orderBy("seq").rowsBetween(1, Window.unboundedFollowing)
+    following = text.select("page_id", "seq", F.first(begins, ignorenulls=True).over(after).alias("next"))
     misread = (
         every.join(bad, "word")
         .join(following, ["page_id", "seq"])
@@ -501,12 +519,13 @@ def paragraphs(pages: DataFrame) -> DataFrame:
     """
     lines, broken, misread = repair(pages)
     fixes = misread.groupBy("page_id", "seq").agg(F.map_from_entries(F.array_distinct(F.collect_list(F.struct("word", "meant")))).alias("fixes"))
-    text = lines.where("label in ('text', 'break')").join(broken.select("page_id", "seq", "broken"), ["page_id", "seq"], "left").join(fixes, ["page_id", "seq"], "left")
+    text = lines.where("label in ('text', 'break')").join(broken.select("page_id", "seq", "broken", F.col("rest").isNotNull().alias("goes_on")), ["page_id", "seq"], "left").join(fixes, ["page_id", "seq"], "left")
     fixed = F.when(
         F.col("fixes").isNotNull(),
         F.aggregate(F.map_entries("fixes"), F.trim("line"), lambda acc, e: F.replace(acc, e["key"], e["value"])),
     ).otherwise(F.trim("line"))
-    bare = F.when(F.col("broken"), F.regexp_replace(fixed, r"[-‐‑¬\x{AD}]\s*$", "")).when(F.col("half").isNotNull(), fixed).otherwise(F.concat(fixed, F.lit(" ")))
+    unhyphened = F.regexp_replace(fixed, r"[-‐‑¬\x{AD}]\s*$", "")
+    bare = F.when(F.col("broken") & F.col("goes_on"), unhyphened).when(F.col("broken"), F.concat(unhyphened, F.lit(" "))).when(F.col("half").isNotNull(), fixed).otherwise(F.concat(fixed, F.lit(" ")))
     in_book = Window.partitionBy("book_id").orderBy("page_no", "page_id", "seq")
     numbered = text.withColumn("part", bare).withColumn("start", F.when(F.col("starts"), F.struct("page_no", "page_id", "seq")))
     # the running "last start" keeps no more than one row in memory

@@ -67,6 +67,25 @@ def test_compounds_keep_their_hyphen(spark):
     assert got == {("well", "known"): False, ("lan", "tern"): True}
 
 
+def test_words_broken_at_a_page_end_without_a_next_page(spark):
+    pages = [
+        (1, "b", 1, None, "a widow crossed the quiet meadow and saw the lan-", None),
+        (2, "b", 2, None, "", None),  # a blank page, then a missing number
+        (3, "b", 4, None, "tern of the keeper beyond the orchard and the har-", None),
+        (4, "c", 1, None, "the keeper went well beyond the meadow and it was well-", None),
+        (5, "d", None, None, "the brother watched behind the window and the or¬", None),
+        (6, "d", 2, None, "chard was quiet and a brother came to the mar-\n  [8]\nket of the keeper and nobody watched it or the har-", None),
+        (7, "d", 4, None, "bour was not here, as the keeper said to a widow.", None),
+    ]
+    df = spark.createDataFrame(pages, SCHEMA)
+    _, broken, _ = scans.repair(df)
+    got = {(r.page_id, r.half, r.rest): r.broken for r in broken.collect()}
+    assert got == {(1, "lan", "tern"): True, (3, "har", None): True, (4, "well", None): False, (5, "or", None): True, (6, "mar", "ket"): True, (6, "har", "bour"): True}
+    assert {(r.page_id, r.line_no) for r in scans.findings(df).where("kind = 'hyphen'").collect()} == {(1, 1), (3, 1), (5, 1), (6, 1), (6, 3)}
+    texts = " | ".join(r.text for r in scans.paragraphs(df).collect())
+    assert "the lantern of" in texts and "the har-" not in texts and "was well-" in texts and "the harbour was" in texts
+
+
 def test_paragraphs_join_lines_and_pages(spark):
     pages = [
         (1, "b", 1, "HEAD", "    The first paragraph of this book ends on the next pa-", "1"),
