@@ -234,18 +234,15 @@ def _ll(k: F.Column, n: F.Column, p: F.Column) -> F.Column:
     return k * F.log(p) + (n - k) * F.log(1 - p)
 
 
-#: Thresholds of the statistics; the first two are those published with the method.
-ABBREVIATION, COLLOCATION, STARTER = 0.3, 7.88, 0.5
+#: Thresholds of the statistics; all but the last are those published with the method.
+ABBREVIATION, COLLOCATION, STARTER, SMALL = 0.3, 7.88, 30, 0.5
 
 
-def abbreviations(counts: DataFrame) -> DataFrame:
-    """(lang, type, abbr, ends): whether a word is an abbreviation, and how often, among
-    its capitalised followers, it ends a sentence.
+def _scored(counts: DataFrame) -> DataFrame:
+    """(lang, type, abbr): whether a word that stands before periods is an abbreviation.
 
     ``abbr`` compares "the period always belongs to the word" with "the period comes as
-    it comes", scaled by length, inner periods and occurrences without period. ``ends``
-    relates its share of followers that are sentence starters (words usually written
-    small) to the share after words that are no abbreviations.
+    it comes", scaled by length, inner periods and occurrences without period.
     """
     words = counts.where("what in ('period', 'plain')").groupBy("lang", F.col("a").alias("type")).agg(
         F.sum(F.when(F.col("what") == "period", F.col("n")).otherwise(0)).cast("double").alias("with"),
@@ -259,11 +256,23 @@ def abbreviations(counts: DataFrame) -> DataFrame:
     scored = words.where("with > 0").join(total, "lang").withColumn(
         "score", ratio * F.exp(-size.cast("double")) * (inner + 1) * F.pow(size.cast("double"), -F.least(F.col("without"), F.lit(200.0)))
     )
-    scored = scored.withColumn("abbr", (F.col("score") >= ABBREVIATION) | F.col("type").startswith("##") | (F.length("type") == 1))
-    case = starters(counts)
+    abbr = (F.col("score") >= ABBREVIATION) | F.col("type").startswith("##") | (F.length("type") == 1)
+    return scored.select("lang", "type", abbr.alias("abbr"))
+
+
+def abbreviations(counts: DataFrame) -> DataFrame:
+    """(lang, type, abbr, ends): whether a word is an abbreviation, and how often, among
+    its capitalised followers, it ends a sentence.
+
+    ``ends`` relates its share of followers that are usually written small to the share
+    after words that are no abbreviations. Learnt starters don't count here: they may be
+    names, which follow titles as well.
+    """
+    scored = _scored(counts)
+    case = usually_small(counts)
     after = counts.where("what = 'after'").select("lang", F.col("a").alias("type"), F.col("b").alias("next"), "n")
     followers = after.where("next <> '##'").join(case, ["lang", "next"], "left").groupBy("lang", "type").agg(
-        F.sum("n").cast("double").alias("caps"), F.sum(F.when(F.col("starter"), F.col("n")).otherwise(0)).cast("double").alias("begun")
+        F.sum("n").cast("double").alias("caps"), F.sum(F.when(F.col("small"), F.col("n")).otherwise(0)).cast("double").alias("begun")
     )
     joined = scored.join(followers, ["lang", "type"], "left")
     usual = joined.where("not abbr").groupBy("lang").agg((F.sum("begun") / F.sum("caps")).alias("usual"))
@@ -278,37 +287,70 @@ def abbreviations(counts: DataFrame) -> DataFrame:
     )
 
 
-def starters(counts: DataFrame) -> DataFrame:
-    """(lang, next, starter): words written small in most places where no sentence begins."""
+def usually_small(counts: DataFrame) -> DataFrame:
+    """(lang, next, small): words written small in most places where no sentence begins."""
     return (
         counts.where("what in ('lower', 'inner')")
         .groupBy("lang", F.col("a").alias("next"))
         .agg(
-            F.sum(F.when(F.col("what") == "lower", F.col("n")).otherwise(0)).alias("small"),
+            F.sum(F.when(F.col("what") == "lower", F.col("n")).otherwise(0)).alias("lower"),
             F.sum("n").alias("seen"),
         )
-        .select("lang", "next", (F.col("small") > STARTER * F.col("seen")).alias("starter"))
+        .select("lang", "next", (F.col("lower") > SMALL * F.col("seen")).alias("small"))
+    )
+
+
+def _dependence(k: F.Column, n1: F.Column, n2: F.Column, n: F.Column) -> F.Column:
+    """Log-likelihood ratio of k joint occurrences of events seen n1 and n2 times in n."""
+    p, rest = n2 / n, F.greatest(n - n1, F.lit(1.0))
+    return 2 * (_ll(k, n1, k / n1) + _ll(n2 - k, rest, (n2 - k) / rest) - _ll(k, n1, p) - _ll(n2 - k, rest, p))
+
+
+def starters(counts: DataFrame) -> DataFrame:
+    """(lang, next, starter): words that follow sure sentence ends (full stops after words
+    that are no abbreviations, numbers or initials) far more often than their overall
+    count lets expect, by the log-likelihood ratio."""
+    after = counts.where("what = 'after' and b not in ('', '##')").select("lang", F.col("a").alias("type"), F.col("b").alias("next"), "n")
+    sure = after.join(_scored(counts).where("not abbr"), ["lang", "type"]).groupBy("lang", "next").agg(F.sum("n").cast("double").alias("k"))
+    breaks = sure.groupBy("lang").agg(F.sum("k").alias("n1"))
+    words = counts.where("what in ('period', 'plain')").groupBy("lang", F.col("a").alias("next")).agg(F.sum("n").cast("double").alias("seen"))
+    total = words.groupBy("lang").agg(F.sum("seen").alias("all"))
+    k, n1, n2, n = F.col("k"), F.col("n1"), F.greatest("seen", "k"), F.col("all")
+    return (
+        sure.join(words, ["lang", "next"])
+        .join(breaks, "lang")
+        .join(total, "lang")
+        .select("lang", "next", ((k * n > n1 * n2) & (_dependence(k, n1, n2, n) >= STARTER)).alias("starter"))
+    )
+
+
+def beginnings(counts: DataFrame) -> DataFrame:
+    """(lang, next, begins): words whose capital tells of a sentence's begin after an
+    abbreviation: learnt starters, and words usually written small."""
+    return (
+        starters(counts)
+        .join(usually_small(counts), ["lang", "next"], "full")
+        .select("lang", "next", (F.coalesce("starter", F.lit(False)) | F.coalesce("small", F.lit(False))).alias("begins"))
     )
 
 
-def collocations(counts: DataFrame) -> DataFrame:
+def collocations(counts: DataFrame, begins: DataFrame) -> DataFrame:
     """(lang, type, next): pairs across a period that occur together far above chance,
     one of them a number and the second no sentence starter (months after ordinals,
-    numbers after "No.")."""
+    numbers after "No."). ``begins`` is that of ``beginnings``."""
     after = counts.where("what = 'after'").select("lang", F.col("a").alias("type"), F.col("b").alias("next"), F.col("n").cast("double").alias("k"))
     first = after.groupBy("lang", "type").agg(F.sum("k").alias("n1"))
     second = after.groupBy("lang", "next").agg(F.sum("k").alias("n2"))
     both = after.groupBy("lang").agg(F.sum("k").alias("all"))
     k, n1, n2, n = F.col("k"), F.col("n1"), F.col("n2"), F.col("all")
-    p, rest = n2 / n, F.greatest(n - n1, F.lit(1.0))
-    ratio = 2 * (_ll(k, n1, k / n1) + _ll(n2 - k, rest, (n2 - k) / rest) - _ll(k, n1, p) - _ll(n2 - k, rest, p))
+    ratio = _dependence(k, n1, n2, n)
     return (
         after.where("startswith(type, '##') or next = '##'")
         .join(first, ["lang", "type"])
         .join(second, ["lang", "next"])
         .join(both, "lang")
-        .join(starters(counts), ["lang", "next"], "left")
-        .where(~F.coalesce("starter", F.lit(False)) & (k > 1) & (k * n > n1 * n2) & (ratio >= COLLOCATION))
+        .join(begins, ["lang", "next"], "left")
+        .where(~F.coalesce("begins", F.lit(False)) & (k > 1) & (k * n > n1 * n2) & (ratio >= COLLOCATION))
         .select("lang", "type", "next", F.lit(True).alias("bound"))
     )
 
@@ -349,16 +391,17 @@ def split_sentences(texts: DataFrame) -> DataFrame:
             )
 
     counts = durable(learn_counts(source))
+    begins = durable(beginnings(counts))
     found = source.select("key", "lang", "text").mapInPandas(find, _CANDIDATE.format(kind))
     settled = found.where("rule in ('sure', 'final')").select("key", "end", "words", F.lit(True).alias("ends"), F.lit(0).alias("least"))
     stops = (
         found.where("rule = 'stop'")
         .join(abbreviations(counts).withColumnRenamed("ends", "often"), ["lang", "type"], "left")
-        .join(starters(counts), ["lang", "next"], "left")
+        .join(begins, ["lang", "next"], "left")
         .withColumn("pair", F.when(F.col("case") == "digit", F.lit("##")).otherwise(F.col("next")))
-        .join(collocations(counts).withColumnRenamed("next", "pair"), ["lang", "type", "pair"], "left")
+        .join(collocations(counts, begins).withColumnRenamed("next", "pair"), ["lang", "type", "pair"], "left")
     )
-    starter, often = F.coalesce("starter", F.lit(False)), F.coalesce("often", F.lit(0.0))
+    starter, often = F.coalesce("begins", F.lit(False)), F.coalesce("often", F.lit(0.0))
     stops = stops.select(
         "key",
         "end",

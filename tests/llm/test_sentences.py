@@ -72,3 +72,13 @@ def test_thai_spaces(spark):
     df = spark.createDataFrame(rows, "key long, text string, lang string")
     out = st.split_sentences(df).where("key = 0").orderBy("sent_no").collect()
     assert [r.text for r in out] == ["ชาวนาซื้อบ้าน 15 หลัง ในคืนนั้น", "ครูเฒ่าขายม้า"]
+
+
+def test_starters_are_learnt_from_what_follows_sentence_ends(spark):
+    # "Abend" is never written small, "schloss" is seen small once and opens no sentence
+    text = "Das Haus im Land war sehr alt. Abend kam über das Land. Die Leute gingen heim nach Wald. Abend war es, als alt und jung heim zum Wald ging."
+    rows = [(i, text, "de") for i in range(60)] + [(100, "Da war ein Graf im schloss.", "de")]
+    counts = st.learn_counts(spark.createDataFrame(rows, "key long, text string, lang string"))
+    got = {r.next: r.starter for r in st.starters(counts).collect()}
+    assert got["abend"] and got["die"]
+    assert not got.get("schloss") and not got.get("wald")
