@@ -159,7 +159,10 @@ def candidates(text: str) -> list[tuple[int, str, str, str, str, int]]:
             if case == "none" and closed and _reports(text, end):
                 continue
             following = _NEXT.match(text, at)
-            out.append((end, "stop", _kind(word), following.group().lower() if following else "", case, before(end)))
+            after = following.group().lower() if following else ""
+            if len(after) == 1 and after.isalpha() and text[following.end() : following.end() + 1] == ".":
+                after += "."  # an initial, not the word of one letter
+            out.append((end, "stop", _kind(word), after, case, before(end)))
             continue
         if case == "lower":
             continue
@@ -239,7 +242,8 @@ ABBREVIATION, COLLOCATION, STARTER, SMALL = 0.3, 7.88, 30, 0.5
 
 
 def _scored(counts: DataFrame) -> DataFrame:
-    """(lang, type, abbr): whether a word that stands before periods is an abbreviation.
+    """(lang, type, abbr, common): whether a word that stands before periods is an
+    abbreviation, and whether it is printed without period more often than with it.
 
     ``abbr`` compares "the period always belongs to the word" with "the period comes as
     it comes", scaled by length, inner periods and occurrences without period.
@@ -257,12 +261,12 @@ def _scored(counts: DataFrame) -> DataFrame:
         "score", ratio * F.exp(-size.cast("double")) * (inner + 1) * F.pow(size.cast("double"), -F.least(F.col("without"), F.lit(200.0)))
     )
     abbr = (F.col("score") >= ABBREVIATION) | F.col("type").startswith("##") | (F.length("type") == 1)
-    return scored.select("lang", "type", abbr.alias("abbr"))
+    return scored.select("lang", "type", abbr.alias("abbr"), (F.col("without") > F.col("with")).alias("common"))
 
 
 def abbreviations(counts: DataFrame) -> DataFrame:
-    """(lang, type, abbr, ends): whether a word is an abbreviation, and how often, among
-    its capitalised followers, it ends a sentence.
+    """(lang, type, abbr, common, ends): whether a word is an abbreviation, whether it is
+    common without period, and how often, among its capitalised followers, it ends a sentence.
 
     ``ends`` relates its share of followers that are usually written small to the share
     after words that are no abbreviations. Learnt starters don't count here: they may be
@@ -280,6 +284,7 @@ def abbreviations(counts: DataFrame) -> DataFrame:
         "lang",
         "type",
         "abbr",
+        "common",
         # without capitals (or without plain stops) in a language nothing tells: an abbreviation ends nothing
         F.when(F.col("caps") > 0, F.least(F.lit(1.0), F.col("begun") / F.col("caps") / F.greatest(F.coalesce("usual", F.lit(1.0)), F.lit(0.05))))
         .otherwise(0.0)
@@ -367,7 +372,8 @@ def thai_starters(counts: DataFrame) -> DataFrame:
 
 
 _CANDIDATE = "key {0}, lang string, end int, rule string, type string, next string, case string, words int"
-#: A sentence that would end at an abbreviation before a capital has at least so many words.
+#: A sentence that would end at an abbreviation has at least so many words, unless
+#: that is a number or, before no initial, a word printed without period more often than with it.
 SHORTEST = 5
 
 
@@ -413,7 +419,7 @@ def split_sentences(texts: DataFrame) -> DataFrame:
         .when(starter, often >= 0.05)
         .otherwise(often >= 0.25)
         .alias("ends"),
-        F.when(F.coalesce("abbr", F.lit(False)), SHORTEST).otherwise(0).alias("least"),
+        F.when(F.coalesce("abbr", F.lit(False)) & ~F.col("type").startswith("##") & (~F.coalesce("common", F.lit(False)) | F.col("next").endswith(".")), SHORTEST).otherwise(0).alias("least"),
     )
     spaces = (
         found.where("rule = 'thai'")

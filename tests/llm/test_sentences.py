@@ -82,3 +82,10 @@ def test_starters_are_learnt_from_what_follows_sentence_ends(spark):
     got = {r.next: r.starter for r in st.starters(counts).collect()}
     assert got["abend"] and got["die"]
     assert not got.get("schloss") and not got.get("wald")
+
+
+def test_short_sentences_end_at_numbers_and_common_letters(spark):
+    text = "It was 1842. He left. So do I. He left and I saw that he was gone. Then he and I met them in the old town."
+    df = spark.createDataFrame([(i, text, "en") for i in range(40)], "key long, text string, lang string")
+    got = [r.text for r in st.split_sentences(df).where("key = 0").orderBy("sent_no").collect()]
+    assert got[:3] == ["It was 1842.", "He left.", "So do I."]
