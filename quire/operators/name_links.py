@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import names as nm
 from quire.operators.graph import connected_components
-from quire.runtime import durable, spread
+from quire.runtime import balanced, durable
 
 #: Words of one trie shard.
 CELL = 4000
@@ -109,7 +109,7 @@ def read_records(characters: DataFrame) -> DataFrame:
     source = characters.where("char_uid is not null and book_id is not null").select(
         "char_uid", "book_id", "first_name", "last_name", "generic_name", "gender", F.map_keys("names").alias("more")
     )
-    return spread(source, "char_uid").mapInPandas(read, _READ).distinct()
+    return balanced(source, "char_uid").mapInPandas(read, _READ).distinct()
 
 
 def neighbours(words: DataFrame, cell: int = CELL) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.operators.graph import connected_components
-from quire.runtime import durable, spread
+from quire.runtime import durable
 
 #: Document frequency up to which a token is indexed alone, and in pairs; beyond, in triples.
 SINGLE_DF, PAIR_DF = 8, 512
@@ -37,7 +37,7 @@ def shingle_sets(rows: DataFrame, key: str, text: str, words: int = 5) -> DataFr
     Null texts and texts of fewer words have no run and so no row: they are never
     near-duplicates. Rows without a key are left out.
     """
-    split = spread(rows.select(key, text)).select(
+    split = rows.select(key, text).select(
         F.col(key).alias("key"),
         F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"([\p{L}\p{M}\p{Nd}]+)"), F.lit(1)).alias("w"),
     ).where(F.col("key").isNotNull() & (F.size("w") >= words))

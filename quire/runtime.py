@@ -1,4 +1,4 @@
-"""Session helpers shared by every operator: table access, durable cuts, spreading."""
+"""Session helpers shared by every operator: table access, durable cuts, balancing."""
 
 from __future__ import annotations
 
@@ -39,13 +39,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset
-    (tests, notebooks) a folder of the local machine is used.
+    A folder already given to the context stands; else the cluster names it in
+    ``spark.checkpoint.dir``. Only a session on one machine (``local``) may do without
+    and gets a folder of that machine; on a cluster that is an error, since such a
+    folder is lost with its executor.
     """
+    context = spark.sparkContext
+    if folder := context.getCheckpointDir():
+        return folder
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = os.path.join(tempfile.gettempdir(), "quire-checkpoints")
-        spark.sparkContext.setCheckpointDir(folder)
+    context.setCheckpointDir(folder)
     return folder
 
 
@@ -55,17 +62,15 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-_TASK_BYTES = 4 << 20
+def task_count(spark: SparkSession) -> int:
+    """Tasks of a stage of Python work: those of a shuffle, and at least one per core."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give Python-heavy stages enough tasks when the input is only a few small files.
+def balanced(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt evenly to the tasks of a Python-heavy stage, whatever files they come in.
 
-    Judged by the optimiser's size estimate, so nothing is executed; inputs of
-    more than a few MB per core are left alone and nothing is shuffled at scale.
+    Always shuffles, at every size, so it is used only where the Python work on a row
+    costs far more than moving it.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if estimate >= cores * _TASK_BYTES:
-        return df
-    return df.repartition(2 * cores, *keys)
+    return df.repartition(task_count(df.sparkSession), *keys)
