@@ -5,9 +5,10 @@ language's character n-gram model; expectation-maximisation estimates the page's
 proportions, a penalised likelihood selects its set of languages, and a Viterbi
 pass over the selected languages parts the text into stretches.
 
-The n-gram models are learnt from all pages: first from their (unreliable)
-labels, then again from the languages inferred for every word. A model is an array
-of fixed size, so what is sent to the workers doesn't grow with the data.
+The n-gram models are fitted to a bounded sample of the pages: first by their
+(unreliable) labels, then again by the languages inferred for every word. A model is
+an array of fixed size, so what is sent to the workers doesn't grow with the data.
+Every page is then read whole, once. Texts are scored many at a time.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.runtime import spread
+from quire.runtime import balanced, durable
 
 LANGUAGES: tuple[str, ...] = ("en", "fr", "de", "es", "it", "ru", "zh", "ja", "th", "hi")
 
@@ -86,59 +87,87 @@ def _classes() -> np.ndarray:
 
 
 class Units:
-    """Words of a text (single characters in scripts without spaces) and their n-gram buckets."""
+    """Words of some texts (single characters in scripts without spaces) and their n-gram buckets.
 
-    def __init__(self, text: str):
-        low = text.lower()
-        if len(low) != len(text):  # some capitals lower to two code points
-            low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
-        codes = np.frombuffer(low.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    All texts are taken at once; ``owner`` bounds the units of each text.
+    """
+
+    def __init__(self, *texts: str):
+        low = "\n".join(texts)
+        size = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
+        begin = np.concatenate(([0], np.cumsum(size)))
+        lowered = low.lower()
+        if len(lowered) != len(low):  # some capitals lower to two code points
+            lowered = "".join(c.lower() if len(c.lower()) == 1 else c for c in low)
+        codes = np.frombuffer(lowered.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         kind = _classes()[codes]
         letter = kind > 0
         at = np.flatnonzero(letter)
         # a unit begins at a letter after no letter, and at every solo letter and mark of its kind
         fresh = letter & (np.concatenate(([True], ~letter[:-1])) | (kind == _SOLO) | np.concatenate(([False], kind[:-1] == _SOLO)))
-        padded = np.where(letter, codes, 32).astype(np.uint64)
-        padded = np.concatenate((np.full(3, 32, dtype=np.uint64), padded))
-        inside = np.concatenate((np.zeros(3, dtype=bool), letter))
         n = len(codes)
-        grams, valid = [], []
+        padded = np.full(n + 3, 32, dtype=np.uint64)
+        padded[3:][letter] = codes[letter]
+        inside = np.concatenate((np.zeros(3, dtype=bool), letter))
+        parts = [padded[at + 3 - j] for j in range(max(ORDERS))]
+        within = [inside[at + 3 - j] for j in range(max(ORDERS))]
+        self.grams = []
         for k in ORDERS:
-            h = np.full(n, _MIXERS[k - 1], dtype=np.uint64)
-            ok = letter.copy()
+            h = np.full(len(at), _MIXERS[k - 1], dtype=np.uint64)
+            ok = np.ones(len(at), dtype=bool)
             for j in range(k):
-                part = padded[3 - j : 3 - j + n]
-                h = (h ^ part) * _MIXERS[(k + j) % 4]
+                h ^= parts[j]
+                h *= _MIXERS[(k + j) % 4]
                 h ^= h >> np.uint64(31)
                 if 0 < j < k - 1:  # a space may only stand in front
-                    ok &= inside[3 - j : 3 - j + n]
-            grams.append((h >> np.uint64(49)).astype(np.int64))
-            valid.append(ok)
-        self.grams = [g[at] for g in grams]
-        self.valid = [v[at] for v in valid]
+                    ok &= within[j]
+            g = (h >> np.uint64(49)).astype(np.int64)
+            g[~ok] = BUCKETS  # no gram: a bucket of its own
+            self.grams.append(g)
         self.starts = np.flatnonzero(fresh[at])
-        self.first = at[self.starts] if len(at) else np.zeros(0, dtype=np.int64)
-        ends = np.concatenate((self.starts[1:], [len(at)])) if len(at) else np.zeros(0, dtype=np.int64)
+        ends = np.concatenate((self.starts[1:], [len(at)])).astype(np.int64) if len(at) else np.zeros(0, dtype=np.int64)
+        self.first = at[self.starts]
         self.last = at[ends - 1] + 1 if len(at) else np.zeros(0, dtype=np.int64)
         self.weight = np.where(kind[self.first] == _SOLO, round(10 / CHARS_PER_WORD), 10) if len(at) else np.zeros(0, dtype=np.int64)  # in tenths of a word
-        self.unit_of = np.repeat(np.arange(len(self.starts)), ends - self.starts) if len(at) else np.zeros(0, dtype=np.int64)
+        self.unit_of = np.repeat(np.arange(len(self.starts)), ends - self.starts)
+        self.begin = begin[:-1]
+        self.owner = np.searchsorted(self.first, begin)
 
     def __len__(self) -> int:
         return len(self.starts)
 
     def scores(self, model: np.ndarray) -> np.ndarray:
         """Log-likelihood of every unit under every language: geometric mean over the orders."""
-        total = np.zeros((len(self.unit_of), model.shape[2]))
-        for k, (g, v) in enumerate(zip(self.grams, self.valid)):
-            total += np.where(v[:, None], model[k][g], 0.0)
-        return np.add.reduceat(total, self.starts, axis=0) / len(ORDERS) if len(self) else np.zeros((0, model.shape[2]))
+        if not len(self):
+            return np.zeros((0, model.shape[2]), dtype=np.float32)
+        total = np.take(model[0], self.grams[0], axis=0)
+        for k in range(1, len(ORDERS)):
+            total += np.take(model[k], self.grams[k], axis=0)
+        return np.add.reduceat(total, self.starts, axis=0) / len(ORDERS)
 
     def count(self, language: np.ndarray, counts: np.ndarray) -> None:
         """Add the n-grams of every unit to its language's counts (-1: to none)."""
         own = language[self.unit_of]
-        for k, (g, v) in enumerate(zip(self.grams, self.valid)):
-            ok = v & (own >= 0)
-            np.add.at(counts[k], (g[ok], own[ok]), 1)
+        width = counts.shape[2]
+        for k, g in enumerate(self.grams):
+            ok = (g < BUCKETS) & (own >= 0)
+            counts[k] += np.bincount(g[ok] * width + own[ok], minlength=BUCKETS * width).reshape(BUCKETS, width)
+
+
+#: Characters that are scored at once; a longer text is scored alone.
+CHUNK = 1 << 17
+
+
+def chunks(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
+    """(index of the first text, texts) of at most ``CHUNK`` characters in all, or one longer text."""
+    begin, size = 0, 0
+    for i, t in enumerate(texts):
+        if i > begin and size + len(t) > CHUNK:
+            yield begin, texts[begin:i]
+            begin, size = i, 0
+        size += len(t)
+    if texts:
+        yield begin, texts[begin:]
 
 
 def _seed_counts(languages: tuple[str, ...]) -> np.ndarray:
@@ -150,36 +179,59 @@ def _seed_counts(languages: tuple[str, ...]) -> np.ndarray:
 
 
 def _log_model(counts: np.ndarray) -> np.ndarray:
+    """Log-probabilities; the last bucket is that of no gram and says nothing."""
     smooth = 0.05
-    return np.log((counts + smooth) / (counts.sum(axis=1, keepdims=True) + smooth * BUCKETS)).astype(np.float32)
+    model = np.log((counts + smooth) / (counts.sum(axis=1, keepdims=True) + smooth * BUCKETS))
+    return np.concatenate((model, np.zeros((len(ORDERS), 1, counts.shape[2]))), axis=1).astype(np.float32)
 
 
-def mixture(scores: np.ndarray, allowed: list[int], rounds: int = 12) -> tuple[np.ndarray, float]:
-    """Proportions of the allowed languages by EM, and the log-likelihood."""
-    own = scores[:, allowed]
+#: EM has converged when no other proportions could gain more nats than that.
+CONVERGED = 0.01
+
+
+def mixture(scores: np.ndarray, allowed: list[int], worth: float = -np.inf) -> tuple[np.ndarray, float]:
+    """Proportions of the allowed languages by EM, and the log-likelihood.
+
+    The likelihood is concave in the proportions, so the steepest direction bounds what
+    is still to gain: EM goes on until that is below ``CONVERGED``, or until the bound
+    shows that ``worth`` cannot be reached.
+    """
+    own = scores[:, allowed].astype(np.float64)
     top = own.max(axis=1, keepdims=True)
     like = np.exp(own - top)
+    base = float(top.sum())
     share = np.full(len(allowed), 1 / len(allowed))
-    for _ in range(rounds):
-        joint = like * share
-        share = (joint / joint.sum(axis=1, keepdims=True)).mean(axis=0)
-    return share, float((np.log((like * share).sum(axis=1)) + top[:, 0]).sum())
-
-
-def select_languages(scores: np.ndarray) -> list[int]:
-    """Languages of a text: added one by one while the penalised likelihood grows."""
-    chosen = [int(np.argmax(scores.sum(axis=0)))]
-    best = scores[:, chosen[0]].sum()
+    while True:
+        whole = like @ share
+        reached = float(np.log(whole).sum()) + base
+        slope = (like / whole[:, None]).mean(axis=0)
+        more = len(own) * (slope.max() - 1)
+        if more <= CONVERGED or reached + more <= worth:
+            return share, reached
+        share = share * slope
+
+
+def _needed(n: np.ndarray | int) -> np.ndarray:
+    """Nats that a further language of a text of n units must gain."""
+    return PENALTY + 0.5 * np.log(n)
+
+
+def select_languages(scores: np.ndarray, chosen: list[int], best: float) -> list[int]:
+    """Languages of a text beyond those chosen: added one by one, the one of the largest
+    likelihood first, while the penalised likelihood grows. Every language whose bound
+    of gain passes the penalty is tried."""
+    chosen = list(chosen)
+    need = float(_needed(len(scores)))
     while len(chosen) < scores.shape[1]:
         # what a further language could gain at most, without the cost of mixing
         gain = np.maximum(scores - scores[:, chosen].max(axis=1, keepdims=True), 0).sum(axis=0)
         gain[chosen] = -1
         found = None
-        for lang in np.argsort(-gain)[:3]:
-            if gain[lang] <= PENALTY:
+        for lang in np.argsort(-gain):
+            if gain[lang] <= need:
                 break
-            _, like = mixture(scores, [*chosen, int(lang)])
-            if like - best > PENALTY + 0.5 * np.log(len(scores)) and (found is None or like > found[0]):
+            _, like = mixture(scores, [*chosen, int(lang)], worth=best + need)
+            if like - best > need and (found is None or like > found[0]):
                 found = like, int(lang)
         if found is None:
             break
@@ -188,56 +240,175 @@ def select_languages(scores: np.ndarray) -> list[int]:
     return chosen
 
 
+def _second(scores: np.ndarray, owner: np.ndarray, main: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """Gain in log-likelihood of a second language beside the main one, by EM, for all
+    (text, language) pairs of a chunk at once; what cannot pass the penalty is given up."""
+    text, lang = pairs[:, 0], pairs[:, 1]
+    n = owner[text + 1] - owner[text]
+    need = _needed(n)
+    cuts = np.concatenate(([0], np.cumsum(n)))
+    unit = np.repeat(owner[text] - cuts[:-1], n) + np.arange(cuts[-1])
+    ratio = np.exp(np.minimum(scores[unit, np.repeat(lang, n)].astype(np.float64) - scores[unit, np.repeat(main[text], n)], 300.0))
+    share = np.full(len(pairs), 0.5)
+    out = np.zeros(len(pairs))
+    left = np.arange(len(pairs))
+    while len(left):
+        whole = 1 + np.repeat(share, n) * (ratio - 1)
+        gain = np.add.reduceat(np.log(whole), cuts[:-1])
+        slope = np.add.reduceat(ratio / whole, cuts[:-1]) / n
+        other = (1 - share * slope) / np.maximum(1 - share, 1e-300)
+        more = n * (np.maximum(slope, other) - 1)
+        over = (more <= CONVERGED) | (gain + more <= need)
+        out[left[over]] = gain[over]
+        keep = ~over
+        share = (share * slope)[keep]
+        ratio = ratio[np.repeat(keep, n)]
+        left, n, need = left[keep], n[keep], need[keep]
+        cuts = np.concatenate(([0], np.cumsum(n)))
+    return out
+
+
+def languages_of(scores: np.ndarray, owner: np.ndarray) -> list[list[int]]:
+    """Chosen languages of every text of a chunk (none for a text without units)."""
+    filled = np.flatnonzero(owner[1:] > owner[:-1])
+    out: list[list[int]] = [[] for _ in range(len(owner) - 1)]
+    if not len(filled):
+        return out
+    at = owner[filled]
+    sums = np.add.reduceat(scores, at, axis=0)
+    first = sums.argmax(axis=1)
+    main = np.zeros(len(out), dtype=np.int64)
+    main[filled] = first
+    n = owner[filled + 1] - at
+    mine = scores[np.arange(len(scores)), np.repeat(first, n)]
+    gain = np.add.reduceat(np.maximum(scores - mine[:, None], 0), at, axis=0)
+    gain[np.arange(len(filled)), first] = -1
+    rows, langs = np.nonzero(gain > _needed(n)[:, None])
+    for t, lang in zip(filled, first):
+        out[t] = [int(lang)]
+    if not len(rows):
+        return out
+    gained = _second(scores, owner, main, np.stack((filled[rows], langs), axis=1))
+    passed = gained > _needed(n[rows])
+    best: dict[int, tuple[float, int]] = {}
+    for r, lang, g in zip(rows[passed], langs[passed], gained[passed]):
+        best[r] = max(best.get(r, (0.0, 0)), (float(g), int(lang)))
+    for r, (g, lang) in best.items():
+        t = filled[r]
+        own = scores[owner[t] : owner[t + 1]]
+        out[t] = select_languages(own, [int(first[r]), lang], float(sums[r, first[r]]) + g)
+    return out
+
+
 def decode(scores: np.ndarray, chosen: list[int]) -> np.ndarray:
     """Language of every unit: Viterbi with a cost for each change of language."""
     if len(chosen) == 1:
         return np.full(len(scores), chosen[0])
-    own = scores[:, chosen]
-    back = np.zeros(own.shape, dtype=np.int16)
-    value = own[0].copy()
-    for i in range(1, len(own)):
-        top = int(np.argmax(value))
-        stay = value >= value[top] - SWITCH
-        back[i] = np.where(stay, np.arange(len(chosen)), top)
-        value = np.where(stay, value, value[top] - SWITCH) + own[i]
-    path = np.zeros(len(own), dtype=np.int64)
-    path[-1] = int(np.argmax(value))
-    for i in range(len(own) - 1, 0, -1):
-        path[i - 1] = back[i][path[i]]
-    return np.asarray(chosen)[path]
-
-
-def analyse(text: str, model: np.ndarray) -> list[tuple[int, int, int, float, float]]:
-    """Stretches (start, end, language, confidence, length in words) of a text.
+    own = scores[:, chosen].tolist()
+    value = own[0]
+    width = range(len(chosen))
+    back = []
+    for row in own[1:]:
+        high = max(value)
+        top = value.index(high)
+        high -= SWITCH
+        back.append([i if value[i] >= high else top for i in width])
+        value = [(v if v >= high else high) + x for v, x in zip(value, row)]
+    at = value.index(max(value))
+    path = [at]
+    for b in reversed(back):
+        at = b[at]
+        path.append(at)
+    return np.asarray(chosen)[path[::-1]]
+
+
+def _proportions(scores: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Proportions of all languages in every text of a chunk, by EM until no text moves by
+    more than a thousandth; a text that stands still is left out of further rounds."""
+    width = scores.shape[1]
+    out = np.full((len(owner) - 1, width), 1 / width)
+    left = np.flatnonzero(owner[1:] > owner[:-1])
+    like = np.exp(scores - scores.max(axis=1, keepdims=True)) if len(scores) else scores
+    n = owner[left + 1] - owner[left]
+    while len(left):
+        share = out[left]
+        joint = like * np.repeat(share, n, axis=0)
+        joint /= joint.sum(axis=1, keepdims=True)
+        cuts = np.concatenate(([0], np.cumsum(n)))
+        new = np.add.reduceat(joint, cuts[:-1], axis=0) / n[:, None]
+        out[left] = new
+        keep = np.abs(new - share).max(axis=1) > 1e-3
+        like = like[np.repeat(keep, n)]
+        left, n = left[keep], n[keep]
+    return out
+
+
+def paths(texts: list[str], model: np.ndarray) -> Iterator[tuple[int, Units, np.ndarray, np.ndarray]]:
+    """(index of the first text, units, scores, language per unit) chunk by chunk."""
+    for begin, some in chunks(texts):
+        units = Units(*some)
+        scores = units.scores(model)
+        path = np.zeros(len(units), dtype=np.int64)
+        for chosen, a, b in zip(languages_of(scores, units.owner), units.owner[:-1], units.owner[1:]):
+            if b > a:
+                path[a:b] = decode(scores[a:b], chosen)
+        yield begin, units, scores, path
+
+
+def analyse(texts: list[str], model: np.ndarray) -> Iterator[tuple[int, int, int, int, float, float]]:
+    """Stretches (text, start, end, language, confidence, length in words) of texts.
 
     The confidence is the mean posterior of the stretch's language over its words,
     with the page's proportions as prior.
     """
-    units = Units(text)
-    if not len(units):
-        return []
-    scores = units.scores(model)
-    chosen = select_languages(scores)
-    path = decode(scores, chosen)
-    share, _ = mixture(scores, list(range(scores.shape[1])), 4)
-    joint = np.exp(scores - scores.max(axis=1, keepdims=True)) * (0.9 * share + 0.1 / len(share))
-    posterior = joint / joint.sum(axis=1, keepdims=True)
-    cuts = np.flatnonzero(np.concatenate(([True], path[1:] != path[:-1], [True])))
-    return [
-        (int(units.first[a]), int(units.last[b - 1]), int(path[a]), float(posterior[a:b, path[a]].mean()), int(units.weight[a:b].sum()) / 10)
-        for a, b in zip(cuts[:-1], cuts[1:])
-    ]
-
-
-def learn_models(texts: DataFrame, text: str, label: str, languages: tuple[str, ...] = LANGUAGES, rounds: int = 2) -> np.ndarray:
-    """N-gram models (order, bucket, language) as log-probabilities, from all texts.
+    for begin, units, scores, path in paths(texts, model):
+        if not len(units):
+            continue
+        text = np.repeat(np.arange(len(units.owner) - 1), np.diff(units.owner))
+        share = _proportions(scores, units.owner)
+        joint = np.exp(scores - scores.max(axis=1, keepdims=True)) * (0.9 * share + 0.1 / share.shape[1])[text]
+        sure = joint[np.arange(len(path)), path] / joint.sum(axis=1)
+        cuts = np.flatnonzero(np.concatenate(([True], (path[1:] != path[:-1]) | (text[1:] != text[:-1]))))
+        ends = np.concatenate((cuts[1:], [len(path)]))
+        confidence = np.add.reduceat(sure, cuts) / (ends - cuts)
+        words = np.add.reduceat(units.weight, cuts) / 10
+        offset = units.begin[text[cuts]]
+        yield from zip(
+            (begin + text[cuts]).tolist(),
+            (units.first[cuts] - offset).tolist(),
+            (units.last[ends - 1] - offset).tolist(),
+            path[cuts].tolist(),
+            confidence.astype(float).tolist(),
+            words.tolist(),
+        )
+
+
+#: Characters of the sample to which the n-gram models are fitted, as expected from the
+#: share of rows that is taken.
+SAMPLE_CHARS = 4_000_000
+
+
+def fitting_sample(texts: DataFrame, text: str, label: str, most: int = SAMPLE_CHARS) -> DataFrame:
+    """(t, l): a seeded share of the rows that holds about ``most`` characters, all rows
+    where there are no more. Chosen by a hash of the row, so it is the same every time."""
+    rows = texts.select(F.col(text).alias("t"), F.col(label).alias("l")).where("t is not null")
+    whole = rows.agg(F.sum(F.length("t").cast("long"))).first()[0] or 0
+    if whole <= most:
+        return rows
+    grains = 1 << 20
+    return rows.where(F.pmod(F.xxhash64(F.lit("fit"), "t", "l"), F.lit(grains)) < int(grains * most / whole))
+
+
+def learn_models(texts: DataFrame, text: str, label: str, languages: tuple[str, ...] = LANGUAGES, rounds: int = 2, sample_chars: int = SAMPLE_CHARS) -> np.ndarray:
+    """N-gram models (order, bucket, language) as log-probabilities, fitted to a bounded
+    sample of the texts (``fitting_sample``).
 
     Round 0 counts every text under the language its label names (texts without
     one count nothing); each further round counts every word under the language
     inferred for it. Partitions count for themselves and send sums, and the result
     has at most ``len(ORDERS) * BUCKETS * len(languages)`` numbers.
     """
-    source = spread(texts.select(F.col(text).alias("t"), F.col(label).alias("l")).where(F.col(text).isNotNull()))
+    source = durable(balanced(fitting_sample(texts, text, label, sample_chars)))
     seeds = _seed_counts(languages)
     counts = seeds.copy()
     for number in range(rounds + 1):
@@ -246,17 +417,15 @@ def learn_models(texts: DataFrame, text: str, label: str, languages: tuple[str,
         def tally(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
             own = np.zeros((len(ORDERS), BUCKETS, len(languages)), dtype=np.int64)
             for pdf in batches:
-                for t, name in zip(pdf["t"], pdf["l"]):
-                    units = Units(t)
-                    if not len(units):
-                        continue
-                    if sent is None:
-                        lang = label_language(name if isinstance(name, str) else None)
-                        if lang in languages:
-                            units.count(np.full(len(units), languages.index(lang)), own)
-                    else:
-                        scores = units.scores(sent.value)
-                        units.count(decode(scores, select_languages(scores)), own)
+                if sent is not None:
+                    for _, units, _, path in paths(pdf["t"].tolist(), sent.value):
+                        units.count(path, own)
+                    continue
+                named = [label_language(name if isinstance(name, str) else None) for name in pdf["l"]]
+                which = [languages.index(x) if x in languages else -1 for x in named]
+                for begin, some in chunks(pdf["t"].tolist()):
+                    units = Units(*some)
+                    units.count(np.repeat(which[begin : begin + len(some)], np.diff(units.owner)).astype(np.int64), own)
             flat = own.reshape(-1)
             at = np.flatnonzero(flat)
             yield pd.DataFrame({"at": at, "n": flat[at]})
@@ -267,6 +436,27 @@ def learn_models(texts: DataFrame, text: str, label: str, languages: tuple[str,
     return _log_model(counts)
 
 
+def language_words(rows: DataFrame, key: str, text: str, model: np.ndarray, languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
+    """(key, lang, words): words of each language in all texts of a key, summed in the tasks
+    before anything is shuffled. Null keys and texts without letters count nothing."""
+    kind = rows.schema[key].dataType.simpleString()
+    sent = rows.sparkSession.sparkContext.broadcast(model)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            codes, keys = pd.factorize(pdf["k"])
+            own = np.zeros((len(keys), len(languages)))
+            for begin, units, _, path in paths(pdf["t"].tolist(), sent.value):
+                text = np.repeat(np.arange(len(units.owner) - 1), np.diff(units.owner))
+                np.add.at(own, (codes[begin + text], path), units.weight / 10)
+            k, lang = np.nonzero(own)
+            yield pd.DataFrame({"key": keys[k], "lang": np.asarray(languages, dtype=object)[lang], "words": own[k, lang]})
+
+    source = rows.select(F.col(key).alias("k"), F.col(text).alias("t")).where("k is not null and t is not null")
+    found = balanced(source).mapInPandas(count, f"key {kind}, lang string, words double")
+    return found.groupBy("key", "lang").agg(F.sum("words").alias("words"))
+
+
 def segment_languages(rows: DataFrame, key: str, text: str, label: str, languages: tuple[str, ...] = LANGUAGES, model: np.ndarray | None = None) -> DataFrame:
     """One row per stretch: (key, segment_no, start_char, end_char, lang, confidence, words, label_lang).
 
@@ -281,15 +471,17 @@ def segment_languages(rows: DataFrame, key: str, text: str, label: str, language
 
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for k, t, name in zip(pdf["k"], pdf["t"], pdf["l"]):
-                named = label_language(name if isinstance(name, str) else None)
-                for i, (a, b, lang, sure, words) in enumerate(analyse(t, sent.value)):
-                    out.append((k, i + 1, a + 1, b, languages[lang], sure, words, named))
+            keys = pdf["k"].tolist()
+            named = [label_language(name if isinstance(name, str) else None) for name in pdf["l"]]
+            out, last, number = [], -1, 0
+            for i, a, b, lang, sure, words in analyse(pdf["t"].tolist(), sent.value):
+                number = number + 1 if i == last else 1
+                last = i
+                out.append((keys[i], number, a + 1, b, languages[lang], sure, words, named[i]))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
 
     source = rows.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(label).alias("l")).where("k is not null and t is not null")
-    return spread(source, "k").mapInPandas(part, schema)
+    return balanced(source).mapInPandas(part, schema)
 
 
 def page_languages(segments: DataFrame) -> DataFrame:

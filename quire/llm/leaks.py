@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.words import hash_words, plain_words
-from quire.runtime import spread
 
 #: 1 = compared, 0 = ignored. All have span 12, so none misses a run of 12 equal words.
 MASKS: tuple[str, ...] = ("110110110111", "111011011011", "101101111011")
@@ -203,9 +202,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, max_broadcast_seeds: int = MAX
     n_seeds = words.agg(F.sum(F.greatest(F.size("words") - (SPAN - 1), F.lit(0))) * len(MASKS)).first()[0] or 0
     if n_seeds <= max_broadcast_seeds:
         pairs = [(r["item_id"], np.array(r["words"], dtype=np.int64).view(np.uint64)) for r in words.collect()]
-        found = _broadcast_search(spread(docs, "doc_id"), pairs)
+        found = _broadcast_search(docs, pairs)
     else:
-        found = _shuffle_search(spread(docs, "doc_id"), words)
+        found = _shuffle_search(docs, words)
     # ids that occur on several rows, or diagonals verified apart, meet here
     best = F.struct(
         (F.col("matched") - 3 * F.col("substituted")).alias("score"),

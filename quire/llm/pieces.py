@@ -10,8 +10,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.runtime import spread
-
 # Boundaries, strongest first. A text is opened only as deep as the limit asks:
 # every weaker boundary inside a segment that fits would be merged anyway,
 # because the weakest boundaries merge first.
@@ -180,7 +178,6 @@ def split_oversized(
     (ByT5); any other count must not exceed the sum over parts.
     """
     measured = size or utf8_len
-    docs = spread(docs.select("doc_id", "source", "text"), "doc_id")
     sized = with_limit(docs, limits).where("text is not null and _max is not null")
     if size is None:  # cheap test in the JVM before anything reaches Python
         sized = sized.where(F.octet_length("text") > F.col("_max"))

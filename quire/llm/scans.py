@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.runtime import durable, spread
+from quire.runtime import balanced, durable
 
 STATES = ("header", "text", "break", "footer")
 _H, _B, _K, _T = range(4)
@@ -311,7 +311,7 @@ def label_lines(pages: DataFrame) -> DataFrame:
     ``starts`` marks a line that begins a paragraph. Pages without any line give no row.
     """
     source = pages.where("page_id is not null").select("page_id", "book_id", "page_no", "page_header", "page_body", "page_footer").dropDuplicates(["page_id"])
-    source = spread(source, "page_id")
+    source = balanced(source, "page_id")
     joined = durable(source.join(edge_statistics(source), "page_id", "left"))
     counts = fit(joined)
 

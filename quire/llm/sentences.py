@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm import languages as lg
-from quire.runtime import durable, spread
+from quire.runtime import balanced, durable
 
 # Verbs that end (or begin) a reporting clause where no capitals tell.
 REPORTING = {
@@ -386,7 +386,7 @@ def split_sentences(texts: DataFrame) -> DataFrame:
     """
     kind = texts.schema["key"].dataType.simpleString()
     source = texts.select("key", "text", F.coalesce("lang", F.lit("")).alias("lang")).where("key is not null and text is not null").dropDuplicates(["key"])
-    source = durable(spread(source, "key"))
+    source = durable(balanced(source, "key"))
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -28,7 +28,7 @@ def test_labels_in_any_spelling():
 def test_units_of_both_kinds_of_script():
     units = lg.Units("Ça va, 漢字かな 12")
     assert len(units) == 6 and units.weight.sum() == 2 * 10 + 4 * 10 / lg.CHARS_PER_WORD
-    assert len(lg.Units("1234 ...")) == 0 == len(lg.Units(""))
+    assert len(lg.Units("1234 ...")) == 0 == len(lg.Units("")) == len(lg.Units())
 
 
 def test_wrong_and_missing_labels_and_mixed_pages(spark):
