@@ -399,16 +399,20 @@ def fitting_sample(texts: DataFrame, text: str, label: str, most: int = SAMPLE_C
     return rows.where(F.pmod(F.xxhash64(F.lit("fit"), "t", "l"), F.lit(grains)) < int(grains * most / whole))
 
 
-def learn_models(texts: DataFrame, text: str, label: str, languages: tuple[str, ...] = LANGUAGES, rounds: int = 2, sample_chars: int = SAMPLE_CHARS) -> np.ndarray:
+def learn_models(texts: DataFrame, text: str, label: str, languages: tuple[str, ...] = LANGUAGES, rounds: int = 2, sample_chars: int = SAMPLE_CHARS, labels: DataFrame | None = None) -> np.ndarray:
     """N-gram models (order, bucket, language) as log-probabilities, fitted to a bounded
     sample of the texts (``fitting_sample``).
 
     Round 0 counts every text under the language its label names (texts without
     one count nothing); each further round counts every word under the language
     inferred for it. Partitions count for themselves and send sums, and the result
-    has at most ``len(ORDERS) * BUCKETS * len(languages)`` numbers.
+    has at most ``len(ORDERS) * BUCKETS * len(languages)`` numbers. With ``labels``
+    (label, lang) the column ``label`` is a key of that table.
     """
-    source = durable(balanced(fitting_sample(texts, text, label, sample_chars)))
+    source = fitting_sample(texts, text, label, sample_chars)
+    if labels is not None:
+        source = source.join(labels.withColumnRenamed(label, "l"), "l", "left").select("t", F.col("lang").alias("l"))
+    source = durable(balanced(source))
     seeds = _seed_counts(languages)
     counts = seeds.copy()
     for number in range(rounds + 1):
@@ -438,7 +442,8 @@ def learn_models(texts: DataFrame, text: str, label: str, languages: tuple[str,
 
 def language_words(rows: DataFrame, key: str, text: str, model: np.ndarray, languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
     """(key, lang, words): words of each language in all texts of a key, summed in the tasks
-    before anything is shuffled. Null keys and texts without letters count nothing."""
+    before anything is shuffled. The rows are taken in the partitions in which they come.
+    Null keys and texts without letters count nothing."""
     kind = rows.schema[key].dataType.simpleString()
     sent = rows.sparkSession.sparkContext.broadcast(model)
 
@@ -453,7 +458,7 @@ def language_words(rows: DataFrame, key: str, text: str, model: np.ndarray, lang
             yield pd.DataFrame({"key": keys[k], "lang": np.asarray(languages, dtype=object)[lang], "words": own[k, lang]})
 
     source = rows.select(F.col(key).alias("k"), F.col(text).alias("t")).where("k is not null and t is not null")
-    found = balanced(source).mapInPandas(count, f"key {kind}, lang string, words double")
+    found = source.mapInPandas(count, f"key {kind}, lang string, words double")
     return found.groupBy("key", "lang").agg(F.sum("words").alias("words"))
 
 

@@ -11,12 +11,12 @@ from quire.llm import languages, leaks, mixing, pieces, scans, sentences
 from quire.runtime import table
 
 
-def _sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentences.paragraph_sentences(table(spark, sf_dir, "p"), table(spark, sf_dir, "book"))
+def _sentences(spark: SparkSession, sf_dir: str, with_text: bool = True) -> DataFrame:
+    return sentences.paragraph_sentences(table(spark, sf_dir, "p"), table(spark, sf_dir, "book"), with_text)
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sentences(spark, sf_dir).select(F.col("key").alias("para_id"), "end_char")
+    return _sentences(spark, sf_dir, with_text=False).select(F.col("key").alias("para_id"), "end_char")
 
 
 def p1_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,18 +4,19 @@ Per language, log-likelihood ratios over the whole collection find abbreviations
 (words that keep to their period), collocations across a period and sentence
 starters; every full stop is then classified with them. Exclamation and question
 marks, ellipses, quotations and scripts without capitals or full stops follow
-rules on their context. Counting is a map-side sum; the classification is a join
-of candidate boundaries with the tables of statistics, so nothing that grows with
-the vocabulary is collected or broadcast by hand.
+rules on their context. Counting is a map-side sum. What is learnt (abbreviations,
+starters, collocations) is small beside the texts and goes to the tasks that read
+them, if it is within a checked size; beyond, the places are joined with it.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
+from bisect import bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +37,8 @@ _SURE_CLOSE = set("”»›)]}」』】）］〉》")
 _OPEN = set("“‘«‹([{「『【（［〈《„‚\"'»›¿¡”’")
 _DASH = set("—–―-")
 _CLUSTER = re.compile(r"(?:\.(?:\s\.){2,}|[.!?…。！？｡．।॥؟‽⁇⁈⁉]+(?:\s?[!?]+)*|(?<=\w)\s[!?]+|[—–-](?=[”\"’»'“]))")
-_WORDISH = re.compile(r"[^\s“”„‚«»‹›\"()\[\]{}¿¡—–!?…,;:।。！？]*$")
+_BREAKS = frozenset("“”„‚«»‹›\"()[]{}¿¡—–!?…,;:।。！？")
+_CLAUSE_END = re.compile(r"[。！？!?।.…，、,「“『]")
 _NEXT = re.compile(r"[^\W\d_]+(?:[’'-][^\W\d_]+)*|\d+")
 _TOKEN = re.compile(r"(?:[^\W_]|[̀-ͯऀ-෿])+(?:[.’'-]+[^\W_]+)*\.?")
 # a whole sentence's last word that the next word was printed onto
@@ -44,9 +46,15 @@ _GLUED = re.compile(r"^.*[^\W\d_]{3,}\.(?=[^\W\d_])")
 _THAI = re.compile(r"[฀-๿]")
 _CJK = re.compile(r"[぀-ヿ㐀-鿿]")
 _SPACES = re.compile(r"\s+")
+_OPENED = re.compile(r"[.!?…“”«»\"„]")
+#: Thai has no breaks between words: so many signs stand for the first word of a chunk.
 _PREFIX = 4
+#: A clause after a closing quote that reports the speech is no longer than so many
+#: characters (without spaces, with spaces); a longer one is a sentence of its own.
+REPORT_SOLID, REPORT_SPACED = 16, 60
 
 
+@lru_cache(1 << 16)
 def _kind(word: str) -> str:
     """Type of a word before a period: lower case; numbers by their number of digits."""
     bare = _GLUED.sub("", word.rstrip(".")).lower()
@@ -92,50 +100,59 @@ def _case(c: str) -> str:
     return "upper" if c.isupper() or c.istitle() else "lower" if c.islower() else "none"
 
 
-def _reports(text: str, i: int, marks: str = "。！？!?।.…") -> bool:
+def _reports(text: str, i: int) -> bool:
     """Whether the clause that begins at i is a short reporting clause."""
     while i < len(text) and text[i].isspace():
         i += 1
     if text[i : i + 1] == "と":
         return True
     if _THAI.match(text[i : i + 1]):  # no marks: the clause ends at the next space
-        return _SPACES.split(text[i : i + 80], maxsplit=1)[0].rstrip("!?").endswith(tuple(REPORTING["th"]))
-    end = i
-    while end < len(text) and text[end] not in marks:
-        end += 1
-        if end - i > 60:
-            return False
-    clause = text[i:end].rstrip()
-    if any(c in clause for c in "，、,「“「『"):
+        space = _SPACES.search(text, i)
+        return text[i : space.start() if space else len(text)].rstrip("!?").endswith(tuple(REPORTING["th"]))
+    end = _CLAUSE_END.search(text, i)
+    if end and end.group() in "，、,「“『":
         return False
+    clause = text[i : end.start() if end else len(text)].rstrip()
     if _CJK.search(clause):
-        return clause.endswith(tuple(REPORTING["zh"])) and len(clause) <= 16
-    return clause.endswith(tuple(REPORTING["hi"]))
+        return clause.endswith(tuple(REPORTING["zh"])) and len(clause) <= REPORT_SOLID
+    return clause.endswith(tuple(REPORTING["hi"])) and len(clause) <= REPORT_SPACED
 
 
-def candidates(text: str) -> list[tuple[int, str, str, str, str, int]]:
+def _word_before(text: str, i: int) -> str:
+    """The run of signs before i up to a space, quote, bracket or other mark."""
+    begin = i
+    while begin and not (text[begin - 1].isspace() or text[begin - 1] in _BREAKS):
+        begin -= 1
+    return text[begin:i]
+
+
+def candidates(text: str, tokens: list[int] | None = None) -> list[tuple[int, str, str, str, str, int]]:
     """Places where a sentence may end: (end, rule, type, next, case of next, words before).
 
     ``rule`` is ``sure``, ``stop`` (a full stop, to be classified), ``thai`` (a space
     in Thai text, to be classified) or ``final``. Places that can't end a sentence
-    are left out.
+    are left out. ``tokens`` are the ends of the text's words.
     """
     stripped = len(text.rstrip())
     if not stripped:
         return []
     out = []
-    words = [m.end() for m in _TOKEN.finditer(text)]
-    count = np.asarray(words)
-    before = lambda at: int(np.searchsorted(count, at, side="right"))
+    if tokens is None:
+        tokens = [m.end() for m in _TOKEN.finditer(text)]
+
+    def before(at: int) -> int:
+        return bisect_right(tokens, at)
+
     for m in _CLUSTER.finditer(text):
+        begin, after_mark = m.span()
         mark = m.group().replace(" ", "")
-        end = _close(text, m.end())
+        end = _close(text, after_mark)
         if end >= stripped:
             continue
         at, c, opened = _ahead(text, end)
         case = _case(c)
         spaced = text[end].isspace()
-        closed = end > m.end()
+        closed = end > after_mark
         if case == "comma" or mark in _DASH and not closed:
             continue
         if mark in _DASH:
@@ -147,14 +164,18 @@ def candidates(text: str) -> list[tuple[int, str, str, str, str, int]]:
                 out.append((end, "sure", "", "", case, before(end)))
             continue
         if mark == ".":
-            if m.start() and text[m.start() - 1].isdigit() and c.isdigit() and not spaced:
+            if case == "lower":
+                continue
+            if begin and text[begin - 1].isdigit() and c.isdigit() and not spaced:
+                continue
+            glued = not spaced and not closed and not opened
+            if glued and case != "upper":
+                continue
+            word = _word_before(text, begin)
+            # no space after the full stop: only a word before and a capital after
+            if glued and (len(word) < 2 or "." in word or word.isupper()):
                 continue
-            word = _WORDISH.search(text[max(0, m.start() - 40) : m.start()]).group()
-            if not spaced and not closed and not opened:
-                # no space after the full stop: only a word before and a capital after
-                if case != "upper" or len(word) < 2 or "." in word or word.isupper():
-                    continue
-            if case == "lower" or not word and not closed:
+            if not word and not closed:
                 continue
             if case == "none" and closed and _reports(text, end):
                 continue
@@ -166,19 +187,19 @@ def candidates(text: str) -> list[tuple[int, str, str, str, str, int]]:
             continue
         if case == "lower":
             continue
-        if case == "none" and (closed and _reports(text, end) or text[end:].lstrip()[:1] == "と"):
+        if case == "none" and (closed and _reports(text, end) or text[at : at + 1] == "と"):
             continue
         out.append((end, "sure", "", "", case, before(end)))
     if _THAI.search(text):
         taken = {x[0] for x in out}
-        for m in _SPACES.finditer(text[:stripped]):
+        for m in _SPACES.finditer(text, 0, stripped):
             i, j = m.span()
             if not i or i in taken or not (_THAI.match(text[i - 1]) or text[i - 1] in _SURE_CLOSE):
                 continue
             at, c, opened = _ahead(text, j)
             if not _THAI.match(c or " "):
                 continue
-            if text[i - 1] in "”»\"" and _reports(text, j) or opened and text[:i].endswith(_QUOTING_TH):
+            if text[i - 1] in "”»\"" and _reports(text, j) or opened and text.endswith(_QUOTING_TH, 0, i):
                 continue
             out.append((i, "thai", "", text[at : at + _PREFIX], "none", before(i)))
     out.append((stripped, "final", "", "", "", before(stripped)))
@@ -188,43 +209,54 @@ def candidates(text: str) -> list[tuple[int, str, str, str, str, int]]:
 _COUNTS = "lang string, what string, a string, b string, n long"
 
 
-def _tally(lang: str, text: str, counts: Counter) -> None:
+def _tally(lang: str, text: str, counts: dict[tuple[str, str], Counter]) -> None:
     """Counts of one text: words with and without period, their case, what follows a period."""
-    spans = list(_TOKEN.finditer(text))
-    for i, m in enumerate(spans):
+    plain, period, lower, inner, ends = [], [], [], [], []
+    last = -1
+    for m in _TOKEN.finditer(text):
         word = m.group()
-        period = word.endswith(".")
         kind = _kind(word)
-        counts[lang, "period" if period else "plain", kind, ""] += 1
-        if not period and word[0].islower():
-            counts[lang, "lower", kind, ""] += 1
-        elif word[0].isupper() and i and not re.search(r"[.!?…“”«»\"„]", text[spans[i - 1].end() - 1 : m.start()]):
-            counts[lang, "inner", kind, ""] += 1
-    for _, rule, kind, following, case, _ in candidates(text):
-        if rule == "stop" and case in ("upper", "digit"):
-            counts[lang, "after", kind, following if case == "upper" else "##"] += 1
+        c = word[0]
+        if word[-1] == ".":
+            period.append(kind)
+            small = False
+        else:
+            plain.append(kind)
+            small = c.islower()
+        if small:
+            lower.append(kind)
+        elif last >= 0 and c.isupper() and not _OPENED.search(text, last - 1, m.start()):
+            inner.append(kind)
+        last = m.end()
+        ends.append(last)
+    counts[lang, "plain"].update(plain)
+    counts[lang, "period"].update(period)
+    counts[lang, "lower"].update(lower)
+    counts[lang, "inner"].update(inner)
+    if period or "." in text:
+        counts[lang, "after"].update((x[2], x[3] if x[4] == "upper" else "##") for x in candidates(text, ends) if x[1] == "stop" and x[4] in ("upper", "digit"))
     if _THAI.search(text):
         chunks = [c.lstrip("“‘«\"'(") for c in text.split()]
         for i, c in enumerate(chunks):
             if _THAI.match(c):
-                counts[lang, "first" if i == 0 else "chunk", c[:_PREFIX], ""] += 1
+                counts[lang, "first" if i == 0 else "chunk"][c[:_PREFIX]] += 1
 
 
 def learn_counts(texts: DataFrame) -> DataFrame:
     """(lang, what, a, b, n) over all of (text, lang); tasks sum up before anything is shuffled."""
 
     def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: Counter = Counter()
+        counts: dict[tuple[str, str], Counter] = defaultdict(Counter)
 
         def flush() -> pd.DataFrame:
-            out = pd.DataFrame([(*k, n) for k, n in counts.items()], columns=["lang", "what", "a", "b", "n"])
+            rows = [(lang, what, *(k if what == "after" else (k, "")), n) for (lang, what), own in counts.items() for k, n in own.items()]
             counts.clear()
-            return out
+            return pd.DataFrame(rows, columns=["lang", "what", "a", "b", "n"])
 
         for pdf in batches:
             for lang, text in zip(pdf["lang"], pdf["text"]):
                 _tally(lang, text, counts)
-            if len(counts) > 200_000:
+            if sum(map(len, counts.values())) > 200_000:
                 yield flush()
         yield flush()
 
@@ -265,7 +297,7 @@ def _scored(counts: DataFrame) -> DataFrame:
 
 
 def abbreviations(counts: DataFrame) -> DataFrame:
-    """(lang, type, abbr, common, ends): whether a word is an abbreviation, whether it is
+    """(lang, a, abbr, common, ends): whether a word is an abbreviation, whether it is
     common without period, and how often, among its capitalised followers, it ends a sentence.
 
     ``ends`` relates its share of followers that are usually written small to the share
@@ -282,7 +314,7 @@ def abbreviations(counts: DataFrame) -> DataFrame:
     usual = joined.where("not abbr").groupBy("lang").agg((F.sum("begun") / F.sum("caps")).alias("usual"))
     return joined.join(usual, "lang", "left").select(
         "lang",
-        "type",
+        F.col("type").alias("a"),
         "abbr",
         "common",
         # without capitals (or without plain stops) in a language nothing tells: an abbreviation ends nothing
@@ -371,108 +403,198 @@ def thai_starters(counts: DataFrame) -> DataFrame:
     return per.join(mean, "lang").select("lang", "next", (F.col("first") > 0.25 * F.col("mean") * F.col("seen")).alias("begins"))
 
 
-_CANDIDATE = "key {0}, lang string, end int, rule string, type string, next string, case string, words int"
 #: A sentence that would end at an abbreviation has at least so many words, unless
 #: that is a number or, before no initial, a word printed without period more often than with it.
 SHORTEST = 5
+#: Rows learnt (abbreviations, starters, collocations, chunk beginnings; below 100 bytes
+#: each) that are sent to all tasks; more of them are joined instead, with the same result.
+MAX_LEARNT = 500_000
+
+
+def learnt(counts: DataFrame) -> DataFrame:
+    """(what, lang, a, b, common, ends): all that the classification asks for. ``abbr`` rows
+    are abbreviations, ``begins`` words that begin sentences after one, ``bound``
+    collocations, ``thai`` beginnings of chunks that begin sentences."""
+    abbr = durable(abbreviations(counts).where("abbr").select("lang", F.col("a").alias("type"), "common", "ends"))
+    begins = durable(beginnings(counts).where("begins"))
+    asked = counts.where("what = 'after'").join(abbr, (counts["lang"] == abbr["lang"]) & (counts["a"] == abbr["type"]), "left_semi").select("lang", F.col("b").alias("next")).distinct()
+    no = F.lit(False), F.lit(0.0)
+    return (
+        abbr.select(F.lit("abbr").alias("what"), "lang", F.col("type").alias("a"), F.lit("").alias("b"), "common", "ends")
+        .unionByName(begins.join(asked, ["lang", "next"], "left_semi").select(F.lit("begins").alias("what"), "lang", F.col("next").alias("a"), F.lit("").alias("b"), no[0].alias("common"), no[1].alias("ends")))
+        .unionByName(collocations(counts, begins).select(F.lit("bound").alias("what"), "lang", F.col("type").alias("a"), F.col("next").alias("b"), no[0].alias("common"), no[1].alias("ends")))
+        .unionByName(thai_starters(counts).where("begins").select(F.lit("thai").alias("what"), "lang", F.col("next").alias("a"), F.lit("").alias("b"), no[0].alias("common"), no[1].alias("ends")))
+    )
 
 
-def split_sentences(texts: DataFrame) -> DataFrame:
+def _judge(place: tuple, abbr: tuple[bool, float] | None, begins: bool, bound: bool, thai: bool) -> int:
+    """Words that a sentence must have to end at a place; -1 if none ends there."""
+    _, rule, kind, following, case, _ = place
+    if rule == "thai":
+        return 0 if thai else -1
+    if rule != "stop" or abbr is None and not bound:
+        return 0
+    if bound:
+        return -1
+    common, often = abbr
+    enough = 0.5 if case == "digit" else 0.05 if begins else 0.25
+    if case not in ("digit", "upper") or often < enough:
+        return -1
+    return 0 if kind.startswith("##") or common and not following.endswith(".") else SHORTEST
+
+
+def _pair(following: str, case: str) -> str:
+    return "##" if case == "digit" else following
+
+
+def _walk(places: list[tuple[int, int, int]]) -> list[int]:
+    """Ends of the sentences along (end, words before, words needed)."""
+    out, words = [], 0
+    for end, before, need in places:
+        if need >= 0 and before - words >= need:
+            words = before
+            if not out or out[-1] != end:
+                out.append(end)
+    return out
+
+
+def _spans(text: str, ends: list[int]) -> Iterator[tuple[int, int, int]]:
+    """(number, start, end) of the sentences of a text, 0-based, without space in front."""
+    begin = 0
+    for i, end in enumerate(ends):
+        while begin < end and text[begin].isspace():
+            begin += 1
+        yield i + 1, begin, end
+        begin = end
+
+
+def _first_of_key(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows sorted by key, the first of every key."""
+    last = None
+    for pdf in batches:
+        key = pdf["key"]
+        keep = key != key.shift()
+        if len(pdf) and last is not None and key.iloc[0] == last:
+            keep.iloc[0] = False
+        if len(pdf):
+            last = key.iloc[-1]
+        yield pdf[keep]
+
+
+def _rows(keys: list, texts: list[str], cuts: list[list[int]], with_text: bool) -> pd.DataFrame:
+    rows = [(k, i, a + 1, b, t[a:b] if with_text else None) for k, t, ends in zip(keys, texts, cuts) for i, a, b in _spans(t, ends)]
+    return pd.DataFrame(rows, columns=["key", "sent_no", "start_char", "end_char", "text"])
+
+
+def prepare(texts: DataFrame, *more: str) -> DataFrame:
+    """(key, text, more) dealt out by key and written down; of the rows of one key the
+    first by its text counts. Null keys and null texts are left out."""
+    rows = texts.select("key", *more, "text").where("key is not null and text is not null")
+    placed = balanced(rows, "key").sortWithinPartitions("key", "text", *more)
+    return durable(placed.mapInPandas(_first_of_key, placed.schema))
+
+
+def split_sentences(texts: DataFrame, with_text: bool = True, max_learnt: int = MAX_LEARNT) -> DataFrame:
     """(key, sent_no, start_char, end_char, text) of every sentence of (key, text, lang).
 
     Offsets are code points from 1 without surrounding space. Null, empty and blank
     texts have no sentence. The statistics are those of the given texts by ``lang``;
-    a null language is one of its own. Keys are taken as unique (equal rows once).
+    a null language is one of its own. Of rows with one key the least text counts.
+    ``with_text=False`` leaves the text of the sentences null.
     """
-    kind = texts.schema["key"].dataType.simpleString()
-    source = texts.select("key", "text", F.coalesce("lang", F.lit("")).alias("lang")).where("key is not null and text is not null").dropDuplicates(["key"])
-    source = durable(balanced(source, "key"))
+    return _split(prepare(texts, "lang").withColumn("lang", F.coalesce("lang", F.lit(""))), with_text, max_learnt)
+
+
+def _split(source: DataFrame, with_text: bool = True, max_learnt: int = MAX_LEARNT) -> DataFrame:
+    kind = source.schema["key"].dataType.simpleString()
+    schema = f"key {kind}, sent_no int, start_char int, end_char int, text string"
+    known = durable(learnt(durable(learn_counts(source))))
+    rows = known.limit(max_learnt + 1).collect()
+    if len(rows) > max_learnt:
+        return _split_by_join(source, known, schema, with_text)
+    sent = source.sparkSession.sparkContext.broadcast({(r["what"], r["lang"], r["a"], r["b"]): (r["common"], r["ends"]) for r in rows})
+
+    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table = sent.value
+        for pdf in batches:
+            texts = pdf["text"].tolist()
+            cuts = []
+            for lang, text in zip(pdf["lang"], texts):
+                places = []
+                for place in candidates(text):
+                    end, rule, word, following, case, words = place
+                    abbr, begins, bound, thai = None, False, False, False
+                    if rule == "stop":
+                        abbr = table.get(("abbr", lang, word, ""))
+                        begins = abbr is not None and ("begins", lang, following, "") in table
+                        bound = ("bound", lang, word, _pair(following, case)) in table
+                    elif rule == "thai":
+                        thai = ("thai", lang, following, "") in table
+                    places.append((end, words, _judge(place, abbr, begins, bound, thai)))
+                cuts.append(_walk(places))
+            yield _rows(pdf["key"].tolist(), texts, cuts, with_text)
+
+    return source.select("key", "lang", "text").mapInPandas(split, schema)
+
+
+def _split_by_join(source: DataFrame, known: DataFrame, schema: str, with_text: bool) -> DataFrame:
+    """The same, with the places joined to what is learnt instead of sending it around."""
+    kind = source.schema["key"].dataType.simpleString()
+    found = "key {0}, lang string, end int, rule string, type string, next string, case string, pair string, words int".format(kind)
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = [(k, lang, *c) for k, lang, text in zip(pdf["key"], pdf["lang"], pdf["text"]) for c in candidates(text)]
-            yield pd.DataFrame(
-                [(k, lang, end, rule, t, nxt, case, words) for k, lang, end, rule, t, nxt, case, words in rows],
-                columns=["key", "lang", "end", "rule", "type", "next", "case", "words"],
-            )
-
-    counts = durable(learn_counts(source))
-    begins = durable(beginnings(counts))
-    found = source.select("key", "lang", "text").mapInPandas(find, _CANDIDATE.format(kind))
-    settled = found.where("rule in ('sure', 'final')").select("key", "end", "words", F.lit(True).alias("ends"), F.lit(0).alias("least"))
+            rows = [
+                (k, lang, end, rule, word, following, case, _pair(following, case), words)
+                for k, lang, text in zip(pdf["key"], pdf["lang"], pdf["text"])
+                for end, rule, word, following, case, words in candidates(text)
+            ]
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in found.split(", ")])
+
+    def those(what: str, *names: str) -> DataFrame:
+        return known.where(F.col("what") == what).select("lang", *(F.col(c).alias(n) for c, n in zip("ab", names)), *(("common", "ends") if what == "abbr" else (F.lit(True).alias(what),)))
+
+    places = source.select("key", "lang", "text").mapInPandas(find, found)
     stops = (
-        found.where("rule = 'stop'")
-        .join(abbreviations(counts).withColumnRenamed("ends", "often"), ["lang", "type"], "left")
-        .join(begins, ["lang", "next"], "left")
-        .withColumn("pair", F.when(F.col("case") == "digit", F.lit("##")).otherwise(F.col("next")))
-        .join(collocations(counts, begins).withColumnRenamed("next", "pair"), ["lang", "type", "pair"], "left")
-    )
-    starter, often = F.coalesce("begins", F.lit(False)), F.coalesce("often", F.lit(0.0))
-    stops = stops.select(
-        "key",
-        "end",
-        "words",
-        F.when(F.coalesce("bound", F.lit(False)), False)
-        .when(~F.coalesce("abbr", F.lit(False)), True)
-        .when(F.col("case") == "digit", often >= 0.5)
-        .when(F.col("case") != "upper", False)
-        .when(starter, often >= 0.05)
-        .otherwise(often >= 0.25)
-        .alias("ends"),
-        F.when(F.coalesce("abbr", F.lit(False)) & ~F.col("type").startswith("##") & (~F.coalesce("common", F.lit(False)) | F.col("next").endswith(".")), SHORTEST).otherwise(0).alias("least"),
-    )
-    spaces = (
-        found.where("rule = 'thai'")
-        .join(thai_starters(counts), ["lang", "next"], "left")
-        .select("key", "end", "words", F.coalesce("begins", F.lit(False)).alias("ends"), F.lit(0).alias("least"))
-    )
-    places = (
-        settled.unionByName(stops)
-        .unionByName(spaces)
-        .where("ends")
-        .groupBy("key")
-        .agg(F.array_sort(F.collect_list(F.struct("end", "words", "least"))).alias("places"))
-    )
-    # one pass along the places of a text: too short a sentence doesn't end at an abbreviation
-    kept = F.aggregate(
-        "places",
-        F.struct(F.lit(0).alias("words"), F.array().cast("array<int>").alias("ends")),
-        lambda acc, x: F.when(x["words"] - acc["words"] < x["least"], acc).otherwise(
-            F.struct(x["words"].alias("words"), F.array_append(acc["ends"], x["end"]).alias("ends"))
-        ),
-        lambda acc: F.array_distinct(acc["ends"]),
-    )
-    cuts = places.select("key", kept.alias("ends"))
-    sentences = (
-        source.select("key", "text")
-        .join(cuts, "key")
-        .select("key", "text", "ends", F.posexplode("ends").alias("i", "end_char"))
-        .withColumn("from", F.when(F.col("i") > 0, F.get("ends", F.col("i") - 1)).otherwise(0))
-        .withColumn("raw", F.expr("substring(text, from + 1, end_char - from)"))
-        .withColumn("lead", F.length("raw") - F.length(F.regexp_replace("raw", r"^(?U)\s+", "")))
-    )
-    return sentences.select(
-        "key",
-        (F.col("i") + 1).cast("int").alias("sent_no"),
-        (F.col("from") + F.col("lead") + 1).cast("int").alias("start_char"),
-        F.col("end_char").cast("int").alias("end_char"),
-        F.expr("substring(raw, lead + 1)").alias("text"),
+        places.where("rule = 'stop'")
+        .join(those("abbr", "type"), ["lang", "type"], "left")
+        .join(those("begins", "next"), ["lang", "next"], "left")
+        .join(those("bound", "type", "pair"), ["lang", "type", "pair"], "left")
+        .withColumn("thai", F.lit(None).cast("boolean"))
     )
+    empty = {"common": "boolean", "ends": "double", "begins": "boolean", "bound": "boolean"}
+    others = places.where("rule <> 'stop'").join(those("thai", "next"), ["lang", "next"], "left").withColumns({c: F.lit(None).cast(t) for c, t in empty.items()})
+    columns = ["end", "words", "rule", "type", "next", "case", "common", "ends", "begins", "bound", "thai"]
+    listed = stops.unionByName(others).groupBy("key").agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("places"))
+
+    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            texts = pdf["text"].tolist()
+            cuts = []
+            for own in pdf["places"]:
+                judged = []
+                for x in own:
+                    place = x["end"], x["rule"], x["type"], x["next"], x["case"], x["words"]
+                    abbr = None if x["ends"] is None else (x["common"], x["ends"])
+                    judged.append((x["end"], x["words"], _judge(place, abbr, bool(x["begins"]), bool(x["bound"]), bool(x["thai"]) and x["rule"] == "thai")))
+                cuts.append(_walk(judged))
+            yield _rows(pdf["key"].tolist(), texts, cuts, with_text)
+
+    return source.select("key", "text").join(listed, "key").mapInPandas(split, schema)
 
 
 def book_languages(paragraphs: DataFrame, books: DataFrame) -> DataFrame:
     """(book_id, lang) inferred from the words of all paragraphs of a book, with the books'
     labels only as a start of the language models."""
     labels = books.where("book_id is not null").groupBy("book_id").agg(F.max("lang").alias("lang"))
-    labelled = paragraphs.select("book_id", "text").join(labels, "book_id", "left")
-    model = lg.learn_models(labelled, "text", "lang", rounds=1)
-    segments = lg.segment_languages(labelled.where("book_id is not null"), "book_id", "text", "lang", model=model)
-    votes = segments.groupBy("key", "lang").agg(F.sum("words").alias("words"))
+    model = lg.learn_models(paragraphs, "text", "book_id", rounds=1, labels=labels)
+    votes = lg.language_words(paragraphs, "book_id", "text", model)
     return votes.groupBy(F.col("key").alias("book_id")).agg(F.max_by("lang", F.struct("words", "lang")).alias("lang"))
 
 
-def paragraph_sentences(paragraphs: DataFrame, books: DataFrame) -> DataFrame:
+def paragraph_sentences(paragraphs: DataFrame, books: DataFrame, with_text: bool = True) -> DataFrame:
     """Sentences of all paragraphs, each under the language inferred for its book."""
-    langs = book_languages(paragraphs, books)
-    texts = paragraphs.select(F.col("para_id").alias("key"), "book_id", "text").join(langs, "book_id", "left")
-    return split_sentences(texts.select("key", "text", "lang"))
+    texts = prepare(paragraphs.select(F.col("para_id").alias("key"), "book_id", "text"), "book_id")
+    langs = durable(book_languages(texts, books))
+    source = texts.join(langs, "book_id", "left").select("key", F.coalesce("lang", F.lit("")).alias("lang"), "text")
+    return _split(source, with_text)
