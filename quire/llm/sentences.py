@@ -16,6 +16,7 @@ from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -126,23 +127,17 @@ def _word_before(text: str, i: int) -> str:
     return text[begin:i]
 
 
-def candidates(text: str, tokens: list[int] | None = None) -> list[tuple[int, str, str, str, str, int]]:
-    """Places where a sentence may end: (end, rule, type, next, case of next, words before).
+def candidates(text: str) -> list[tuple[int, str, str, str, str]]:
+    """Places where a sentence may end: (end, rule, type, next, case of next).
 
     ``rule`` is ``sure``, ``stop`` (a full stop, to be classified), ``thai`` (a space
     in Thai text, to be classified) or ``final``. Places that can't end a sentence
-    are left out. ``tokens`` are the ends of the text's words.
+    are left out.
     """
     stripped = len(text.rstrip())
     if not stripped:
         return []
     out = []
-    if tokens is None:
-        tokens = [m.end() for m in _TOKEN.finditer(text)]
-
-    def before(at: int) -> int:
-        return bisect_right(tokens, at)
-
     for m in _CLUSTER.finditer(text):
         begin, after_mark = m.span()
         mark = m.group().replace(" ", "")
@@ -157,11 +152,11 @@ def candidates(text: str, tokens: list[int] | None = None) -> list[tuple[int, st
             continue
         if mark in _DASH:
             if case == "upper":
-                out.append((end, "sure", "", "", case, before(end)))
+                out.append((end, "sure", "", "", case))
             continue
         if mark[-1] in "。！？｡।॥":
             if not closed or not _reports(text, end):
-                out.append((end, "sure", "", "", case, before(end)))
+                out.append((end, "sure", "", "", case))
             continue
         if mark == ".":
             if case == "lower":
@@ -183,13 +178,13 @@ def candidates(text: str, tokens: list[int] | None = None) -> list[tuple[int, st
             after = following.group().lower() if following else ""
             if len(after) == 1 and after.isalpha() and text[following.end() : following.end() + 1] == ".":
                 after += "."  # an initial, not the word of one letter
-            out.append((end, "stop", _kind(word), after, case, before(end)))
+            out.append((end, "stop", _kind(word), after, case))
             continue
         if case == "lower":
             continue
         if case == "none" and (closed and _reports(text, end) or text[at : at + 1] == "と"):
             continue
-        out.append((end, "sure", "", "", case, before(end)))
+        out.append((end, "sure", "", "", case))
     if _THAI.search(text):
         taken = {x[0] for x in out}
         for m in _SPACES.finditer(text, 0, stripped):
@@ -201,8 +196,8 @@ def candidates(text: str, tokens: list[int] | None = None) -> list[tuple[int, st
                 continue
             if text[i - 1] in "”»\"" and _reports(text, j) or opened and text.endswith(_QUOTING_TH, 0, i):
                 continue
-            out.append((i, "thai", "", text[at : at + _PREFIX], "none", before(i)))
-    out.append((stripped, "final", "", "", "", before(stripped)))
+            out.append((i, "thai", "", text[at : at + _PREFIX], "none"))
+    out.append((stripped, "final", "", "", ""))
     return sorted(out)
 
 
@@ -211,7 +206,7 @@ _COUNTS = "lang string, what string, a string, b string, n long"
 
 def _tally(lang: str, text: str, counts: dict[tuple[str, str], Counter]) -> None:
     """Counts of one text: words with and without period, their case, what follows a period."""
-    plain, period, lower, inner, ends = [], [], [], [], []
+    plain, period, lower, inner = [], [], [], []
     last = -1
     for m in _TOKEN.finditer(text):
         word = m.group()
@@ -228,13 +223,12 @@ def _tally(lang: str, text: str, counts: dict[tuple[str, str], Counter]) -> None
         elif last >= 0 and c.isupper() and not _OPENED.search(text, last - 1, m.start()):
             inner.append(kind)
         last = m.end()
-        ends.append(last)
     counts[lang, "plain"].update(plain)
     counts[lang, "period"].update(period)
     counts[lang, "lower"].update(lower)
     counts[lang, "inner"].update(inner)
     if period or "." in text:
-        counts[lang, "after"].update((x[2], x[3] if x[4] == "upper" else "##") for x in candidates(text, ends) if x[1] == "stop" and x[4] in ("upper", "digit"))
+        counts[lang, "after"].update((x[2], x[3] if x[4] == "upper" else "##") for x in candidates(text) if x[1] == "stop" and x[4] in ("upper", "digit"))
     if _THAI.search(text):
         chunks = [c.lstrip("“‘«\"'(") for c in text.split()]
         for i, c in enumerate(chunks):
@@ -273,67 +267,79 @@ def _ll(k: F.Column, n: F.Column, p: F.Column) -> F.Column:
 ABBREVIATION, COLLOCATION, STARTER, SMALL = 0.3, 7.88, 30, 0.5
 
 
-def _scored(counts: DataFrame) -> DataFrame:
-    """(lang, type, abbr, common): whether a word that stands before periods is an
-    abbreviation, and whether it is printed without period more often than with it.
+def _words(counts: DataFrame) -> DataFrame:
+    """(lang, word, with, without, small, abbr): every counted word; whether it is an
+    abbreviation; whether it is written small in most places where no sentence begins.
 
     ``abbr`` compares "the period always belongs to the word" with "the period comes as
     it comes", scaled by length, inner periods and occurrences without period.
     """
-    words = counts.where("what in ('period', 'plain')").groupBy("lang", F.col("a").alias("type")).agg(
-        F.sum(F.when(F.col("what") == "period", F.col("n")).otherwise(0)).cast("double").alias("with"),
-        F.sum(F.when(F.col("what") == "plain", F.col("n")).otherwise(0)).cast("double").alias("without"),
+    number = lambda *what: F.sum(F.when(F.col("what").isin(*what), F.col("n")).otherwise(0)).cast("double")
+    words = counts.where("what in ('period', 'plain', 'lower', 'inner')").groupBy("lang", F.col("a").alias("word")).agg(
+        number("period").alias("with"), number("plain").alias("without"), number("lower").alias("low"), number("lower", "inner").alias("seen")
     )
     total = words.groupBy("lang").agg(F.sum("with").alias("periods"), F.sum(F.col("with") + F.col("without")).alias("all"))
     n = F.col("with") + F.col("without")
     ratio = 2 * (_ll(F.col("with"), n, F.lit(0.99)) - _ll(F.col("with"), n, F.col("periods") / F.col("all")))
-    inner = F.length(F.regexp_replace("type", "[^.]", ""))
-    size = F.greatest(F.length("type") - inner, F.lit(1))
-    scored = words.where("with > 0").join(total, "lang").withColumn(
-        "score", ratio * F.exp(-size.cast("double")) * (inner + 1) * F.pow(size.cast("double"), -F.least(F.col("without"), F.lit(200.0)))
+    inner = F.length(F.regexp_replace("word", "[^.]", ""))
+    size = F.greatest(F.length("word") - inner, F.lit(1))
+    score = ratio * F.exp(-size.cast("double")) * (inner + 1) * F.pow(size.cast("double"), -F.least(F.col("without"), F.lit(200.0)))
+    # one row per language
+    return words.join(F.broadcast(total), "lang").select(
+        "lang",
+        "word",
+        "with",
+        "without",
+        (F.col("low") > SMALL * F.col("seen")).alias("small"),
+        ((F.col("with") > 0) & ((score >= ABBREVIATION) | F.col("word").startswith("##") | (F.length("word") == 1))).alias("abbr"),
     )
-    abbr = (F.col("score") >= ABBREVIATION) | F.col("type").startswith("##") | (F.length("type") == 1)
-    return scored.select("lang", "type", abbr.alias("abbr"), (F.col("without") > F.col("with")).alias("common"))
 
 
-def abbreviations(counts: DataFrame) -> DataFrame:
-    """(lang, a, abbr, common, ends): whether a word is an abbreviation, whether it is
-    common without period, and how often, among its capitalised followers, it ends a sentence.
+class Statistics(NamedTuple):
+    """``words`` as of ``_words``; ``after`` (lang, type, next, n, abbr, small, count): the words
+    that follow full stops, whether the word before is an abbreviation, and, of the word after,
+    whether it is usually small and how often it occurs at all."""
+
+    words: DataFrame
+    after: DataFrame
+
+
+def statistics(counts: DataFrame) -> Statistics:
+    words = durable(_words(counts))
+    types = words.where("with > 0").select("lang", F.col("word").alias("type"), "abbr")
+    following = words.select("lang", F.col("word").alias("next"), "small", (F.col("with") + F.col("without")).alias("count"))
+    after = counts.where("what = 'after'").select("lang", F.col("a").alias("type"), F.col("b").alias("next"), F.col("n").cast("double").alias("n"))
+    after = after.join(types, ["lang", "type"], "left").join(following, ["lang", "next"], "left")
+    return Statistics(words, durable(after.select("lang", "type", "next", "n", "abbr", F.coalesce("small", F.lit(False)).alias("small"), "count")))
+
+
+def abbreviations(stats: Statistics) -> DataFrame:
+    """(lang, type, common, ends) of every abbreviation: whether it is printed without
+    period more often than with it, and how often, among its capitalised followers, it
+    ends a sentence.
 
     ``ends`` relates its share of followers that are usually written small to the share
     after words that are no abbreviations. Learnt starters don't count here: they may be
     names, which follow titles as well.
     """
-    scored = _scored(counts)
-    case = usually_small(counts)
-    after = counts.where("what = 'after'").select("lang", F.col("a").alias("type"), F.col("b").alias("next"), "n")
-    followers = after.where("next <> '##'").join(case, ["lang", "next"], "left").groupBy("lang", "type").agg(
-        F.sum("n").cast("double").alias("caps"), F.sum(F.when(F.col("small"), F.col("n")).otherwise(0)).cast("double").alias("begun")
-    )
-    joined = scored.join(followers, ["lang", "type"], "left")
-    usual = joined.where("not abbr").groupBy("lang").agg((F.sum("begun") / F.sum("caps")).alias("usual"))
-    return joined.join(usual, "lang", "left").select(
-        "lang",
-        F.col("type").alias("a"),
-        "abbr",
-        "common",
-        # without capitals (or without plain stops) in a language nothing tells: an abbreviation ends nothing
-        F.when(F.col("caps") > 0, F.least(F.lit(1.0), F.col("begun") / F.col("caps") / F.greatest(F.coalesce("usual", F.lit(1.0)), F.lit(0.05))))
-        .otherwise(0.0)
-        .alias("ends"),
-    )
-
-
-def usually_small(counts: DataFrame) -> DataFrame:
-    """(lang, next, small): words written small in most places where no sentence begins."""
+    begun = F.sum(F.when(F.col("small"), F.col("n")).otherwise(0))
+    per = stats.after.where("next <> '##'").groupBy("lang", "type", "abbr").agg(F.sum("n").alias("caps"), begun.alias("begun"))
+    usual = per.where("not abbr").groupBy("lang").agg((F.sum("begun") / F.sum("caps")).alias("usual"))
+    own = per.where("abbr").select("lang", "type", "caps", "begun")
     return (
-        counts.where("what in ('lower', 'inner')")
-        .groupBy("lang", F.col("a").alias("next"))
-        .agg(
-            F.sum(F.when(F.col("what") == "lower", F.col("n")).otherwise(0)).alias("lower"),
-            F.sum("n").alias("seen"),
+        stats.words.where("abbr")
+        .select("lang", F.col("word").alias("type"), (F.col("without") > F.col("with")).alias("common"))
+        .join(own, ["lang", "type"], "left")
+        .join(F.broadcast(usual), "lang", "left")
+        .select(
+            "lang",
+            "type",
+            "common",
+            # without capitals (or without plain stops) in a language nothing tells: an abbreviation ends nothing
+            F.when(F.col("caps") > 0, F.least(F.lit(1.0), F.col("begun") / F.col("caps") / F.greatest(F.coalesce("usual", F.lit(1.0)), F.lit(0.05))))
+            .otherwise(0.0)
+            .alias("ends"),
         )
-        .select("lang", "next", (F.col("lower") > SMALL * F.col("seen")).alias("small"))
     )
 
 
@@ -343,64 +349,56 @@ def _dependence(k: F.Column, n1: F.Column, n2: F.Column, n: F.Column) -> F.Colum
     return 2 * (_ll(k, n1, k / n1) + _ll(n2 - k, rest, (n2 - k) / rest) - _ll(k, n1, p) - _ll(n2 - k, rest, p))
 
 
-def starters(counts: DataFrame) -> DataFrame:
+def starters(stats: Statistics) -> DataFrame:
     """(lang, next, starter): words that follow sure sentence ends (full stops after words
     that are no abbreviations, numbers or initials) far more often than their overall
     count lets expect, by the log-likelihood ratio."""
-    after = counts.where("what = 'after' and b not in ('', '##')").select("lang", F.col("a").alias("type"), F.col("b").alias("next"), "n")
-    sure = after.join(_scored(counts).where("not abbr"), ["lang", "type"]).groupBy("lang", "next").agg(F.sum("n").cast("double").alias("k"))
-    breaks = sure.groupBy("lang").agg(F.sum("k").alias("n1"))
-    words = counts.where("what in ('period', 'plain')").groupBy("lang", F.col("a").alias("next")).agg(F.sum("n").cast("double").alias("seen"))
-    total = words.groupBy("lang").agg(F.sum("seen").alias("all"))
+    sure = stats.after.where("not abbr and next not in ('', '##') and count is not null").groupBy("lang", "next").agg(F.sum("n").alias("k"), F.max("count").alias("seen"))
+    every = stats.after.where("not abbr and next not in ('', '##')").groupBy("lang").agg(F.sum("n").alias("n1"))
+    total = stats.words.groupBy("lang").agg(F.sum(F.col("with") + F.col("without")).alias("all"))
     k, n1, n2, n = F.col("k"), F.col("n1"), F.greatest("seen", "k"), F.col("all")
     return (
-        sure.join(words, ["lang", "next"])
-        .join(breaks, "lang")
-        .join(total, "lang")
+        sure.join(F.broadcast(every), "lang")
+        .join(F.broadcast(total), "lang")
         .select("lang", "next", ((k * n > n1 * n2) & (_dependence(k, n1, n2, n) >= STARTER)).alias("starter"))
     )
 
 
-def beginnings(counts: DataFrame) -> DataFrame:
-    """(lang, next, begins): words whose capital tells of a sentence's begin after an
-    abbreviation: learnt starters, and words usually written small."""
-    return (
-        starters(counts)
-        .join(usually_small(counts), ["lang", "next"], "full")
-        .select("lang", "next", (F.coalesce("starter", F.lit(False)) | F.coalesce("small", F.lit(False))).alias("begins"))
-    )
+def beginnings(stats: Statistics) -> DataFrame:
+    """(lang, next): of the words that follow full stops those whose capital tells of a
+    sentence's begin after an abbreviation: learnt starters, and words usually written small."""
+    return starters(stats).where("starter").select("lang", "next").unionByName(stats.after.where("small").select("lang", "next")).distinct()
 
 
-def collocations(counts: DataFrame, begins: DataFrame) -> DataFrame:
+def collocations(stats: Statistics, begins: DataFrame) -> DataFrame:
     """(lang, type, next): pairs across a period that occur together far above chance,
     one of them a number and the second no sentence starter (months after ordinals,
     numbers after "No."). ``begins`` is that of ``beginnings``."""
-    after = counts.where("what = 'after'").select("lang", F.col("a").alias("type"), F.col("b").alias("next"), F.col("n").cast("double").alias("k"))
-    first = after.groupBy("lang", "type").agg(F.sum("k").alias("n1"))
-    second = after.groupBy("lang", "next").agg(F.sum("k").alias("n2"))
+    after = stats.after.select("lang", "type", "next", F.col("n").alias("k"))
     both = after.groupBy("lang").agg(F.sum("k").alias("all"))
+    pairs = after.where("(startswith(type, '##') or next = '##') and k > 1")
+    first = after.join(pairs.select("lang", "type").distinct(), ["lang", "type"], "left_semi").groupBy("lang", "type").agg(F.sum("k").alias("n1"))
+    second = after.join(pairs.select("lang", "next").distinct(), ["lang", "next"], "left_semi").groupBy("lang", "next").agg(F.sum("k").alias("n2"))
     k, n1, n2, n = F.col("k"), F.col("n1"), F.col("n2"), F.col("all")
-    ratio = _dependence(k, n1, n2, n)
     return (
-        after.where("startswith(type, '##') or next = '##'")
-        .join(first, ["lang", "type"])
+        pairs.join(first, ["lang", "type"])
         .join(second, ["lang", "next"])
-        .join(both, "lang")
-        .join(begins, ["lang", "next"], "left")
-        .where(~F.coalesce("begins", F.lit(False)) & (k > 1) & (k * n > n1 * n2) & (ratio >= COLLOCATION))
-        .select("lang", "type", "next", F.lit(True).alias("bound"))
+        .join(F.broadcast(both), "lang")
+        .where((k * n > n1 * n2) & (_dependence(k, n1, n2, n) >= COLLOCATION))
+        .join(begins, ["lang", "next"], "left_anti")
+        .select("lang", "type", "next")
     )
 
 
 def thai_starters(counts: DataFrame) -> DataFrame:
-    """(lang, next, begins): beginnings of chunks that also begin paragraphs about as
-    often as the chunks of the language do on average."""
+    """(lang, next): beginnings of chunks that also begin paragraphs about as often as the
+    chunks of the language do on average."""
     chunks = counts.where("what in ('first', 'chunk')")
     per = chunks.groupBy("lang", F.col("a").alias("next")).agg(
         F.sum(F.when(F.col("what") == "first", F.col("n")).otherwise(0)).alias("first"), F.sum("n").alias("seen")
     )
     mean = per.groupBy("lang").agg((F.sum("first") / F.sum("seen")).alias("mean"))
-    return per.join(mean, "lang").select("lang", "next", (F.col("first") > 0.25 * F.col("mean") * F.col("seen")).alias("begins"))
+    return per.join(F.broadcast(mean), "lang").where(F.col("first") > 0.25 * F.col("mean") * F.col("seen")).select("lang", "next")
 
 
 #: A sentence that would end at an abbreviation has at least so many words, unless
@@ -415,21 +413,31 @@ def learnt(counts: DataFrame) -> DataFrame:
     """(what, lang, a, b, common, ends): all that the classification asks for. ``abbr`` rows
     are abbreviations, ``begins`` words that begin sentences after one, ``bound``
     collocations, ``thai`` beginnings of chunks that begin sentences."""
-    abbr = durable(abbreviations(counts).where("abbr").select("lang", F.col("a").alias("type"), "common", "ends"))
-    begins = durable(beginnings(counts).where("begins"))
-    asked = counts.where("what = 'after'").join(abbr, (counts["lang"] == abbr["lang"]) & (counts["a"] == abbr["type"]), "left_semi").select("lang", F.col("b").alias("next")).distinct()
-    no = F.lit(False), F.lit(0.0)
+    stats = statistics(counts)
+    begins = durable(beginnings(stats))
+    asked = stats.after.where("abbr").select("lang", "next").distinct()
+
+    def rows(what: str, table: DataFrame, a: str, b: str | None = None, common: str | None = None, ends: str | None = None) -> DataFrame:
+        return table.select(
+            F.lit(what).alias("what"),
+            "lang",
+            F.col(a).alias("a"),
+            (F.col(b) if b else F.lit("")).alias("b"),
+            (F.col(common) if common else F.lit(False)).alias("common"),
+            (F.col(ends) if ends else F.lit(0.0)).alias("ends"),
+        )
+
     return (
-        abbr.select(F.lit("abbr").alias("what"), "lang", F.col("type").alias("a"), F.lit("").alias("b"), "common", "ends")
-        .unionByName(begins.join(asked, ["lang", "next"], "left_semi").select(F.lit("begins").alias("what"), "lang", F.col("next").alias("a"), F.lit("").alias("b"), no[0].alias("common"), no[1].alias("ends")))
-        .unionByName(collocations(counts, begins).select(F.lit("bound").alias("what"), "lang", F.col("type").alias("a"), F.col("next").alias("b"), no[0].alias("common"), no[1].alias("ends")))
-        .unionByName(thai_starters(counts).where("begins").select(F.lit("thai").alias("what"), "lang", F.col("next").alias("a"), F.lit("").alias("b"), no[0].alias("common"), no[1].alias("ends")))
+        rows("abbr", abbreviations(stats), "type", common="common", ends="ends")
+        .unionByName(rows("begins", begins.join(asked, ["lang", "next"], "left_semi"), "next"))
+        .unionByName(rows("bound", collocations(stats, begins), "type", "next"))
+        .unionByName(rows("thai", thai_starters(counts), "next"))
     )
 
 
 def _judge(place: tuple, abbr: tuple[bool, float] | None, begins: bool, bound: bool, thai: bool) -> int:
     """Words that a sentence must have to end at a place; -1 if none ends there."""
-    _, rule, kind, following, case, _ = place
+    _, rule, kind, following, case = place
     if rule == "thai":
         return 0 if thai else -1
     if rule != "stop" or abbr is None and not bound:
@@ -447,14 +455,17 @@ def _pair(following: str, case: str) -> str:
     return "##" if case == "digit" else following
 
 
-def _walk(places: list[tuple[int, int, int]]) -> list[int]:
-    """Ends of the sentences along (end, words before, words needed)."""
+def _walk(text: str, places: list[tuple[int, int]]) -> list[int]:
+    """Ends of the sentences along (end, words needed)."""
+    if all(need <= 0 for _, need in places):
+        return [end for end, need in places if need == 0]
+    tokens = [m.end() for m in _TOKEN.finditer(text)]
     out, words = [], 0
-    for end, before, need in places:
+    for end, need in places:
+        before = bisect_right(tokens, end)
         if need >= 0 and before - words >= need:
             words = before
-            if not out or out[-1] != end:
-                out.append(end)
+            out.append(end)
     return out
 
 
@@ -522,7 +533,7 @@ def _split(source: DataFrame, with_text: bool = True, max_learnt: int = MAX_LEAR
             for lang, text in zip(pdf["lang"], texts):
                 places = []
                 for place in candidates(text):
-                    end, rule, word, following, case, words = place
+                    end, rule, word, following, case = place
                     abbr, begins, bound, thai = None, False, False, False
                     if rule == "stop":
                         abbr = table.get(("abbr", lang, word, ""))
@@ -530,8 +541,8 @@ def _split(source: DataFrame, with_text: bool = True, max_learnt: int = MAX_LEAR
                         bound = ("bound", lang, word, _pair(following, case)) in table
                     elif rule == "thai":
                         thai = ("thai", lang, following, "") in table
-                    places.append((end, words, _judge(place, abbr, begins, bound, thai)))
-                cuts.append(_walk(places))
+                    places.append((end, _judge(place, abbr, begins, bound, thai)))
+                cuts.append(_walk(text, places))
             yield _rows(pdf["key"].tolist(), texts, cuts, with_text)
 
     return source.select("key", "lang", "text").mapInPandas(split, schema)
@@ -540,14 +551,14 @@ def _split(source: DataFrame, with_text: bool = True, max_learnt: int = MAX_LEAR
 def _split_by_join(source: DataFrame, known: DataFrame, schema: str, with_text: bool) -> DataFrame:
     """The same, with the places joined to what is learnt instead of sending it around."""
     kind = source.schema["key"].dataType.simpleString()
-    found = "key {0}, lang string, end int, rule string, type string, next string, case string, pair string, words int".format(kind)
+    found = "key {0}, lang string, end int, rule string, type string, next string, case string, pair string".format(kind)
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = [
-                (k, lang, end, rule, word, following, case, _pair(following, case), words)
+                (k, lang, end, rule, word, following, case, _pair(following, case))
                 for k, lang, text in zip(pdf["key"], pdf["lang"], pdf["text"])
-                for end, rule, word, following, case, words in candidates(text)
+                for end, rule, word, following, case in candidates(text)
             ]
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in found.split(", ")])
 
@@ -564,20 +575,20 @@ def _split_by_join(source: DataFrame, known: DataFrame, schema: str, with_text:
     )
     empty = {"common": "boolean", "ends": "double", "begins": "boolean", "bound": "boolean"}
     others = places.where("rule <> 'stop'").join(those("thai", "next"), ["lang", "next"], "left").withColumns({c: F.lit(None).cast(t) for c, t in empty.items()})
-    columns = ["end", "words", "rule", "type", "next", "case", "common", "ends", "begins", "bound", "thai"]
+    columns = ["end", "rule", "type", "next", "case", "common", "ends", "begins", "bound", "thai"]
     listed = stops.unionByName(others).groupBy("key").agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("places"))
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = pdf["text"].tolist()
             cuts = []
-            for own in pdf["places"]:
+            for text, own in zip(texts, pdf["places"]):
                 judged = []
                 for x in own:
-                    place = x["end"], x["rule"], x["type"], x["next"], x["case"], x["words"]
+                    place = x["end"], x["rule"], x["type"], x["next"], x["case"]
                     abbr = None if x["ends"] is None else (x["common"], x["ends"])
-                    judged.append((x["end"], x["words"], _judge(place, abbr, bool(x["begins"]), bool(x["bound"]), bool(x["thai"]) and x["rule"] == "thai")))
-                cuts.append(_walk(judged))
+                    judged.append((x["end"], _judge(place, abbr, bool(x["begins"]), bool(x["bound"]), bool(x["thai"]) and x["rule"] == "thai")))
+                cuts.append(_walk(text, judged))
             yield _rows(pdf["key"].tolist(), texts, cuts, with_text)
 
     return source.select("key", "text").join(listed, "key").mapInPandas(split, schema)

@@ -79,7 +79,7 @@ def test_starters_are_learnt_from_what_follows_sentence_ends(spark):
     text = "Das Haus im Land war sehr alt. Abend kam über das Land. Die Leute gingen heim nach Wald. Abend war es, als alt und jung heim zum Wald ging."
     rows = [(i, text, "de") for i in range(60)] + [(100, "Da war ein Graf im schloss.", "de")]
     counts = st.learn_counts(spark.createDataFrame(rows, "key long, text string, lang string"))
-    got = {r.next: r.starter for r in st.starters(counts).collect()}
+    got = {r.next: r.starter for r in st.starters(st.statistics(counts)).collect()}
     assert got["abend"] and got["die"]
     assert not got.get("schloss") and not got.get("wald")
 
@@ -89,3 +89,24 @@ def test_short_sentences_end_at_numbers_and_common_letters(spark):
     df = spark.createDataFrame([(i, text, "en") for i in range(40)], "key long, text string, lang string")
     got = [r.text for r in st.split_sentences(df).where("key = 0").orderBy("sent_no").collect()]
     assert got[:3] == ["It was 1842.", "He left.", "So do I."]
+
+
+def test_join_gives_the_same_as_sending_what_is_learnt(spark):
+    thai = [(1000 + i, f"ชาวนาซื้อบ้าน 15 หลัง ในคืนนั้น {'ครูเฒ่า' if i % 2 else 'ชาวนา'}ขายม้า", "th") for i in range(30)]
+    rows = [(i, t, "en") for i, t, _ in corpus()] + thai + [(2000, "It was 1842. He left. So do I. No. 7 is here.", None)]
+    df = spark.createDataFrame(rows, "key long, text string, lang string")
+    assert sorted(map(tuple, st.split_sentences(df).collect())) == sorted(map(tuple, st.split_sentences(df, max_learnt=0).collect()))
+
+
+def test_rows_of_one_key_that_differ_give_the_least_text_every_time(spark):
+    df = spark.createDataFrame([(1, "Beta came. He left.", "en"), (1, "Alpha came.", "en"), (2, "x", None)], "key long, text string, lang string")
+    for parts in (1, 3):
+        assert [r.text for r in st.split_sentences(df.repartition(parts)).orderBy("key").collect()] == ["Alpha came.", "x"]
+
+
+def test_long_words_and_clauses_are_read_whole():
+    word = "a" * 5000
+    stop = [x for x in st.candidates(f"The {word}. Next one.") if x[1] == "stop"]
+    assert stop[0][2] == word
+    thai = "”" + "ช" * 300 + "กล่าว ครูขายม้า"
+    assert st._reports(thai, 1)
