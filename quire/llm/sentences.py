@@ -205,29 +205,14 @@ _COUNTS = "lang string, what string, a string, b string, n long"
 
 
 def _tally(lang: str, text: str, counts: dict[tuple[str, str], Counter]) -> None:
-    """Counts of one text: words with and without period, their case, what follows a period."""
-    plain, period, lower, inner = [], [], [], []
-    last = -1
-    for m in _TOKEN.finditer(text):
-        word = m.group()
-        kind = _kind(word)
-        c = word[0]
-        if word[-1] == ".":
-            period.append(kind)
-            small = False
-        else:
-            plain.append(kind)
-            small = c.islower()
-        if small:
-            lower.append(kind)
-        elif last >= 0 and c.isupper() and not _OPENED.search(text, last - 1, m.start()):
-            inner.append(kind)
-        last = m.end()
-    counts[lang, "plain"].update(plain)
-    counts[lang, "period"].update(period)
-    counts[lang, "lower"].update(lower)
-    counts[lang, "inner"].update(inner)
-    if period or "." in text:
+    """Counts of one text: its words as printed, capitals within sentences, what follows a period."""
+    words = _TOKEN.findall(text)
+    counts[lang, "word"].update(words)
+    gaps = _TOKEN.split(text)
+    counts[lang, "inner"].update(
+        _kind(w) for w, gap, last in zip(words[1:], gaps[1:], words) if w[0].isupper() and last[-1] != "." and (gap == " " or not _OPENED.search(gap))
+    )
+    if "." in text:
         counts[lang, "after"].update((x[2], x[3] if x[4] == "upper" else "##") for x in candidates(text) if x[1] == "stop" and x[4] in ("upper", "digit"))
     if _THAI.search(text):
         chunks = [c.lstrip("“‘«\"'(") for c in text.split()]
@@ -236,6 +221,24 @@ def _tally(lang: str, text: str, counts: dict[tuple[str, str], Counter]) -> None
                 counts[lang, "first" if i == 0 else "chunk"][c[:_PREFIX]] += 1
 
 
+def _counted(counts: dict[tuple[str, str], Counter]) -> Iterator[tuple[str, str, str, str, int]]:
+    """(lang, what, a, b, n): printed words by type, with and without period and small."""
+    for (lang, what), own in counts.items():
+        if what == "after":
+            yield from ((lang, what, *k, n) for k, n in own.items())
+        elif what != "word":
+            yield from ((lang, what, k, "", n) for k, n in own.items())
+        else:
+            types: Counter = Counter()
+            for word, n in own.items():
+                kind = _kind(word)
+                period = word[-1] == "."
+                types["period" if period else "plain", kind] += n
+                if not period and word[0].islower():
+                    types["lower", kind] += n
+            yield from ((lang, *k, "", n) for k, n in types.items())
+
+
 def learn_counts(texts: DataFrame) -> DataFrame:
     """(lang, what, a, b, n) over all of (text, lang); tasks sum up before anything is shuffled."""
 
@@ -243,7 +246,7 @@ def learn_counts(texts: DataFrame) -> DataFrame:
         counts: dict[tuple[str, str], Counter] = defaultdict(Counter)
 
         def flush() -> pd.DataFrame:
-            rows = [(lang, what, *(k if what == "after" else (k, "")), n) for (lang, what), own in counts.items() for k, n in own.items()]
+            rows = list(_counted(counts))
             counts.clear()
             return pd.DataFrame(rows, columns=["lang", "what", "a", "b", "n"])
 
