@@ -33,7 +33,7 @@ STATES = ("header", "text", "break", "footer")
 _H, _B, _K, _T = range(4)
 
 #: Lines at the top and the bottom of a body that are an edge.
-EDGE = 2
+EDGE = 3
 #: Pages of a book, consecutive by number, among which recurrence is seen, and pages at
 #: most that one task looks at together (more, as by repeated deliveries, are parted by hash).
 BLOCK, CELL = 1000, 2000
@@ -112,8 +112,8 @@ def place(lines: list[tuple[int, int, str, bool]]) -> list[int]:
 
 
 #: Places of a line: header field first, further; body first, second, within, last but
-#: one, last; footer field first, further. The place decides the moves between states.
-PLACES = 9
+#: one, last; footer field first, further; anywhere on a title page. The place decides the moves between states.
+PLACES = 10
 #: Values of each feature: form, recurrence, usual place of the shape, blank after, length.
 SIZES = (15, 3, 3, 2, 4)
 
@@ -140,11 +140,12 @@ _MOVES = (
     _FIELD,
     ((30, 55, 14, 1), (20, 65, 15, 0), (0, 90, 10, 0), (0, 95, 5, 0), _AFTER_FOOTER),
     ((5, 95, 5, 0), (8, 75, 17, 0), (0, 97, 3, 0), (0, 90, 10, 0), _AFTER_FOOTER),
-    ((0, 95, 5, 0), (0, 95, 5, 0), (0, 98, 2, 0), (0, 90, 10, 0), _AFTER_FOOTER),
+    ((0, 95, 5, 0), (2, 93, 5, 0), (0, 97.9, 2, 0.1), (0, 90, 10, 0.1), _AFTER_FOOTER),
     ((0, 90, 5, 5), (0, 90, 5, 5), (0, 94, 2, 4), (0, 88, 8, 4), _AFTER_FOOTER),
     ((0, 60, 5, 35), (0, 60, 5, 35), (0, 59, 1, 40), (0, 60, 5, 35), _AFTER_FOOTER),
     ((0, 7, 0, 93), (0, 7, 0, 93), (0, 7, 0, 93), (0, 7, 0, 93), _AFTER_FOOTER),
     ((0, 7, 0, 93), (0, 7, 0, 93), (0, 15, 0, 85), (0, 7, 0, 93), _AFTER_FOOTER),
+    ((0, 95, 5, 0), (0, 95, 5, 0), (0, 98, 2, 0), (0, 90, 10, 0), _AFTER_FOOTER),
 )
 _N_MOVES = PLACES * 5 * 4
 
@@ -234,7 +235,7 @@ def features(pages: list[list[tuple[int, int, str, bool]]]) -> list[np.ndarray]:
             # a title page has no furniture but numbers: its lines are what headers repeat
             odd = title and zone == 1 and forms[i] in (6, 7, 10, 12, 13)
             size = len(line.strip()) / usual_size
-            x[i] = 4 if odd else places[i], 14 if odd else forms[i], recurs, 0, blank, 0 if size < 0.4 else 1 if size < 0.8 else 2 if size < 1.2 else 3
+            x[i] = 9 if odd else places[i], 14 if odd else forms[i], recurs, 0, blank, 0 if size < 0.4 else 1 if size < 0.8 else 2 if size < 1.2 else 3
         out.append(x)
     return out
 
@@ -258,6 +259,12 @@ def _lines(pdf: pd.DataFrame) -> list[list[tuple[int, int, str, bool]]]:
     return [page_lines(*x) for x in zip(pdf["page_header"], pdf["page_body"], pdf["page_footer"])]
 
 
+def _plain(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The same rows as plain objects, null as None, ready to be sent back."""
+    out = pdf.astype(object).where(pdf.notna(), None)
+    return out.astype({"page_id": "int64", "page_no": "Int32"})
+
+
 def _matrix(data: bytes) -> np.ndarray:
     return np.frombuffer(data, dtype=np.uint8).reshape(-1, len(SIZES) + 1).astype(np.int64)
 
@@ -339,8 +346,9 @@ def with_usual(analysed: DataFrame, max_learnt: int = MAX_LEARNT) -> DataFrame:
                     table = {r["shape"]: r["usual"] for r in own}
                     x[:, 3] = [table.get(k, 0) for k in shapes]
                 out.append(x.tobytes())
-            pdf["features"] = out
-            yield pdf[_names(_FILLED)]
+            filled = _plain(pdf[_names(_PAGE)])
+            filled["features"] = out
+            yield filled
 
     return durable(asked.drop("edges").mapInPandas(fill, _FILLED))
 
@@ -496,7 +504,7 @@ def vocabulary(labelled: DataFrame) -> DataFrame:
 
         def flush() -> pd.DataFrame:
             keys = list({**n, **seen})
-            out = pd.DataFrame({"w": keys, "n": [n[k] for k in keys], "free": [n[k] - cut[k] for k in keys], "seen": [seen[k] for k in keys]})
+            out = pd.DataFrame([(k, n[k], n[k] - cut[k], seen[k]) for k in keys], columns=["w", "n", "free", "seen"])
             for c in (n, cut, seen):
                 c.clear()
             return out

@@ -492,7 +492,7 @@ def _first_of_key(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             keep.iloc[0] = False
         if len(pdf):
             last = key.iloc[-1]
-        yield pdf[keep]
+        yield pdf[keep].astype({c: object for c in pdf.columns if pd.api.types.is_string_dtype(pdf[c])})
 
 
 def _rows(keys: list, texts: list[str], cuts: list[list[int]], with_text: bool) -> pd.DataFrame:

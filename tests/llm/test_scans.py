@@ -62,7 +62,7 @@ def test_planted_cases_are_found(spark):
 def test_compounds_keep_their_hyphen(spark):
     body = "the well-known widow and the well-known keeper saw a lantern there\nagain the well-\nknown bridge and a lan-\ntern of the well-known garden here"
     df = spark.createDataFrame([(1, "b", 1, None, body, None)], SCHEMA)
-    lines, broken, _ = scans.repair(df)
+    _, broken, _ = scans.repair(df)
     got = {(r.half, r.rest): r.broken for r in broken.collect()}
     assert got == {("well", "known"): False, ("lan", "tern"): True}
 
@@ -106,5 +106,51 @@ def test_empty_table(spark):
 
 def test_misreadings_spare_plurals_and_common_neighbours(spark):
     words = ["ladder"] * 60 + ["ladders"] * 3 + ["ladcler"] + ["garden"] * 40 + ["garclen"] + ["shadow"] * 30 + ["shaclow"] + ["this"] * 5 + ["the"] * 90
-    df = spark.createDataFrame([(w,) for w in words], "word string")
+    df = spark.createDataFrame([(w,) for w in words], "word string").groupBy("word").count().withColumnRenamed("count", "n")
     assert {(r.word, r.meant) for r in scans.misreadings(df).collect()} == {("ladcler", "ladder"), ("garclen", "garden"), ("shaclow", "shadow")}
+
+
+def test_signs_inside_words_need_no_frequent_spelling_and_signs_at_ends_may_belong(spark):
+    counts = {"spaniels": 2, "spanie1s": 1, "of": 40, "0f": 2, "no": 900, "n°": 60}
+    df = spark.createDataFrame(list(counts.items()), "word string, n long")
+    assert {(r.word, r.meant) for r in scans.misreadings(df).collect()} == {("spanie1s", "spaniels"), ("0f", "of")}
+
+
+def test_a_third_furniture_line_at_the_top_is_found(spark):
+    rng = random.Random(5)
+    pages = []
+    for no in range(1, 31):
+        lines = [str(no), "THE OLD LANTERN OF HOLM", "HARBOUR LIBRARY, EAST WING"]
+        lines += ["    " * (i % 6 == 0) + " ".join(rng.choice(WORDS) for _ in range(7)) for i in range(18)]
+        pages.append((no, "b", no, None, "\n".join(lines), None))
+    found = {tuple(r) for r in scans.findings(spark.createDataFrame(pages, SCHEMA)).where("kind = 'furniture'").collect()}
+    assert len(found & {(no, i, "furniture") for no in range(1, 31) for i in (1, 2, 3)}) > 85 and len(found) <= 90
+
+
+def test_a_page_delivered_twice_gives_its_text_once(spark):
+    first = "    The first paragraph of this book ends on the next pa-"
+    second = "ge and not here, as one might have thought at first.\n    A second one begins in the middle of the page here."
+    pages = [(1, "b", 1, None, first, None), (2, "b", 2, None, second, None), (3, "b", 1, None, first, None), (4, "b", 2, None, second, None), (5, None, 1, None, first, None)]
+    out = scans.paragraphs(spark.createDataFrame(pages, SCHEMA)).collect()
+    texts = {(r.page_id, r.first_line): r.text for r in out if r.text}
+    assert texts == {
+        (1, 1): "The first paragraph of this book ends on the next page and not here, as one might have thought at first.",
+        (2, 2): "A second one begins in the middle of the page here.",
+        (5, 1): "The first paragraph of this book ends on the next pa",
+    }
+    assert {(r.page_id, r.copy_of) for r in out if r.copy_of} == {(3, 1), (4, 2)}
+    assert all(r.copy_of is None for r in out if r.page_id == 5)
+
+
+def test_a_broken_word_and_a_paragraph_go_on_over_blocks_of_numbers(spark):
+    edge = scans.BLOCK
+    pages = [(1, "b", edge - 1, None, "    The keeper of the harbour saw a lan-", None), (2, "b", edge, None, "tern beyond the orchard and the mea-", None), (3, "b", 3 * edge, None, "dow was quiet.", None)]
+    out = scans.paragraphs(spark.createDataFrame(pages, SCHEMA)).collect()
+    assert [r.text for r in out] == ["The keeper of the harbour saw a lantern beyond the orchard and the meadow was quiet."]
+
+
+def test_joins_give_the_same_as_sending_what_is_learnt(spark):
+    pages, _ = volume()
+    df = spark.createDataFrame(pages, SCHEMA)
+    assert sorted(map(tuple, scans.findings(df).collect())) == sorted(map(tuple, scans.findings(df, max_learnt=0).collect()))
+    assert sorted(map(str, scans.paragraphs(df).collect())) == sorted(map(str, scans.paragraphs(df, max_learnt=0).collect()))
