@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.runtime import durable
+from quire.runtime import durable, task_count
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -16,23 +16,23 @@ def _state(edges: DataFrame) -> tuple:
     return row[0], row[1]
 
 
-#: Edges of one key that are contracted together, and nodes that a task holds at once.
-PORTION, HELD = 50_000, 500_000
+#: Edges of one key that are contracted together.
+PORTION = 50_000
 
 
 def _contract(edges: DataFrame, near: str) -> DataFrame:
-    """Replace the edges (u, v) of each portion by stars of the same components.
+    """Replace the edges (u, v) of each portion by stars (u, v, whole) of the same components.
 
-    Edges of one ``near`` meet in one task; a key of many edges is split into portions.
-    A task holds a bounded number of nodes and starts afresh beyond, so nothing is lost:
-    what stays apart here is joined by the rounds that follow.
+    Edges of one ``near`` meet in one task, one key after the other; a key of many edges is
+    split into portions, whose stars are not ``whole``. A task holds the nodes of one portion.
     """
     sizes = edges.groupBy(near).agg(F.ceil(F.count(F.lit(1)) / PORTION).alias("_cells"))
-    placed = edges.join(sizes.hint("merge"), near).withColumn("_salt", F.pmod(F.xxhash64("u"), F.col("_cells")))
-    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = edges.join(sizes, near).withColumn("_salt", F.pmod(F.xxhash64("u"), F.col("_cells")))
+    kind = edges.schema["u"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parent: dict = {}
+        now, whole = None, True
 
         def root(x):
             while parent[x] != x:
@@ -40,52 +40,71 @@ def _contract(edges: DataFrame, near: str) -> DataFrame:
                 x = parent[x]
             return x
 
-        def stars() -> pd.DataFrame:
-            rows = [(x, root(x)) for x in parent if root(x) != x]
+        def stars() -> list[tuple]:
+            rows = [(x, root(x), whole) for x in parent if root(x) != x]
             parent.clear()
-            return pd.DataFrame(rows, columns=["u", "v"])
+            return rows
 
+        out: list[tuple] = []
         for pdf in batches:
-            for u, v in zip(pdf["u"], pdf["v"]):
+            for key, salt, cells, u, v in zip(pdf["near"], pdf["_salt"], pdf["_cells"], pdf["u"], pdf["v"]):
+                if now != (key, salt):
+                    out += stars()
+                    now, whole = (key, salt), cells == 1
+                    if len(out) > PORTION:
+                        yield pd.DataFrame(out, columns=["u", "v", "whole"])
+                        out = []
                 parent.setdefault(u, u)
                 parent.setdefault(v, v)
                 a, b = root(u), root(v)
                 if a != b:
                     parent[max(a, b)] = min(a, b)
-            if len(parent) > HELD:
-                yield stars()
-        yield stars()
+        yield pd.DataFrame(out + stars(), columns=["u", "v", "whole"])
 
-    kind = edges.schema["u"].dataType.simpleString()
-    spread = placed.repartition(parts, near, "_salt").select("u", "v")
-    return spread.mapInPandas(run, f"u {kind}, v {kind}")
+    dealt = placed.repartition(task_count(edges.sparkSession), near, "_salt").sortWithinPartitions(near, "_salt")
+    return dealt.select(F.col(near).alias("near"), "_salt", "_cells", "u", "v").mapInPandas(run, f"u {kind}, v {kind}, whole boolean")
 
 
-def connected_components(edges: DataFrame, a: str, b: str, near: str | None = None) -> DataFrame:
+def connected_components(edges: DataFrame, a: str, b: str, within: str | None = None) -> DataFrame:
     """(node, component) of every node on an edge; a component is named by its least node.
 
     Alternates large-star and small-star steps, which turn every component into a
     star around its least node in about log(n) rounds; each round is a handful of
-    shuffles with map-side minima, and its result is checkpointed. ``near`` names a column
-    that most edges of a component share; such edges are contracted first, which saves
-    rounds. Joins are by merge: what they add grows with the graph, and many small
-    broadcasts would pile up in the driver. Null ends and loops are ignored, repeated edges count once, no edges give no rows.
+    shuffles with map-side minima, and its result is checkpointed. ``within`` names a
+    column that all edges of a component share (as records of one book): components are
+    then found key by key, and only the keys of more than ``PORTION`` edges need rounds.
+    Null ends and loops are ignored, repeated edges count once, no edges give no rows.
     """
     clean = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
     ends = F.greatest(a, b).alias("u"), F.least(a, b).alias("v")
-    pairs = _contract(clean.select(*ends, F.coalesce(F.col(near).cast("string"), F.lit("")).alias("_near")), "_near") if near else clean.select(*ends)
-    now = durable(pairs.distinct())
+    if not within:
+        return _spread_names(_rounds(clean.select(*ends)))
+    stars = durable(_contract(clean.select(*ends, F.coalesce(F.col(within).cast("string"), F.lit("")).alias("_near")), "_near"))
+    split = stars.where("not whole").select("u", "v")
+    done = stars.where("whole").select("u", "v")
+    return _spread_names(done if split.isEmpty() else done.unionByName(_rounds(split)))
+
+
+def _spread_names(stars: DataFrame) -> DataFrame:
+    return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+        stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    )
+
+
+def _rounds(edges: DataFrame) -> DataFrame:
+    """Stars (u, v) around the least node v of every component."""
+    now = durable(edges.distinct())
     state = _state(now)
     while True:
         around = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = around.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = (
-            around.join(least.hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            around.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .where("u <> v").distinct()
         )
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
-            large.join(least.hint("merge"), "u")
+            large.join(least, "u")
             .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
             .select("e.u", "e.v")
             .where("u <> v")
@@ -94,7 +113,4 @@ def connected_components(edges: DataFrame, a: str, b: str, near: str | None = No
         now = durable(small)
         before, state = state, _state(now)
         if state == before:
-            break
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-        now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    )
+            return now

@@ -71,7 +71,7 @@ def running_lines(edges: DataFrame) -> DataFrame:
     """(book_id, side, pos, at, cluster): edge lines in a component of three or more similar lines."""
     pairs = similar_lines(edges)
     node = lambda p, a: F.concat_ws("\x01", "book_id", "side", F.format_string("%09d", p), F.format_string("%04d", a))
-    whole = connected_components(pairs.select(node("pos_a", "at_a").alias("a"), node("pos_b", "at_b").alias("b")), "a", "b")
+    whole = connected_components(pairs.select("book_id", node("pos_a", "at_a").alias("a"), node("pos_b", "at_b").alias("b")), "a", "b", within="book_id")
     sizes = whole.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(f"n >= {CLUSTER}")
     part = F.split("node", "\x01")
     return whole.join(sizes, "component").select(

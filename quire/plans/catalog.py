@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.plans import books, corpus, similarity, volumes
+from quire.plans import books, corpus, volumes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
-for _module in (corpus, books, volumes, similarity):
+for _module in (corpus, books, volumes):
     QUERIES |= _module.QUERIES
     SQL |= _module.SQL
