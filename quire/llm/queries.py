@@ -8,8 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm import languages, leaks, mixing, pieces, scans, sentences
+from quire.llm import name_links as nl
+from quire.llm import near_duplicates as nd
 from quire.runtime import table
 
+#: Words of a run and similarity by which the found pairs are defined.
+_WORDS, _THRESHOLD = 3, 0.5
+
 
 def _sentences(spark: SparkSession, sf_dir: str, with_text: bool = True) -> DataFrame:
     return sentences.paragraph_sentences(table(spark, sf_dir, "p"), table(spark, sf_dir, "book"), with_text)
@@ -47,6 +52,31 @@ def p3_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.page_languages(_segments(spark, sf_dir)).withColumnRenamed("key", "page_id")
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    members, links = nd.near_duplicates(table(spark, sf_dir, "book"), "book_id", "body", _WORDS, _THRESHOLD)
+    return nd.all_pairs(members, links).select(F.col("key_a").alias("book_id_a"), F.col("key_b").alias("book_id_b"))
+
+
+def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of nearly equal bodies with five-word shingles and similarity 0.8."""
+    members, links = nd.near_duplicates(table(spark, sf_dir, "book"), "book_id", "body", short=True)
+    return nd.groups(members, links).select(
+        F.col("key").alias("book_id"), F.col("group").alias("group_id"), "copies", "links"
+    )
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = nl.link_names(table(spark, sf_dir, "characters"))
+    return nl.entity_pairs(linked).select(F.col("a").alias("char_uid_a"), F.col("b").alias("char_uid_b"))
+
+
+def p5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = nl.link_names(table(spark, sf_dir, "characters"))
+    return nl.entity_groups(linked).select(
+        F.col("uid").alias("char_uid"), F.col("book").alias("book_id"), F.col("group").alias("entity_uid"), "links"
+    )
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.exact_leaks(leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")))
 
@@ -86,12 +116,24 @@ def p8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_sentences, p2_found, p2_paragraphs, p3_found, p3_segments, p3_pages, p6_found, p6_leaks, p7_found, p7_plan, p7_mix, p7_report, p8_found, p8_pieces)
+    f.__name__: f for f in (p1_found, p1_sentences, p2_found, p2_paragraphs, p3_found, p3_segments, p3_pages, p4_found, p4_groups, p5_found, p5_groups, p6_found, p6_leaks, p7_found, p7_plan, p7_mix, p7_report, p8_found, p8_pieces)
 }
 
 _SIZE = "octet_length(encode(coalesce(text, '')))"
 
 SQL: dict[str, str] = {
+    "p4_found": r"""
+        WITH w AS (
+            SELECT book_id, regexp_extract_all(lower(body), '[\p{L}\p{M}\p{Nd}]+') AS w FROM book WHERE body IS NOT NULL),
+        s AS (
+            SELECT book_id, list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) AS s
+            FROM w WHERE len(w) >= 3),
+        e AS (SELECT book_id, len(s) AS n, unnest(s) AS g FROM s),
+        c AS (
+            SELECT a.book_id AS book_id_a, b.book_id AS book_id_b, a.n + b.n AS total, count(*) AS k
+            FROM e a JOIN e b ON a.g = b.g AND a.book_id < b.book_id
+            GROUP BY ALL)
+        SELECT book_id_a, book_id_b FROM c WHERE k >= 0.5 * (total - k)""",
     "p7_found": f"""
         WITH s AS (
             SELECT m.source, max(m.target_share) AS target_share, max(m.max_repeats) AS max_repeats,
