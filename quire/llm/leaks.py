@@ -17,12 +17,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.words import hash_words, plain_words
+from quire.runtime import durable
 
 #: 1 = compared, 0 = ignored. All have span 12, so none misses a run of 12 equal words.
 MASKS: tuple[str, ...] = ("110110110111", "111011011011", "101101111011")
 SPAN = 12
-#: Up to so many seeds (16 bytes each) the test side is broadcast; beyond, seeds are joined by shuffle.
+#: Up to so many seeds (16 bytes each), and a third as many words, the test side is broadcast;
+#: beyond, seeds are joined by shuffle.
 MAX_BROADCAST_SEEDS = 4_000_000
+#: Bits (as a power of two) of the sieve that keeps other seeds of documents from that shuffle.
+SIEVE = 27
 
 _MULTIPLIERS = np.random.default_rng(20_240_607).integers(1, 2**63, size=(len(MASKS), SPAN), dtype=np.uint64) * 2 + 1
 
@@ -80,8 +84,9 @@ def _best(rows: list[tuple]) -> list[tuple]:
 
 
 def item_words(items: DataFrame) -> DataFrame:
-    """item_id with the hashes of its words (as signed longs). Rows without an id or
-    words are left out; an id that occurs twice keeps both texts."""
+    """item_id with the hashes of its words (as signed longs). Rows without an id and items
+    of fewer words than a seed spans, which can match nothing, are left out; an id that
+    occurs twice keeps both texts."""
 
     def tokenise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -90,7 +95,7 @@ def item_words(items: DataFrame) -> DataFrame:
             )
 
     source = items.select("item_id", "text").where("item_id is not null and text is not null")
-    return source.mapInPandas(tokenise, "item_id long, words array<long>").where(F.size("words") > 0)
+    return source.mapInPandas(tokenise, "item_id long, words array<long>").where(F.size("words") >= SPAN)
 
 
 def _broadcast_search(docs: DataFrame, pairs: list[tuple[int, np.ndarray]]) -> DataFrame:
@@ -141,26 +146,40 @@ def _broadcast_search(docs: DataFrame, pairs: list[tuple[int, np.ndarray]]) -> D
     return docs.mapInPandas(search, _FOUND)
 
 
-def _seed_rows(table: DataFrame, key: str) -> DataFrame:
-    """Exploded seeds (key, seed, at) of a table of word hashes."""
+def _seed_rows(table: DataFrame, key: str, sieve=None) -> DataFrame:
+    """Exploded seeds (key, seed, at) of a table of word hashes, those that pass the sieve."""
 
     def seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        passing = np.unpackbits(sieve.value).astype(bool) if sieve is not None else None
         for pdf in batches:
             for k, words in zip(pdf[key], pdf["words"]):
                 found = seed_hashes(np.asarray(words, dtype=np.int64).view(np.uint64))
                 n = found.shape[1]
-                yield pd.DataFrame(
-                    {key: np.full(n * len(MASKS), k), "seed": found.reshape(-1).view(np.int64), "at": np.tile(np.arange(n, dtype=np.int32), len(MASKS))}
-                )
+                flat, at = found.reshape(-1), np.tile(np.arange(n, dtype=np.int32), len(MASKS))
+                if passing is not None:
+                    keep = passing[(flat >> np.uint64(64 - SIEVE)).astype(np.int64)]
+                    flat, at = flat[keep], at[keep]
+                yield pd.DataFrame({key: np.full(len(flat), k), "seed": flat.view(np.int64), "at": at})
 
     return table.mapInPandas(seeds, f"{key} long, seed long, at int")
 
 
+def _sieve(seeds: DataFrame) -> np.ndarray:
+    """Bits set at the leading bits of all seeds; the same size whatever their number."""
+    place = F.shiftrightunsigned("seed", 64 - SIEVE)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int"))
+    rows = seeds.groupBy(F.shiftright(place, 6).alias("at")).agg(F.bit_or(bit).alias("bits")).toPandas()
+    out = np.zeros(1 << (SIEVE - 6), dtype=np.int64)
+    out[rows["at"].to_numpy(dtype=np.int64)] = rows["bits"].to_numpy(dtype=np.int64)
+    return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
+
+
 def _shuffle_search(docs: DataFrame, words: DataFrame) -> DataFrame:
     """The same search for test collections too large to broadcast.
 
-    Seeds of a document that no item has never leave the join; diagonals are made
-    distinct before either text is fetched. AQE splits seeds that many rows share.
+    A sieve of all item seeds drops nearly every other seed of a document before the
+    shuffle; diagonals are made distinct before either text is fetched. AQE splits seeds
+    that many rows share.
     """
 
     def tokenise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -171,8 +190,9 @@ def _shuffle_search(docs: DataFrame, words: DataFrame) -> DataFrame:
 
     texts = docs.mapInPandas(tokenise, "doc_id long, words array<long>").withColumn("_row", F.xxhash64("doc_id", "words"))
     theirs = words.withColumn("_item", F.xxhash64("item_id", "words"))
-    left = _seed_rows(texts.select("_row", "words"), "_row").withColumnRenamed("at", "doc_at")
-    right = _seed_rows(theirs.select("_item", "words"), "_item").withColumnRenamed("at", "item_at")
+    right = durable(_seed_rows(theirs.select("_item", "words"), "_item").withColumnRenamed("at", "item_at"))
+    sieve = docs.sparkSession.sparkContext.broadcast(np.packbits(_sieve(right)))
+    left = _seed_rows(texts.select("_row", "words"), "_row", sieve).withColumnRenamed("at", "doc_at")
     lines = left.join(right, "seed").select("_row", "_item", (F.col("doc_at") - F.col("item_at")).alias("line")).distinct()
     both = lines.join(texts.dropDuplicates(["_row"]), "_row").join(
         theirs.dropDuplicates(["_item"]).select("_item", "item_id", F.col("words").alias("item_text")), "_item"
@@ -199,8 +219,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, max_broadcast_seeds: int = MAX
     """
     docs = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
     words = item_words(items)
-    n_seeds = words.agg(F.sum(F.greatest(F.size("words") - (SPAN - 1), F.lit(0))) * len(MASKS)).first()[0] or 0
-    if n_seeds <= max_broadcast_seeds:
+    n_words = words.agg(F.sum(F.size("words").cast("long"))).first()[0] or 0
+    if n_words * len(MASKS) <= max_broadcast_seeds:  # no more seeds than that either
         pairs = [(r["item_id"], np.array(r["words"], dtype=np.int64).view(np.uint64)) for r in words.collect()]
         found = _broadcast_search(docs, pairs)
     else:

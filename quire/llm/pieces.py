@@ -105,14 +105,19 @@ def split_text(
     """Pieces (first content char, start incl. overlap, end, strength after) as 0-based offsets.
 
     Content and overlap together never exceed the limit. The overlap is the longest
-    run of whole code points before the content whose size is at most ``overlap``.
-    An overlap above half the limit is lowered to half of it and always leaves room
-    for one code point (4 bytes); a limit below 4 counts as 4.
+    run of whole code points before the content whose size is at most ``overlap``; a
+    negative one is none. Where limit and overlap leave no room for some code point of the
+    text nothing can be cut: that is a ValueError.
     """
-    limit = max(4, limit)
-    overlap = max(0, min(overlap, limit // 2, limit - 4))
+    overlap = max(0, overlap)
+    cap = limit - overlap
+    if cap < 1:
+        raise ValueError(f"an overlap of {overlap} leaves no room within {limit}")
+    segments = atoms(text, cap, size)
+    if any(n > cap for _, _, n, _ in segments):
+        raise ValueError(f"{limit} with an overlap of {overlap} leaves no room for one character")
     out = []
-    for first, end, _, strength in merge(atoms(text, limit - overlap, size), limit - overlap):
+    for first, end, _, strength in merge(segments, cap):
         begin = first
         if first and overlap:
             low, high = max(0, first - overlap), first
@@ -129,7 +134,7 @@ def split_text(
 
 _PIECES = (
     "doc_id long, source string, piece_no int, n_pieces int, start_char int, content_char int, "
-    "end_char int, n_tokens int, boundary int, piece string"
+    "end_char int, n_tokens int, boundary int, piece string, error string"
 )
 
 
@@ -174,7 +179,8 @@ def split_oversized(
     Offsets are code points from 1; ``start_char`` counts the overlap in,
     ``content_char`` is the first character that is new. The new parts of all
     pieces, concatenated, give the text back. Null and empty texts and texts
-    within the limit give no row. ``size`` counts tokens, by default UTF-8 bytes
+    within the limit give no row. A document whose limit and overlap leave no room for a
+    character gives one row with ``piece_no`` 0 that says so in ``error``. ``size`` counts tokens, by default UTF-8 bytes
     (ByT5); any other count must not exceed the sum over parts.
     """
     measured = size or utf8_len
@@ -190,10 +196,15 @@ def split_oversized(
             ):
                 if size is not None and measured(text) <= limit:
                     continue
-                cuts = split_text(text, int(limit), int(overlap), measured)
+                try:
+                    cuts = split_text(text, int(limit), int(overlap), measured)
+                except ValueError as e:
+                    rows.append((doc, source, 0, 0, None, None, None, measured(text), None, None, str(e)))
+                    continue
                 for i, (first, begin, end, strength) in enumerate(cuts):
                     part = text[begin:end]
-                    rows.append((doc, source, i + 1, len(cuts), begin + 1, first + 1, end, measured(part), strength, part))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _PIECES.split(", ")])
+                    rows.append((doc, source, i + 1, len(cuts), begin + 1, first + 1, end, measured(part), strength, part, None))
+            out = pd.DataFrame(rows, columns=[c.split()[0] for c in _PIECES.split(", ")])
+            yield out.astype({c: "Int32" for c in ("start_char", "content_char", "end_char", "boundary")})
 
     return sized.mapInPandas(pieces, _PIECES)

@@ -68,3 +68,8 @@ def test_empty(spark):
     i = spark.createDataFrame(items, "item_id long, text string")
     assert leaks.find_leaks(d.limit(0), i).count() == 0
     assert leaks.find_leaks(d, i.limit(0)).count() == 0
+
+
+def test_short_items_are_never_gathered(spark):
+    items = spark.createDataFrame([(i, "a b c d e f g h") for i in range(50)] + [(99, " ".join(f"t{k}" for k in range(12)))], "item_id long, text string")
+    assert [r.item_id for r in leaks.item_words(items).collect()] == [99]
