@@ -21,6 +21,8 @@ PATTERNS = {
     "whitespace": r"\s+",
     "generic_text": r".+",
 }
+#: Words with which the number words of headings begin.
+NUMBER_PARTS = tuple(dict.fromkeys(w.replace(" ", "-").split("-")[0] for w in NUMBER_WORDS))
 STYLES = ("one", "One", "ONE", "first", "First", "FIRST")
 ROMAN = ("roman_upper", "roman_lower")
 WORDS = tuple(f"word_number_{s}" for s in STYLES)

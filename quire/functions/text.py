@@ -1,17 +1,17 @@
 """Column expressions on text: cleaning, similarity, numbers. All stay in the JVM
-except transliteration, which needs Unicode decomposition."""
+except transliteration, which looks signs up in a table."""
 
 from __future__ import annotations
 
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions.types import STRING
 
-# Letters that decomposition leaves, and typographic signs.
+# Signs and letters that go before the general transliteration.
 TRANSLITERATION = {
     "’": "'", "‘": "'", "‚": "'", "“": '"', "”": '"', "„": '"', "«": '"', "»": '"', "—": "--", "–": "-", "‐": "-", "…": "...",
     "ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "ø": "o", "Ø": "O", "đ": "d", "Đ": "D", "ł": "l", "Ł": "L", "þ": "th",
@@ -57,18 +57,57 @@ def plain_quotes(text: Column | str) -> Column:
     return F.replace(F.replace(text, F.lit("''"), F.lit('"')), F.lit("``"), F.lit('"'))
 
 
-@F.pandas_udf(STRING)
-def transliterate(text: pd.Series) -> pd.Series:
-    """ASCII rendering: fixed substitutions, decomposition, marks and the rest dropped."""
-    table = str.maketrans(TRANSLITERATION)
-
-    def one(t: str | None) -> str | None:
-        if t is None or t.isascii():
-            return t
-        flat = unicodedata.normalize("NFKD", t.translate(table))
-        return flat.encode("ascii", "ignore").decode("ascii")
-
-    return text.map(one, na_action="ignore")
+_latin: dict[int, str] = {}
+
+
+def _named(c: str) -> str:
+    """Last resort for a letter: the last word of its Unicode name, else its code."""
+    words = [w for w in unicodedata.name(c, "").split() if w.isascii() and w.isalpha()]
+    return words[-1].lower() if words else f"u{ord(c):x}"
+
+
+def latin_table(spark: SparkSession) -> dict[int, str]:
+    """ASCII renderings of all other letters, marks, digits and signs of Unicode, made once by
+    the transliterator that Spark brings along (pinyin, romaji, Cyrillic, Thai, Devanagari, ...)
+    in one call. No letter or digit is left without a rendering; the table has the size of
+    Unicode whatever the texts."""
+    if _latin:
+        return _latin
+    signs = [chr(c) for c in range(0x80, 0x2FA20) if unicodedata.category(chr(c))[0] in "LMNPSZ"]
+    icu = spark.sparkContext._jvm.com.ibm.icu.text.Transliterator
+    rules = "Any-Latin; NFKD; [:Mn:] Remove; Latin-ASCII"
+    # each sign on a line of its own, so that none changes its neighbour's reading
+    rendered = icu.getInstance(rules).transliterate("\n".join(signs)).split("\n")
+    # Russian letters behind a consonant, as they are read within words
+    russian = [c for c in signs if "\u0400" <= c < "\u0530"]
+    read = icu.getInstance(f"Russian-Latin/BGN; {rules}").transliterate("\n".join("т" + c for c in russian)).split("\n")
+    if len(rendered) != len(signs) or len(read) != len(russian):
+        raise ValueError("transliteration lost line breaks")
+    readings = dict(zip(signs, rendered)) | {c: out[1:] for c, out in zip(russian, read)}
+    for c, out in readings.items():
+        kind = unicodedata.category(c)[0]
+        flat = "".join(x for x in unicodedata.normalize("NFKD", out) if x.isascii())
+        if kind in "LN" and not flat.strip():
+            value = unicodedata.numeric(c, None) if kind == "N" else None
+            flat = f"{value:g}" if value is not None else _named(c)
+        _latin[ord(c)] = flat
+    _latin.update({ord(k): v for k, v in TRANSLITERATION.items()})
+    return _latin
+
+
+def transliterate(text: Column | str) -> Column:
+    """ASCII rendering of a text in any script, sign by sign; a Chinese character is a
+    syllable with a space after it. Signs without rendering (marks, symbols) are dropped,
+    letters and digits never."""
+    spark = SparkSession.active()
+    sent = spark.sparkContext.broadcast(latin_table(spark))
+
+    @F.pandas_udf(STRING)
+    def render(texts: pd.Series) -> pd.Series:
+        table = {k: v + " " if 0x3400 <= k < 0xA000 or 0xF900 <= k < 0xFB00 or k >= 0x20000 else v for k, v in sent.value.items()}
+        return texts.map(lambda t: t if t.isascii() else unicodedata.normalize("NFC", t).translate(table).encode("ascii", "ignore").decode("ascii"), na_action="ignore")
+
+    return render(F.col(text) if isinstance(text, str) else text)
 
 
 def capital_share(text: Column | str) -> Column:

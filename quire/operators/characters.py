@@ -320,7 +320,7 @@ def characters(entities: DataFrame, tokens: DataFrame, genders: DataFrame | None
 
 def annotate_tokens(tokens: DataFrame, people: DataFrame) -> DataFrame:
     """Give tokens the character of the mention (book_id, start_tok, end_tok, character) they lie
-    in; of several the one that begins last."""
-    inside = people.select("book_id", "start_tok", "character", F.explode(F.sequence("start_tok", "end_tok")).alias("tok_num"))
-    one = inside.groupBy("book_id", "tok_num").agg(F.max_by("character", "start_tok").alias("character"))
+    in; of several the one that begins last, then the last by alphabet."""
+    inside = people.where("end_tok >= start_tok").select("book_id", "start_tok", "character", F.explode(F.sequence("start_tok", "end_tok")).alias("tok_num"))
+    one = inside.groupBy("book_id", "tok_num").agg(F.max_by("character", F.struct("start_tok", "character")).alias("character"))
     return tokens.join(one, ["book_id", "tok_num"], "left")

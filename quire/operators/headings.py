@@ -10,6 +10,7 @@ from quire.functions import heading_rules as hr
 from quire.functions import text as tx
 from quire.functions.types import struct
 from quire.operators.windows import islands
+from quire.runtime import durable
 
 _HEADING = "rule string, desc string, number int, number_text string, number_type string, title string, bare_title boolean, bare_upper boolean"
 #: A run is no list of contents if matches fill at most this share of its span, and its
@@ -33,11 +34,17 @@ def _match(text: pd.Series) -> pd.DataFrame:
     return out.astype({"number": "Int32"})
 
 
+_NUMBERED = r"^[^A-Za-z0-9]*(?:[0-9]|[MDCLXVImdclxvi]+(?![A-Za-z0-9])|(?i:" + "|".join((*hr.DESCRIPTORS, *hr.NUMBER_PARTS)) + "))"
+
+
 def match_headings(paras: DataFrame) -> DataFrame:
     """Paragraphs (book_id, para_no, text) that a heading rule matches as a whole, with its parts.
     Paragraphs mostly in capitals are raised to capitals first; quotes around them don't count."""
     raised = paras.select("book_id", "para_no", tx.bare(tx.raise_capitals(F.trim("text"))).alias("text"))
-    return raised.where("text <> ''").withColumn("m", _match("text")).where("m.rule is not null").select("book_id", "para_no", "text", "m.*")
+    # a heading begins with a descriptor or number, or is a title: without small letters,
+    # or one line (of Latin letters on) that doesn't end like a sentence
+    possible = F.col("text").rlike(_NUMBERED) | ~F.col("text").rlike("[a-z]") | (~F.contains(F.regexp_replace("text", "^[^A-Za-z]*", ""), F.lit("\n")) & ~F.col("text").rlike(r"[.?\-!:;,]$"))
+    return raised.where((F.col("text") != "") & possible).withColumn("m", _match("text")).where("m.rule is not null").select("book_id", "para_no", "text", "m.*")
 
 
 def merge_titles(found: DataFrame, upper_only: bool = False) -> DataFrame:
@@ -127,7 +134,8 @@ def headings(paras: DataFrame, upper_only: bool = False) -> DataFrame:
     with the same bare title rule are one.
     """
     columns = ["book_id", "para_no", "desc", "number", "number_text", "number_type", "title", "rule", "text"]
-    found = merge_titles(match_headings(paras), upper_only)
+    # read by six branches below; the grammar runs once
+    found = durable(merge_titles(match_headings(paras), upper_only))
     runs = number_runs(found)
     accepted = accepted_runs(runs)
     kept = prune_runs(runs, accepted, found).select(*columns)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions import text as tx
@@ -35,7 +35,8 @@ def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = table(spark, sf_dir, "page").where("book_id is not null and page_no is not null and page_body is not null")
     one = page.groupBy("book_id", "page_no").agg(F.min_by("page_body", "page_id").alias("t"))
     parts = one.select("book_id", "page_no", F.posexplode(F.split("t", r"\n[^\S\n]*\n\s*")).alias("at", "text")).where(F.trim("text") != "")
-    return parts.select("book_id", (F.col("page_no") * 1000 + F.col("at")).alias("para_no"), F.trim("text").alias("text"))
+    order = Window.partitionBy("book_id").orderBy("page_no", "at")
+    return parts.select("book_id", F.row_number().over(order).alias("para_no"), F.trim("text").alias("text"))
 
 
 def heading_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +56,26 @@ def _headed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _blocks(spark, sf_dir).withColumn("is_header", header)
 
 
+def _with_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks with the headings that the heading operator finds."""
+    blocks = _blocks(spark, sf_dir)
+    found = hd.headings(blocks).select("book_id", "para_no", F.lit(True).alias("is_header"))
+    return blocks.join(found, ["book_id", "para_no"], "left")
+
+
+def headed_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mk.regions(_with_headings(spark, sf_dir)).select("book_id", "para_no", "is_header", "region")
+
+
+def headed_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mk.sections(mk.nest(_with_headings(spark, sf_dir)))
+
+
+def body_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headings in the paragraphs of the delivered bodies."""
+    return hd.headings(mk.paragraphs(_bodies(spark, sf_dir), "text").where("not star"))
+
+
 def book_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mk.regions(_headed(spark, sf_dir)).select("book_id", "para_no", "is_header", "region")
 
@@ -65,7 +86,7 @@ def nested_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def book_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mk.sections(mk.nest(_headed(spark, sf_dir)))
-    return out.select("book_id", "header_no", F.length("text").alias("n_chars"), F.size("end_offsets").alias("paras"), F.element_at("end_offsets", -1).alias("last_end"))
+    return out.select("book_id", "header_no", "text", F.array_join(F.transform("end_offsets", lambda x: x.cast("string")), " ").alias("end_offsets"))
 
 
 def capital_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,7 +199,7 @@ def ranked_characters(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        split_notices, book_paragraphs, markup_spans, heading_matches, headings, headings_upper, book_regions, nested_paragraphs, book_sections,
+        split_notices, book_paragraphs, markup_spans, heading_matches, headings, headings_upper, body_headings, headed_regions, headed_sections, book_regions, nested_paragraphs, book_sections,
         capital_paragraphs, plain_texts, roman_values, number_words, person_mentions, absorbed_honorifics, frequent_mentions, phrase_search,
         complete_entities, consecutive_phrases, pronoun_references, reference_counts, parsed_names, nearest_honorifics, resolved_names,
         character_table, character_json, ranked_characters,
@@ -191,7 +212,7 @@ _PEOPLE = """people AS (
 _TOK = """words AS (
     SELECT book_id, tok_num_in_doc AS tok_num, min(word) AS word FROM tokens WHERE tok_num_in_doc IS NOT NULL GROUP BY ALL)"""
 _BLOCKS = r"""blocks AS (
-    SELECT book_id, page_no * 1000 + i AS para_no, trim(text) AS text FROM (
+    SELECT book_id, (row_number() OVER (PARTITION BY book_id ORDER BY page_no, i))::INT AS para_no, trim(text) AS text FROM (
         SELECT book_id, page_no, unnest(range(len(x)))::INT AS i, unnest(x) AS text FROM (
             SELECT book_id, page_no, regexp_split_to_array(arg_min(page_body, page_id), '\n[^\S\n]*\n\s*') AS x FROM page
             WHERE book_id IS NOT NULL AND page_no IS NOT NULL AND page_body IS NOT NULL GROUP BY ALL))
@@ -237,6 +258,44 @@ SQL = {
         WITH {_HEADED}, f AS (SELECT book_id, min(para_no) AS p, arg_min(is_header, para_no) AS h FROM headed GROUP BY ALL),
         u AS (SELECT book_id, para_no, is_header FROM headed UNION ALL SELECT book_id, p - 1, true FROM f WHERE NOT h)
         SELECT *, sum(is_header::INT) OVER (PARTITION BY book_id ORDER BY para_no)::BIGINT AS header_no FROM u""",
+    "book_sections": f"""
+        WITH {_HEADED}, f AS (SELECT book_id, min(para_no) AS p, arg_min(is_header, para_no) AS h FROM headed GROUP BY ALL),
+        u AS (SELECT book_id, para_no, text, is_header FROM headed UNION ALL SELECT book_id, p - 1, NULL, true FROM f WHERE NOT h),
+        n AS (SELECT *, sum(is_header::INT) OVER (PARTITION BY book_id ORDER BY para_no)::BIGINT AS header_no FROM u),
+        o AS (SELECT *, (sum(length(text) + 2) OVER (PARTITION BY book_id, header_no ORDER BY para_no))::BIGINT AS e FROM n WHERE NOT is_header)
+        SELECT book_id, header_no, string_agg(text, chr(10) || chr(10) ORDER BY para_no) AS text, string_agg(e::VARCHAR, ' ' ORDER BY para_no) AS end_offsets
+        FROM o GROUP BY book_id, header_no HAVING count(*) > 1""",
+    "number_words": f"SELECT * FROM (VALUES {', '.join(str((n, tx.cardinal(n), tx.ordinal(n), n, n)) for n in range(201))}) t(n, cardinal, ordinal, cardinal_value, ordinal_value)",
+    "roman_values": """
+        WITH f AS (SELECT page_id, trim(page_footer) AS numeral FROM page WHERE regexp_full_match(trim(page_footer), '[MDCLXVImdclxvi]+')),
+        c AS (SELECT page_id, numeral, generate_subscripts(string_split(upper(numeral), ''), 1) AS i, unnest(string_split(upper(numeral), '')) AS c FROM f),
+        v AS (SELECT *, CASE c WHEN 'I' THEN 1 WHEN 'V' THEN 5 WHEN 'X' THEN 10 WHEN 'L' THEN 50 WHEN 'C' THEN 100 WHEN 'D' THEN 500 ELSE 1000 END AS v FROM c),
+        m AS (SELECT *, max(v) OVER (PARTITION BY page_id ORDER BY i DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS later FROM v)
+        SELECT page_id, numeral, sum(CASE WHEN v < coalesce(later, 0) THEN -v ELSE v END)::INT AS value FROM m GROUP BY ALL""",
+    "reference_counts": f"""
+        WITH {_PEOPLE}, {_TOK}, k AS (
+            SELECT book_id, tok_num, CASE WHEN lower(word) IN {_in(ch.MALE_PRONOUNS)} THEN 'male' WHEN lower(word) IN {_in(ch.FEMALE_PRONOUNS)} THEN 'female'
+                WHEN lower(word) IN {_in(ch.FIRST_PERSON)} THEN 'first' WHEN lower(word) IN {_in(ch.SECOND_PERSON)} THEN 'second' END AS kind FROM words),
+        m AS (SELECT book_id, start_tok, max(phrase) AS phrase FROM people WHERE phrase IS NOT NULL GROUP BY ALL),
+        r AS (SELECT k.book_id, k.kind, m.phrase FROM (SELECT * FROM k WHERE kind IS NOT NULL) k ASOF JOIN m ON m.book_id = k.book_id AND m.start_tok <= k.tok_num),
+        c AS (SELECT book_id, phrase, count(*) FILTER (kind = 'male') AS male, count(*) FILTER (kind = 'female') AS female,
+                     count(*) FILTER (kind = 'first') AS first, count(*) FILTER (kind = 'second') AS second FROM r GROUP BY ALL)
+        SELECT *, CASE WHEN male > 1.1 * female THEN 'male' WHEN female > 1.1 * male THEN 'female' END AS gender FROM c""",
+    "parsed_names": rf"""
+        WITH n AS (SELECT DISTINCT unnest(map_keys(names)) AS name FROM characters),
+        w AS (SELECT name, list_filter(regexp_split_to_array(trim(name), '\s+'), lambda x: x <> '') AS w FROM n),
+        h AS (SELECT *, len(w) > 1 AND lower(w[1]) IN {_in(ch.HONORIFICS)} AS has FROM w),
+        r AS (SELECT *, CASE WHEN has THEN w[1] END AS honorific, CASE WHEN has THEN w[2:] ELSE w END AS r FROM h),
+        p AS (SELECT *, len(r) AS k, r[1] AS a, r[2] AS b, r[-1] AS z FROM r)
+        SELECT name, honorific, CASE WHEN k = 1 THEN a WHEN k > 3 THEN array_to_string(r, ' ') END AS generic_name,
+            CASE WHEN k IN (2, 3) AND NOT regexp_full_match(a, '.\.?') THEN a END AS first_name,
+            CASE WHEN k IN (2, 3) AND regexp_full_match(a, '.\.?') THEN a[1] END AS first_initial,
+            CASE WHEN k = 3 AND NOT regexp_full_match(b, '.\.?') THEN b END AS middle_name,
+            CASE WHEN k = 3 AND regexp_full_match(b, '.\.?') THEN b[1] END AS middle_initial,
+            CASE WHEN k IN (2, 3) AND NOT regexp_full_match(z, '.\.?') THEN z END AS last_name,
+            CASE WHEN k IN (2, 3) AND regexp_full_match(z, '.\.?') THEN z[1] END AS last_initial,
+            CASE WHEN lower(honorific) IN {_in(ch.MALE_HONORIFICS)} THEN 'male' WHEN lower(honorific) IN {_in(ch.FEMALE_HONORIFICS)} THEN 'female' END AS gender
+        FROM p""",
     "book_regions": f"""
         WITH {_HEADED}, a AS (SELECT *, min(para_no) FILTER (is_header) OVER (PARTITION BY book_id) AS f,
                 coalesce(max(para_no) FILTER (is_header) OVER (PARTITION BY book_id), -1) AS l,

@@ -38,14 +38,16 @@ def lemma_counts_non_character(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tokens_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exports.tokens_export(table(spark, sf_dir, "tokens")).select("book_id", "para_num", "sent_num", "tok_num_in_doc", "tok_num_in_para", "tok_num_in_sent")
+    return exports.tokens_export(table(spark, sf_dir, "tokens"))
 
 
 def entities_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spans = ch.person_mentions(table(spark, sf_dir, "entities"))
-    numbered = spans.withColumn("entity", F.col("start_tok").cast("long") * 100_000 + F.col("end_tok")).withColumn("tok_num", F.explode(F.sequence("start_tok", "end_tok")))
+    """Entities of all kinds; of a span tagged twice the first kind by alphabet."""
+    tagged = _spans(spark, sf_dir).where("start_tok is not null and end_tok >= start_tok")
+    spans = tagged.groupBy("book_id", "start_tok", "end_tok").agg(F.min("ner").alias("ner"))
+    numbered = spans.select("book_id", F.struct("start_tok", "end_tok").alias("entity"), F.explode(F.sequence("start_tok", "end_tok")).alias("tok_num"), "ner")
     words = ch.distinct_tokens(table(spark, sf_dir, "tokens"))
-    return exports.entities_export(numbered.select("book_id", "entity", "tok_num", F.lit("PERSON").alias("ner")).join(words, ["book_id", "tok_num"]))
+    return exports.entities_export(numbered.join(words, ["book_id", "tok_num"]))
 
 
 def quotes_export(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,6 +89,12 @@ def quote_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return annotation.shift_spans(local, tokens, ["begin", "end"], by="para_num")
 
 
+def character_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every token with the person in whose mention it lies."""
+    people = ch.person_mentions(table(spark, sf_dir, "entities")).withColumnRenamed("phrase", "character")
+    return ch.annotate_tokens(ch.distinct_tokens(table(spark, sf_dir, "tokens")), people)
+
+
 def antecedents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mentions of one spelling as a chain."""
     people = ch.person_mentions(table(spark, sf_dir, "entities"))
@@ -105,7 +113,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         lemma_counts, pos_counts, dep_counts, lemma_counts_non_entity, lemma_counts_non_character, tokens_export, entities_export,
-        quotes_export, new_books, annotated_tokens, entity_spans, resolved_spans, token_heads, quote_offsets, antecedents, sentence_paragraphs,
+        quotes_export, new_books, character_tokens, annotated_tokens, entity_spans, resolved_spans, token_heads, quote_offsets, antecedents, sentence_paragraphs,
     )
 }
 
@@ -129,15 +137,41 @@ SQL = {
             SELECT 1 FROM spans e WHERE e.book_id = t.book_id AND t.tok_num_in_doc BETWEEN e.a AND e.b)
         GROUP BY lemma""",
     "tokens_export": """
-        WITH t AS (SELECT DISTINCT ON (book_id, tok_num_in_doc) * FROM tokens)
-        SELECT book_id, para_num, sent_num, tok_num_in_doc,
+        WITH r AS (SELECT *, row_number() OVER (PARTITION BY book_id, tok_num_in_doc ORDER BY para_num NULLS FIRST, sent_num NULLS FIRST,
+                word NULLS FIRST, lemma NULLS FIRST, pos_tag NULLS FIRST, dependency_relation NULLS FIRST, dependency_head_token_num NULLS FIRST, ner NULLS FIRST) AS k FROM tokens),
+        t AS (SELECT * FROM r WHERE k = 1)
+        SELECT book_id, para_num, sent_num, tok_num_in_doc, word, lemma, pos_tag, dependency_relation, dependency_head_token_num, ner,
                tok_num_in_doc - min(tok_num_in_doc) OVER (PARTITION BY book_id, para_num) AS tok_num_in_para,
                tok_num_in_doc - min(tok_num_in_doc) OVER (PARTITION BY book_id, para_num, sent_num) AS tok_num_in_sent
         FROM t""",
     "entities_export": f"""
-        WITH {_PEOPLE}, {_WORDS}
-        SELECT p.book_id, min(w.tok) AS start_tok_num, max(w.tok) AS end_tok_num, string_agg(w.word, ' ' ORDER BY w.tok) AS phrase, 'PERSON' AS ner
-        FROM people p JOIN words w ON w.book_id = p.book_id AND w.tok BETWEEN p.a AND p.b GROUP BY p.book_id, p.a, p.b""",
+        WITH {_WORDS}, p AS (
+            SELECT book_id, start_tok_num AS a, end_tok_num AS b, min(ner) AS ner FROM entities
+            WHERE start_tok_num IS NOT NULL AND end_tok_num >= start_tok_num GROUP BY ALL)
+        SELECT p.book_id, min(w.tok) AS start_tok_num, max(w.tok) AS end_tok_num, string_agg(w.word, ' ' ORDER BY w.tok) AS phrase, any_value(p.ner) AS ner
+        FROM p JOIN words w ON w.book_id = p.book_id AND w.tok BETWEEN p.a AND p.b GROUP BY p.book_id, p.a, p.b""",
+    "resolved_spans": """
+        WITH RECURSIVE s AS (SELECT DISTINCT book_id, start_tok_num AS a, end_tok_num AS e FROM entities WHERE start_tok_num IS NOT NULL),
+        o AS (SELECT *, row_number() OVER (PARTITION BY book_id ORDER BY a, e DESC) AS k FROM s),
+        w AS (SELECT book_id, k, a, e, true AS kept, e AS last FROM o WHERE k = 1 UNION ALL
+              SELECT o.book_id, o.k, o.a, o.e, o.a > w.last, CASE WHEN o.a > w.last THEN o.e ELSE w.last END FROM w JOIN o ON o.book_id = w.book_id AND o.k = w.k + 1)
+        SELECT book_id, a AS start_tok, e AS end_tok FROM w WHERE kept""",
+    "quote_offsets": """
+        WITH t AS (SELECT DISTINCT book_id, para_num, tok_num_in_doc AS tok_num FROM tokens)
+        SELECT q.book_id, t.para_num, q.begin_tok_num AS "begin", q.end_tok_num AS "end"
+        FROM (SELECT DISTINCT book_id, begin_tok_num, end_tok_num FROM quotes) q
+        JOIN t ON t.book_id = q.book_id AND t.tok_num = q.begin_tok_num WHERE t.para_num IS NOT NULL""",
+    "sentence_paragraphs": """
+        WITH t AS (SELECT * FROM tokens WHERE sent_num IS NOT NULL AND para_num IS NOT NULL),
+        s AS (SELECT DISTINCT book_id, sent_num AS sent, min(tok_num_in_doc) OVER (PARTITION BY book_id, para_num, sent_num) AS start FROM t),
+        p AS (SELECT book_id, para_num, max(tok_num_in_doc) + 1 AS e FROM t GROUP BY ALL),
+        n AS (SELECT book_id, e, min(para_num) AS para_num FROM p GROUP BY ALL)
+        SELECT s.book_id, s.start, s.sent, n.para_num FROM s ASOF LEFT JOIN n ON n.book_id = s.book_id AND s.start < n.e""",
+    "character_tokens": f"""
+        WITH {_PEOPLE}, t AS (SELECT book_id, tok_num_in_doc AS tok_num, min(word) AS word FROM tokens WHERE tok_num_in_doc IS NOT NULL GROUP BY ALL),
+        c AS (SELECT t.book_id, t.tok_num, p.phrase, row_number() OVER (PARTITION BY t.book_id, t.tok_num ORDER BY p.a DESC, p.phrase DESC) AS k
+              FROM t JOIN people p ON p.book_id = t.book_id AND t.tok_num BETWEEN p.a AND p.b)
+        SELECT t.book_id, t.tok_num, t.word, c.phrase AS "character" FROM t LEFT JOIN c ON c.book_id = t.book_id AND c.tok_num = t.tok_num AND c.k = 1""",
     "quotes_export": "SELECT DISTINCT book_id, mention, begin_tok_num, end_tok_num, begin_mention_tok_num, end_mention_tok_num FROM quotes",
     "new_books": "SELECT book_id, lib_id FROM book WHERE book_id NOT IN (SELECT book_id FROM page WHERE book_id IS NOT NULL)",
     "entity_spans": """

@@ -39,7 +39,7 @@ def page_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cut(df: DataFrame) -> DataFrame:
-    return df.select("book_id", "page_no", "cut_head", "cut_tail", F.size("lines").alias("n_lines"))
+    return df.select("book_id", "page_no", "cut_head", "cut_tail", F.array_join("lines", "\n").alias("text"))
 
 
 def strip_unlettered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,11 +52,11 @@ def strip_numerals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def majority_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = vo.if_majority(vo.strip_numerals(vo.strip_unlettered(_pages(spark, sf_dir))), vo.strip_headings)
-    return out.select("book_id", "page_no", "applied", F.size("lines").alias("n_lines"))
+    return out.select("book_id", "page_no", "applied", F.array_join("lines", "\n").alias("text"))
 
 
 def strip_usual(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vo.strip_usual(_pages(spark, sf_dir)).select("book_id", "page_no", "cut_head", F.size("lines").alias("n_lines"))
+    return vo.strip_usual(_pages(spark, sf_dir)).select("book_id", "page_no", "cut_head", F.array_join("lines", "\n").alias("text"))
 
 
 def clean_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,10 +176,10 @@ _CLEAN = r"lower(trim(regexp_replace({0}, '[^\p{{L}}\p{{M}}]+', ' ', 'g')))"
 _EDGE = f"""{_VOL}, pos AS (SELECT *, row_number() OVER (PARTITION BY book_id ORDER BY page_no) AS pos FROM pg),
 ln AS (SELECT book_id, page_no, pos, len(lines) AS n, unnest(range(len(lines)))::INT AS i, unnest(lines) AS line FROM pos)"""
 _STRIP = """
-WITH {vol}, k AS (SELECT book_id, page_no, len(lines) AS n, [{keep} FOR s IN lines] AS keep FROM pg),
+WITH {vol}, k AS (SELECT book_id, page_no, lines, len(lines) AS n, [{keep} FOR s IN lines] AS keep FROM pg),
 e AS (SELECT *, CASE WHEN list_position(keep, true) IS NULL OR list_position(keep, true) = 0 THEN n ELSE list_position(keep, true) - 1 END AS h,
              CASE WHEN list_position(list_reverse(keep), true) IS NULL OR list_position(list_reverse(keep), true) = 0 THEN n ELSE list_position(list_reverse(keep), true) - 1 END AS f FROM k)
-SELECT book_id, page_no, h::INT AS cut_head, least(f, n - h)::INT AS cut_tail, (n - h - least(f, n - h))::INT AS n_lines FROM e"""
+SELECT book_id, page_no, h::INT AS cut_head, least(f, n - h)::INT AS cut_tail, array_to_string(lines[h + 1:n - least(f, n - h)], chr(10)) AS text FROM e"""
 SQL = {
     "clean_lines": f"""WITH {_EDGE} SELECT book_id, page_no, i AS "at", {_CLEAN.format('line')} AS clean FROM ln""",
     "strip_unlettered": _STRIP.format(vol=_VOL, keep=r"regexp_matches(s, '\p{L}')"),

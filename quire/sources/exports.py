@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 def tokens_export(tokens: DataFrame) -> DataFrame:
     """Eleven columns per token; numbers within paragraph and sentence are counted from the
-    first token of each. A token number given twice is exported once."""
-    one = tokens.dropDuplicates(["book_id", "tok_num_in_doc"])
+    first token of each. Of a token number given twice the least row is exported (by the
+    columns in order, nulls first)."""
+    columns = ("para_num", "sent_num", "word", "lemma", "pos_tag", "dependency_relation", "dependency_head_token_num", "ner")
+    one = tokens.groupBy("book_id", "tok_num_in_doc").agg(F.min(F.struct(*columns)).alias("t")).select("book_id", "tok_num_in_doc", "t.*")
     first = lambda *keys: F.min("tok_num_in_doc").over(Window.partitionBy("book_id", *keys))
     return one.select(
         "book_id",
@@ -29,7 +31,7 @@ def tokens_export(tokens: DataFrame) -> DataFrame:
 
 def entities_export(entity_tokens: DataFrame) -> DataFrame:
     """(book_id, start_tok_num, end_tok_num, phrase, ner) from tokens (book_id, entity, tok_num,
-    word, ner) that carry an entity number."""
+    word, ner) that carry an entity, whatever kind of key that is."""
     per = entity_tokens.where("entity is not null").groupBy("book_id", "entity").agg(
         F.min("tok_num").alias("start_tok_num"), F.max("tok_num").alias("end_tok_num"), F.array_sort(F.collect_list(F.struct("tok_num", "word"))).alias("l"), F.min_by("ner", "tok_num").alias("ner")
     )

@@ -51,3 +51,20 @@ def test_capitals(spark):
     df = spark.createDataFrame([("THE MILl",), ("The Mill",), ("12",)], "t string")
     assert [r[0] for r in df.select(tx.raise_capitals("t")).collect()] == ["THE MILL", "The Mill", "12"]
     assert df.select(F.round(tx.capital_share("t"), 2)).collect()[2][0] is None
+
+
+def test_transliteration_drops_no_letter(spark):
+    texts = ["Привет Åsa 北京", "ひらがな", "สวัสดี", "नमस्ते", "Œuvre straße", "שלום", "Ελλάδα", "한글", "②٣", "plain", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.t for r in df.select("i", tx.transliterate("t").alias("t")).collect()}
+    assert got[0] == "Privet Asa bei jing " and got[4] == "OEuvre strasse" and got[9] == "plain" and got[10] == "" and got[11] is None
+    for i in range(9):
+        letters = sum(c.isalnum() for c in texts[i])
+        assert got[i].isascii() and sum(c.isalnum() for c in got[i]) >= letters
+
+
+def test_prefilter_keeps_every_match(spark):
+    texts = ["CHAPTER IV. THE OLD MILL", "(IV)", "One", "The Pond", "Кучер рисовал.\nУзкую кружку\nPage 6", "He said so.", "Two men came\nhome late.", "Twenty-First Letter", "xiv. Things", "it was", "\"THE INN\""]
+    df = spark.createDataFrame([("b", i, t) for i, t in enumerate(texts)], "book_id string, para_no int, text string")
+    found = {r.para_no for r in hd.match_headings(df).collect()}
+    assert found == {i for i, t in enumerate(texts) if hr.best_rule(t.strip('"'))}
