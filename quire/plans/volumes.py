@@ -180,7 +180,103 @@ WITH {vol}, k AS (SELECT book_id, page_no, lines, len(lines) AS n, [{keep} FOR s
 e AS (SELECT *, CASE WHEN list_position(keep, true) IS NULL OR list_position(keep, true) = 0 THEN n ELSE list_position(keep, true) - 1 END AS h,
              CASE WHEN list_position(list_reverse(keep), true) IS NULL OR list_position(list_reverse(keep), true) = 0 THEN n ELSE list_position(list_reverse(keep), true) - 1 END AS f FROM k)
 SELECT book_id, page_no, h::INT AS cut_head, least(f, n - h)::INT AS cut_tail, array_to_string(lines[h + 1:n - least(f, n - h)], chr(10)) AS text FROM e"""
+# edit distance counts bytes in SQL: the signs of each pair become single bytes first
+_BYTES = "array_to_string([chr((20 + list_position(d, c))::INT) FOR c IN string_split({0}, '')], '')"
+_SIMILAR = _EDGE + rf""", cl AS (SELECT book_id, pos, n, i, {_CLEAN.format('line')} AS c FROM ln),
+eg AS (SELECT *, unnest([s FOR s IN [CASE WHEN i < 3 THEN 'header' END, CASE WHEN i >= n - 3 THEN 'footer' END] IF s IS NOT NULL]) AS side FROM cl WHERE length(c) >= 4),
+pr AS (SELECT a.book_id, a.side, a.pos AS pos_a, a.i AS at_a, b.pos AS pos_b, b.i AS at_b, a.c AS ca, b.c AS cb,
+              list_distinct(string_split(a.c || b.c, '')) AS d, greatest(length(a.c), length(b.c)) AS m
+       FROM eg a JOIN eg b ON b.book_id = a.book_id AND b.side = a.side AND b.pos BETWEEN a.pos + 1 AND a.pos + 5
+       WHERE abs(length(a.c) - length(b.c)) <= (1 - 0.7::DOUBLE) * greatest(length(a.c), length(b.c))),
+sim AS (SELECT book_id, side, pos_a, at_a, pos_b, at_b FROM pr WHERE 1 - levenshtein({_BYTES.format('ca')}, {_BYTES.format('cb')}) / m::DOUBLE >= 0.7)"""
+_RUNNING = _SIMILAR + r""", nd AS (
+    SELECT book_id, printf('%s%s%s%s%09d%s%04d', book_id, chr(1), side, chr(1), pos_a, chr(1), at_a) AS a,
+           printf('%s%s%s%s%09d%s%04d', book_id, chr(1), side, chr(1), pos_b, chr(1), at_b) AS b FROM sim),
+ed AS (SELECT a, b FROM nd UNION SELECT b, a FROM nd),
+re AS (SELECT a, a AS b FROM ed UNION SELECT re.a, ed.b FROM re JOIN ed ON ed.a = re.b),
+co AS (SELECT a, min(b) AS cluster, count(*) AS n FROM re GROUP BY a),
+run AS (SELECT string_split(a, chr(1)) AS x, cluster FROM co WHERE n >= 3),
+rl AS (SELECT x[1] AS book_id, x[2] AS side, x[3]::INT AS pos, x[4]::INT AS i, cluster FROM run)"""
+_NUMBERS = rf"""x AS (SELECT *, CASE WHEN trim(lines[-1]) = '' AND len(lines) > 1 THEN len(lines) - 2 ELSE len(lines) - 1 END AS i
+                            FROM pos WHERE len(lines) > 0),
+        y AS (SELECT book_id, pos, i, [d FOR d IN regexp_extract_all(lines[i + 1], '\d+') IF length(d) <= 4] AS d FROM x),
+        z AS (SELECT book_id, pos, i, d[1]::INT AS number FROM y WHERE len(d) = 1),
+        b AS (SELECT *, CASE WHEN number <> lag(number) OVER (PARTITION BY book_id ORDER BY pos) + 1 THEN 1 ELSE 0 END AS b FROM z),
+        r AS (SELECT *, sum(b) OVER (PARTITION BY book_id ORDER BY pos) AS run FROM b),
+        s AS (SELECT *, count(*) OVER (PARTITION BY book_id, run) AS n FROM r)"""
+_HEADING_LIKE = r"(regexp_matches(s, '\p{Lu}') AND (NOT regexp_matches(s, '\p{Ll}') OR NOT regexp_matches(s, '(^|[^\p{L}])\p{Ll}|\p{L}\p{Lu}')))"
+
+
+def _stripped(name: str, source: str, keep: str, tail: bool = True) -> str:
+    """CTEs that take off the edge lines of ``source`` which don't keep ``keep``."""
+    at = "coalesce(nullif(list_position({0}, true), 0) - 1, len(lines))"
+    foot = at.format("list_reverse(k)") if tail else "0"
+    return f"""{name}k AS (SELECT *, [{keep} FOR s IN lines] AS k FROM {source}),
+        {name}e AS (SELECT * EXCLUDE (k), {at.format('k')} AS h, {foot} AS f FROM {name}k),
+        {name} AS (SELECT book_id, page_no, lines[h + 1:len(lines) - least(f, len(lines) - h)] AS lines, len(lines) AS n FROM {name}e)"""
+
+
+_LETTERED, _UNNUMBERED = r"regexp_matches(s, '\p{L}')", r"NOT (regexp_matches(s, '^[\s\p{Z}]*[^\s\p{Z}]*\d') OR regexp_matches(s, '\d[^\s\p{Z}]*[\s\p{Z}]*$'))"
+_TOKENS = "regexp_split_to_array(regexp_replace(lower(rtrim({0}, ' ')), '[^a-z0-9$£ ]', '', 'g'), '\\s+')"
+_KEYS = "[" + ", ".join(f"'{w}'" for w in dict.fromkeys(pf.KEY_WORDS)) + "]"
 SQL = {
+    "similar_lines": f"""WITH {_SIMILAR} SELECT book_id, side, pos_a::INT AS pos_a, at_a, pos_b::INT AS pos_b, at_b FROM sim""",
+    "running_lines": f"""WITH RECURSIVE {_RUNNING} SELECT book_id, side, pos, i AS "at", cluster FROM rl""",
+    "page_structure": f"""
+        WITH RECURSIVE {_RUNNING}, {_NUMBERS},
+        mk AS (SELECT book_id, side, pos, i FROM rl UNION ALL
+               SELECT book_id, 'footer', pos, i FROM s WHERE n >= 3 AND book_id NOT IN (SELECT book_id FROM rl WHERE side = 'footer')),
+        pe AS (SELECT book_id, pos, max(i + 1) FILTER (side = 'header') AS h, min(i) FILTER (side = 'footer') AS f FROM mk GROUP BY ALL),
+        j AS (SELECT p.book_id, p.page_no, p.lines, len(p.lines) AS n, coalesce(h, 0) AS h, f FROM pos p LEFT JOIN pe USING (book_id, pos)),
+        c AS (SELECT *, greatest(0, least(n - coalesce(f, n), n - h)) AS t FROM j)
+        SELECT book_id, page_no, h::INT AS n_header, t::INT AS n_footer, array_to_string(lines[h + 1:n - t], chr(10)) AS body FROM c""",
+    "majority_headings": f"""
+        WITH {_VOL}, {_stripped('a', 'pg', _LETTERED)}, {_stripped('b', 'a', _UNNUMBERED)},
+        {_stripped('c', 'b', 'NOT ' + _HEADING_LIKE, tail=False)},
+        d AS (SELECT c.book_id, c.page_no, c.lines AS short, b.lines AS long, avg((len(c.lines) < len(b.lines))::INT) OVER (PARTITION BY c.book_id) >= 0.5 AS applied
+              FROM c JOIN b ON b.book_id = c.book_id AND b.page_no = c.page_no)
+        SELECT book_id, page_no, applied, array_to_string(CASE WHEN applied THEN short ELSE long END, chr(10)) AS text FROM d""",
+    "strip_usual": f"""
+        WITH {_VOL}, k AS (SELECT *, [NOT ({_HEADING_LIKE} OR NOT regexp_matches(s, '\\p{{L}}')) FOR s IN lines] AS k FROM pg),
+        o AS (SELECT *, coalesce(nullif(list_position(k, true), 0) - 1, len(lines)) AS own FROM k),
+        u AS (SELECT book_id, own, count(*) AS n, min(page_no) AS first FROM o WHERE own > 0 GROUP BY ALL),
+        m AS (SELECT DISTINCT ON (book_id) book_id, own AS usual FROM u ORDER BY book_id, n DESC, first),
+        a AS (SELECT book_id, avg((own > 0)::INT) AS share FROM o GROUP BY ALL),
+        c AS (SELECT o.*, CASE WHEN share > 0.25 THEN least(own, coalesce(usual, 0)) ELSE 0 END AS cut FROM o JOIN a USING (book_id) LEFT JOIN m USING (book_id))
+        SELECT book_id, page_no, cut::INT AS cut_head, array_to_string(lines[cut + 1:], chr(10)) AS text FROM c""",
+    "reparagraph": f"""
+        WITH {_EDGE}, l AS (SELECT book_id, page_no * 10000 + i AS line_no, line, regexp_matches(line, '^\\s*(CHAPTER|CHAPITRE|KAPITEL|CAPITOLO) [IVXLC]+\\.$') AS hd
+                            FROM ln WHERE trim(line, ' ') <> ''),
+        b AS (SELECT *, CASE WHEN lag(line) OVER w IS NULL OR hd OR lag(hd) OVER w
+                OR (regexp_matches(rtrim(lag(line) OVER w, ' '), '[.?!"'']$') AND regexp_matches(ltrim(line, ' '), '^["''\\p{{Lu}}]')) THEN 1 ELSE 0 END AS b
+              FROM l WINDOW w AS (PARTITION BY book_id ORDER BY line_no)),
+        g AS (SELECT *, sum(b) OVER (PARTITION BY book_id ORDER BY line_no) AS para_no FROM b)
+        SELECT book_id, para_no::BIGINT AS para_no, bool_or(hd) AS is_header, string_agg(trim(line, ' '), ' ' ORDER BY line_no) AS text FROM g GROUP BY ALL""",
+    "word_features": f"""
+        WITH {_VOL}, t AS (SELECT book_id, page_no, {_TOKENS.format("array_to_string(lines, '')")} AS t,
+                flatten([{_TOKENS.format('s')} FOR s IN lines[1:6]]) AS h FROM pg),
+        c AS (SELECT *, len(t) AS n, len([x FOR x IN t IF regexp_matches(x, '^[a-z0-9_]')]) AS w, len([x FOR x IN t IF regexp_matches(x, '^[0-9]')]) AS m FROM t)
+        SELECT book_id, page_no, (n < 5)::INT AS blank_page, (w < 5)::INT AS words_under_5, w::INT AS num_words, m::INT AS num_numbers,
+               CASE WHEN w > 0 THEN round_even(w / n::DOUBLE, 3) END AS word_ratio, CASE WHEN w > 0 THEN round_even(m / n::DOUBLE, 3) END AS num_ratio,
+               CASE WHEN w > 0 THEN round_even((w + 5) / (m + 5)::DOUBLE, 3) END AS word_num_ratio,
+               array_to_string(list_sort([k FOR k IN {_KEYS} IF list_contains(t, k)]), ' ') AS key_words,
+               array_to_string(list_sort([k FOR k IN {_KEYS} IF list_contains(h, k)]), ' ') AS header_words
+        FROM c""",
+    "roman_numerals": f"""
+        WITH {_VOL}, r AS (SELECT [{", ".join(f"'{pf.roman(n)}'" for n in range(2, 500))}] AS r),
+        w AS (SELECT book_id, page_no, flatten([regexp_split_to_array(lower(trim(s, ' ')), '\\s+') FOR s IN lines[1:5]]) AS a,
+                     flatten([regexp_split_to_array(lower(trim(s, ' ')), '\\s+') FOR s IN lines[greatest(len(lines) - 4, 1):]]) AS b FROM pg)
+        SELECT book_id, page_no, list_has_any(a, r) AS roman_top, list_has_any(b, r) AS roman_bottom FROM w CROSS JOIN r""",
+    "letter_features": f"""
+        WITH {_VOL}, w AS (SELECT book_id, page_no, unnest(regexp_split_to_array(lower(array_to_string(lines, '')), '\\s+'))[1] AS l FROM pg),
+        c AS (SELECT book_id, page_no, l, count(*) AS c FROM w WHERE l BETWEEN 'a' AND 'z' GROUP BY ALL),
+        f AS (SELECT pg.book_id, pg.page_no, a.l, coalesce(c.c, 0) + 1 AS c FROM pg CROSS JOIN (SELECT chr(unnest(range(97, 123))::INT) AS l) a
+              LEFT JOIN c ON c.book_id = pg.book_id AND c.page_no = pg.page_no AND c.l = a.l),
+        j AS (SELECT *, sum(c) OVER (PARTITION BY book_id, page_no) AS pc, sum(c) OVER (PARTITION BY book_id, l)::DOUBLE / sum(c) OVER (PARTITION BY book_id) AS u FROM f)
+        SELECT book_id, page_no, sum(((c / pc::DOUBLE - u) / sqrt(u * (1 - u) / c) > 1.65)::INT)::BIGINT AS letters,
+               (sum(((c / pc::DOUBLE - u) / sqrt(u * (1 - u) / c) > 1.65)::INT) > 0)::INT AS letter_1,
+               (sum(((c / pc::DOUBLE - u) / sqrt(u * (1 - u) / c) > 1.65)::INT) > 1)::INT AS letter_2
+        FROM j GROUP BY ALL""",
     "clean_lines": f"""WITH {_EDGE} SELECT book_id, page_no, i AS "at", {_CLEAN.format('line')} AS clean FROM ln""",
     "strip_unlettered": _STRIP.format(vol=_VOL, keep=r"regexp_matches(s, '\p{L}')"),
     "strip_numerals": _STRIP.format(vol=_VOL, keep=r"NOT (regexp_matches(s, '^[\s\p{Z}]*[^\s\p{Z}]*\d') OR regexp_matches(s, '\d[^\s\p{Z}]*[\s\p{Z}]*$'))"),
