@@ -157,12 +157,14 @@ def name_gender(df: DataFrame, genders: DataFrame) -> DataFrame:
     return keyed.join(known, "_name", "left").drop("_name")
 
 
+def _kind(low: Column) -> Column:
+    return F.when(low.isin(*MALE_PRONOUNS), "male").when(low.isin(*FEMALE_PRONOUNS), "female").when(low.isin(*FIRST_PERSON), "first").when(low.isin(*SECOND_PERSON), "second")
+
+
 def pronoun_references(tokens: DataFrame, mentions: DataFrame) -> DataFrame:
     """Pronouns and the nearest mention that begins before them: (book_id, tok_num, kind, phrase).
     Kinds: male, female, first, second. An as-of join by one sort of both."""
-    low = F.lower("word")
-    kind = F.when(low.isin(*MALE_PRONOUNS), "male").when(low.isin(*FEMALE_PRONOUNS), "female").when(low.isin(*FIRST_PERSON), "first").when(low.isin(*SECOND_PERSON), "second")
-    said = tokens.select("book_id", "tok_num", kind.alias("kind"), F.lit(None).cast("string").alias("phrase")).where("kind is not null")
+    said = tokens.select("book_id", "tok_num", _kind(F.lower("word")).alias("kind"), F.lit(None).cast("string").alias("phrase")).where("kind is not null")
     named = mentions.select("book_id", F.col("start_tok").alias("tok_num"), F.lit(None).cast("string").alias("kind"), "phrase")
     w = Window.partitionBy("book_id").orderBy("tok_num", F.col("kind").isNotNull(), "phrase")
     both = said.unionByName(named).withColumn("who", F.last("phrase", ignorenulls=True).over(w))
@@ -186,42 +188,126 @@ def nearest_honorific(named: DataFrame) -> DataFrame:
     return marked.withColumn("honorific", F.coalesce("honorific", before, after)).drop("_g")
 
 
+#: Where a mention's gender comes from, strongest first.
+SOURCES = ("gender_honorific", "gender_coref", "gender_name")
+
+
+def _with_sources(named: DataFrame) -> DataFrame:
+    """All three genders and the honorific; a plain ``gender`` counts as the honorific's."""
+    known = F.col("gender") if "gender" in named.columns and "gender_honorific" not in named.columns else None
+    given = {"gender_honorific": known} if known is not None else {}
+    missing = [c for c in (*SOURCES, "honorific") if c not in named.columns and c not in given]
+    return named.withColumns(given | {c: F.lit(None).cast("string") for c in missing})
+
+
 def name_references(named: DataFrame, least: int = 2) -> DataFrame:
-    """(book_id, key, tok_num, first_name, last_name, gender): mentions by first and last name
-    that occur ``least`` times, under either of their names."""
-    full = named.where("first_name is not null and last_name is not null")
+    """(book_id, key, tok_num, first_name, last_name, three genders, apart): mentions by first and
+    last name that occur ``least`` times, under either of their names. ``apart`` are those
+    whose honorific and given name show different genders ("Mrs John Wilson")."""
+    full = _with_sources(named).where("first_name is not null and last_name is not null")
     often = full.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("book_id", "first_name", "last_name"))).where(F.col("_n") >= least)
-    return often.select("book_id", F.explode(F.array("first_name", "last_name")).alias("key"), "tok_num", "first_name", "last_name", "gender").distinct()
+    apart = F.coalesce(F.col("gender_honorific") != F.col("gender_name"), F.lit(False))
+    return often.select("book_id", F.explode(F.array("first_name", "last_name")).alias("key"), "tok_num", "first_name", "last_name", *SOURCES, apart.alias("apart")).distinct()
+
+
+def _fits(gender: str) -> dict[str, Column]:
+    """Conditions under which a mention ``ref`` shows a gender, by the source that shows it:
+    with no stronger source against it, whatever the others say, or with none against it."""
+    h, c, n = (F.col(f"ref.{x}") for x in SOURCES)
+    free = lambda x: x.isNull() | (x == gender)
+    return {
+        "honorific": h == gender,
+        "coref": (c == gender) & free(h),
+        "name": (n == gender) & free(h) & free(c),
+        "any_coref": c == gender,
+        "any_name": n == gender,
+        "free": free(h) & free(c) & free(n),
+    }
 
 
 def resolve_generic(named: DataFrame, least: int = 2) -> DataFrame:
-    """Full names for mentions of one name (book_id, tok_num, generic_name, gender): the
-    nearest earlier, else later, mention under that name; a known equal gender goes before
-    an unknown one, different genders never match. Unresolved ones keep nulls.
+    """Full names for mentions of one name (book_id, tok_num, generic_name, genders): the
+    nearest earlier, else later, mention under that name that agrees best.
+
+    The gender of the honorific is asked for first, then that of the pronouns, then that
+    of the name; each is looked for among the honorifics of the others, then their
+    pronouns, then their names, where nothing stronger speaks against it. Then whoever
+    shows the mention's strongest gender at all, then whoever has none against it, and
+    for a mention without gender the nearest. "Mrs Wilson" without any goes to a "Mrs
+    John Wilson", later ones first. A known gender of the full name replaces the
+    mention's own, source by source. Unresolved ones keep nulls; ``hit_tok`` is the mention found.
 
     One sort per book and name; each tier is a running last or first value.
     """
-    refs = name_references(named, least).select("book_id", "key", "tok_num", F.struct("first_name", "last_name", "gender").alias("ref"), F.lit(None).cast("string").alias("want"), F.lit(0).alias("ask"))
-    asks = named.where("generic_name is not null").select("book_id", F.col("generic_name").alias("key"), "tok_num", F.lit(None).cast(refs.schema["ref"].dataType).alias("ref"), F.col("gender").alias("want"), F.lit(1).alias("ask"))
+    named = _with_sources(named)
+    whole = F.struct("tok_num", "first_name", "last_name", *SOURCES, "apart")
+    refs = name_references(named, least).select("book_id", "key", "tok_num", whole.alias("ref"), *[F.lit(None).cast("string").alias(c) for c in (*SOURCES, "honorific")], F.lit(0).alias("ask"))
+    asks = named.where("generic_name is not null").select(
+        "book_id", F.col("generic_name").alias("key"), "tok_num", F.lit(None).cast(refs.schema["ref"].dataType).alias("ref"), *SOURCES, "honorific", F.lit(1).alias("ask")
+    )
     w = Window.partitionBy("book_id", "key").orderBy("tok_num", "ask")
     back, ahead = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
-    sex = F.coalesce(F.col("ref.gender"), F.lit("unknown"))
+    usual = F.col("ref").isNotNull() & ~F.col("ref.apart")
+    wanted = {f"{g}_{k}": usual & c for g in ("male", "female") for k, c in _fits(g).items()} | {"one": usual, "apart": F.col("ref").isNotNull() & F.col("ref.apart")}
     columns = {}
-    for g in ("male", "female", "unknown"):
-        own = F.when(F.col("ref").isNotNull() & (sex == g), F.col("ref"))
-        columns[f"p_{g}"] = F.last(own, ignorenulls=True).over(back)
-        columns[f"n_{g}"] = F.first(own, ignorenulls=True).over(ahead)
-    any_ref = F.when(F.col("ref").isNotNull(), F.col("ref"))
-    columns["p_any"], columns["n_any"] = F.last(any_ref, ignorenulls=True).over(back), F.first(any_ref, ignorenulls=True).over(ahead)
+    for name, holds in wanted.items():
+        own = F.when(holds, F.col("ref"))
+        columns[f"p_{name}"], columns[f"n_{name}"] = F.last(own, ignorenulls=True).over(back), F.first(own, ignorenulls=True).over(ahead)
     both = refs.unionByName(asks).withColumns(columns).where("ask = 1")
-    pick = (
-        F.when(F.col("want") == "male", F.coalesce("p_male", "n_male", "p_unknown", "n_unknown"))
-        .when(F.col("want") == "female", F.coalesce("p_female", "n_female", "p_unknown", "n_unknown"))
-        .otherwise(F.coalesce("p_any", "n_any"))
+
+    def tiers(gender: Column, kinds: tuple[str, ...]) -> Column:
+        return F.coalesce(*[F.when(gender == g, F.coalesce(*[F.col(f"{d}_{g}_{k}") for k in kinds for d in "pn"])) for g in ("male", "female")])
+
+    strongest = F.coalesce(*SOURCES)
+    pick = F.coalesce(
+        *[tiers(F.col(c), ("honorific", "coref", "name")) for c in SOURCES],
+        tiers(strongest, ("honorific", "any_coref", "any_name", "free")),
+        F.when(strongest.isNull(), F.coalesce("p_one", "n_one")),
+        F.when(F.lower("honorific").isin("mrs", "mrs."), F.coalesce("n_apart", "p_apart")),
     )
-    return both.withColumn("hit", pick).select(
-        "book_id", "tok_num", F.col("key").alias("generic_name"), F.coalesce("want", F.col("hit.gender")).alias("gender"), F.col("hit.first_name").alias("first_name"), F.col("hit.last_name").alias("last_name")
+    found = both.withColumn("hit", pick)
+    merged = [F.coalesce(F.col(f"hit.{c}"), F.col(c)).alias(c) for c in SOURCES]
+    out = found.select("book_id", "tok_num", F.col("key").alias("generic_name"), *merged, *[F.col(c).alias(f"_{c}") for c in SOURCES], F.col("hit.first_name").alias("first_name"), F.col("hit.last_name").alias("last_name"), F.col("hit.tok_num").alias("hit_tok"))
+    return out.withColumn("gender", F.coalesce(*SOURCES)).drop(*[f"_{c}" for c in SOURCES])
+
+
+def pass_genders_back(named: DataFrame, resolved: DataFrame) -> DataFrame:
+    """Give the full mentions that were found the genders they lack, source by source, from
+    the earliest mention of one name that was resolved to them and has one."""
+    own = named.where("generic_name is not null").select("book_id", F.col("tok_num").alias("_t"), *SOURCES)
+    back = resolved.where("hit_tok is not null").select("book_id", F.col("tok_num").alias("_t"), F.col("hit_tok").alias("tok_num")).join(own, ["book_id", "_t"])
+    first = back.groupBy("book_id", "tok_num").agg(*[F.min(F.when(F.col(c).isNotNull(), F.struct("_t", c)))[c].alias(f"_{c}") for c in SOURCES])
+    given = F.col("generic_name").isNull()
+    joined = named.join(first, ["book_id", "tok_num"], "left")
+    return joined.withColumns({c: F.when(given, F.coalesce(F.col(c), F.col(f"_{c}"))).otherwise(F.col(c)) for c in SOURCES}).drop(*[f"_{c}" for c in SOURCES])
+
+
+def chain_references(coref: DataFrame, people: DataFrame, tokens: DataFrame) -> DataFrame:
+    """References by coreference: (book_id, tok_num, kind, start_tok, phrase), the pronoun and
+    the mention it speaks of.
+
+    ``coref`` are tokens with the span they refer to (book_id, tok_num, coref_start,
+    coref_end), as of ``annotation.antecedents``; the first person in that span is meant.
+    Tokens in a row that refer to one mention are one phrase; only a phrase that is a
+    pronoun counts. From a phrase that holds a person on, the mention's references go to that person.
+    """
+    inside = people.where("end_tok >= start_tok").select("book_id", "start_tok", "phrase", F.explode(F.sequence("start_tok", "end_tok")).alias("at"))
+    inside = inside.groupBy("book_id", "at").agg(F.max_by(F.struct("start_tok", "phrase"), F.struct("start_tok", "phrase")).alias("who"))
+    meant = coref.withColumn("at", F.explode(F.sequence("coref_start", "coref_end"))).join(inside, ["book_id", "at"])
+    meant = meant.groupBy("book_id", "tok_num").agg(F.min_by("who", "at").alias("who"))
+    w = Window.partitionBy("book_id", "who").orderBy("tok_num")
+    runs = islands(meant, ["book_id", "who"], ["tok_num"], F.col("tok_num") != F.lag("tok_num").over(w) + 1, "_run")
+    own = inside.select("book_id", F.col("at").alias("tok_num"), F.col("who").alias("_own"))
+    words = runs.join(tokens.select("book_id", "tok_num", "word"), ["book_id", "tok_num"]).join(own, ["book_id", "tok_num"], "left")
+    phrases = words.groupBy("book_id", "who", "_run").agg(
+        F.max("tok_num").alias("tok_num"),
+        F.min(F.when(F.col("_own").isNotNull(), F.struct("tok_num", "_own")))["_own"].alias("_own"),
+        F.lower(F.max_by("word", "tok_num")).alias("said"),
+        F.count(F.lit(1)).alias("_n"),
     )
+    order = Window.partitionBy("book_id", "who").orderBy("_run").rowsBetween(Window.unboundedPreceding, 0)
+    aimed = phrases.withColumn("target", F.coalesce(F.last("_own", ignorenulls=True).over(order), F.col("who"))).where("_n = 1")
+    return aimed.withColumn("kind", _kind(F.col("said"))).where("kind is not null").select("book_id", "tok_num", "kind", "target.start_tok", "target.phrase")
 
 
 # roll-up -------------------------------------------------------------------------
@@ -266,38 +352,42 @@ def rank_characters(rolled: DataFrame, least: int = 2) -> DataFrame:
     return rolled.where(F.col("count") >= least).withColumn("id", F.row_number().over(w) - 1)
 
 
-def named_mentions(mentions: DataFrame, tokens: DataFrame, genders: DataFrame | None = None) -> DataFrame:
-    """Mentions with the parts of their names, honorifics passed on, references counted and a
-    gender: that of the honorific, else of the pronouns, else of the name."""
+def named_mentions(mentions: DataFrame, tokens: DataFrame, genders: DataFrame | None = None, coref: DataFrame | None = None) -> DataFrame:
+    """Mentions with the parts of their names, honorifics passed on, references counted and
+    three genders: of the honorific, of the pronouns, of the name. Pronouns are counted by
+    coreference where it is given, else for the nearest mention before them."""
     usual = mentions.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("book_id", F.lower("phrase")))).where(F.col("_n") >= FREQUENT)
     parsed = parse_names(usual.withColumnRenamed("start_tok", "tok_num"), "phrase")
-    counts = reference_counts(pronoun_references(tokens, mentions))
-    joined = parsed.join(counts, ["book_id", "phrase"], "left")
-    zero = {c: F.coalesce(c, F.lit(0)) for c in ("male", "female", "first", "second")}
-    joined = joined.withColumns(zero)
-    if genders is None:
-        joined = joined.withColumn("gender_name", F.lit(None).cast("string"))
-    else:
-        joined = name_gender(joined, genders)
-    joined = joined.withColumn("gender", F.coalesce(honorific_gender(F.col("honorific")), counted_gender(F.col("male"), F.col("female")), "gender_name"))
+    references = pronoun_references(tokens, mentions) if coref is None else chain_references(coref, mentions, tokens)
+    joined = parsed.join(reference_counts(references), ["book_id", "phrase"], "left")
+    joined = joined.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("male", "female", "first", "second")})
+    joined = joined.withColumn("gender_name", F.lit(None).cast("string")) if genders is None else name_gender(joined, genders)
+    joined = joined.withColumn("gender_coref", counted_gender(F.col("male"), F.col("female")))
+    # an honorific goes to other mentions of the name, of an agreeing gender
+    joined = joined.withColumn("gender", F.coalesce(honorific_gender(F.col("honorific")), "gender_coref", "gender_name"))
     joined = nearest_honorific(joined.withColumn("name", F.coalesce("generic_name", F.concat_ws(" ", "first_name", "last_name"))))
-    return joined.select("book_id", "tok_num", "end_tok", "phrase", "honorific", "generic_name", "first_name", "last_name", "gender")
+    joined = joined.withColumn("gender_honorific", honorific_gender(F.col("honorific")))
+    return joined.select("book_id", "tok_num", "end_tok", "phrase", "honorific", "generic_name", "first_name", "last_name", *SOURCES)
 
 
-def characters(entities: DataFrame, tokens: DataFrame, genders: DataFrame | None = None) -> DataFrame:
+def characters(entities: DataFrame, tokens: DataFrame, genders: DataFrame | None = None, coref: DataFrame | None = None) -> DataFrame:
     """Character table of every book from its entities and tokens (the token table as given):
-    id, names, gender, count, references by kind, and ``names`` with the counts of each spelling."""
+    id, names, gender, count, references by kind, and ``names`` with the counts of each spelling.
+    ``genders`` (name, gender) are known given names, ``coref`` as in ``chain_references``."""
     words = distinct_tokens(tokens)
     # each of the cut points is read by several branches below
     spans = durable(complete_entities(entities, words))
     people = absorb_honorifics(spans.where("ner = 'PERSON'").drop("ner"), words, spans)
     people = durable(people)
-    named = durable(named_mentions(people, words, genders))
-    full = resolve_generic(named).select("book_id", "tok_num", "generic_name", F.col("first_name").alias("_f"), F.col("last_name").alias("_l"), F.col("gender").alias("_g"))
+    named = durable(named_mentions(people, words, genders, coref))
+    resolved = durable(resolve_generic(named))
+    named = pass_genders_back(named, resolved)
+    full = resolved.select("book_id", "tok_num", "generic_name", F.col("first_name").alias("_f"), F.col("last_name").alias("_l"), F.col("gender").alias("_g"))
     joined = named.join(full, ["book_id", "tok_num", "generic_name"], "left").withColumns(
-        {"first_name": F.coalesce("first_name", "_f"), "last_name": F.coalesce("last_name", "_l"), "gender": F.coalesce("gender", "_g")}
-    ).drop("_f", "_l", "_g")
-    refs = pronoun_references(words, people.select("book_id", "start_tok", "end_tok", F.concat(F.lpad(F.col("start_tok").cast("string"), 12, "0"), F.lit("\x01"), "phrase").alias("phrase")))
+        {"first_name": F.coalesce("first_name", "_f"), "last_name": F.coalesce("last_name", "_l"), "gender": F.coalesce("_g", *SOURCES)}
+    ).drop("_f", "_l", "_g", *SOURCES)
+    placed = people.select("book_id", "start_tok", "end_tok", F.concat(F.lpad(F.col("start_tok").cast("string"), 12, "0"), F.lit("\x01"), "phrase").alias("phrase"))
+    refs = pronoun_references(words, placed) if coref is None else chain_references(coref, placed, words)
     at = refs.select("book_id", F.split("phrase", "\x01")[0].cast("int").alias("tok_num"), "kind").groupBy("book_id", "tok_num").agg(
         F.sum(F.col("kind").isin("male", "female").cast("int")).alias("gendered"), F.sum((F.col("kind") == "first").cast("int")).alias("first"), F.sum((F.col("kind") == "second").cast("int")).alias("second")
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions import text as tx
+from quire.operators import annotation
 from quire.operators import characters as ch
 from quire.operators import headings as hd
 from quire.operators import markup as mk
@@ -178,7 +179,23 @@ def _absorbed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def resolved_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = ch.parse_names(_absorbed(spark, sf_dir), "phrase")
-    return ch.resolve_generic(parsed.withColumn("gender", ch.honorific_gender(F.col("honorific"))))
+    return ch.resolve_generic(parsed.withColumn("gender", ch.honorific_gender(F.col("honorific")))).select("book_id", "tok_num", "generic_name", "first_name", "last_name", "gender")
+
+
+def chain_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pronouns through chains: all mentions of one spelling and the pronouns right after them."""
+    people, words = _people(spark, sf_dir).where("phrase is not null"), _words(spark, sf_dir)
+    said = pronoun_references(spark, sf_dir).select("book_id", F.col("phrase").alias("chain"), F.col("tok_num").alias("start_tok"), F.col("tok_num").alias("end_tok"))
+    mentions = people.select("book_id", F.col("phrase").alias("chain"), "start_tok", "end_tok").unionByName(said)
+    return ch.chain_references(annotation.antecedents(mentions), people, words)
+
+
+def name_genders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Genders of the delivered characters by their names: those names that the table itself
+    shows with one gender only."""
+    c = table(spark, sf_dir, "characters")
+    known = c.where("gender is not null").select(F.coalesce("first_name", "generic_name").alias("name"), "gender")
+    return ch.name_gender(c.select("char_uid", "first_name", "generic_name"), known.where("name is not null"))
 
 
 def character_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,7 +218,7 @@ QUERIES = {
     for f in (
         split_notices, book_paragraphs, markup_spans, heading_matches, headings, headings_upper, body_headings, headed_regions, headed_sections, book_regions, nested_paragraphs, book_sections,
         capital_paragraphs, plain_texts, roman_values, number_words, person_mentions, absorbed_honorifics, frequent_mentions, phrase_search,
-        complete_entities, consecutive_phrases, pronoun_references, reference_counts, parsed_names, nearest_honorifics, resolved_names,
+        complete_entities, consecutive_phrases, pronoun_references, reference_counts, parsed_names, nearest_honorifics, resolved_names, chain_references, name_genders,
         character_table, character_json, ranked_characters,
     )
 }
@@ -302,6 +319,24 @@ SQL = {
                 trim(regexp_replace(regexp_replace(lower(text), '[^a-z0-9\\s]', '', 'g'), '\\s+', ' ', 'g')) AS w FROM headed),
         b AS (SELECT *, min(para_no) FILTER (w IN {_in(mk.BACK)} AND para_no > l) OVER (PARTITION BY book_id) AS e FROM a)
         SELECT book_id, para_no, is_header, CASE WHEN para_no < f THEN 'front' WHEN para_no >= e THEN 'back' ELSE 'body' END AS region FROM b""",
+    "name_genders": """
+        WITH k AS (SELECT lower(coalesce(first_name, generic_name)) AS name, min(gender) AS g FROM characters
+                   WHERE gender IS NOT NULL AND coalesce(first_name, generic_name) IS NOT NULL GROUP BY ALL HAVING count(DISTINCT gender) = 1)
+        SELECT char_uid, first_name, generic_name, k.g AS gender_name FROM characters c LEFT JOIN k ON k.name = lower(coalesce(first_name, generic_name))""",
+    "nearest_honorifics": rf"""
+        WITH {_PEOPLE}, {_TOK}, t AS (
+            SELECT w.book_id, w.tok_num + 1 AS start_tok, w.word FROM words w WHERE lower(w.word) IN {_in(ch.HONORIFICS)} AND NOT EXISTS (
+                SELECT 1 FROM entities e WHERE e.book_id = w.book_id AND w.tok_num BETWEEN e.start_tok_num AND e.end_tok_num)),
+        a AS (SELECT p.book_id, CASE WHEN t.word IS NULL THEN p.start_tok ELSE p.start_tok - 1 END AS tok_num, concat_ws(' ', t.word, p.phrase) AS phrase
+              FROM people p LEFT JOIN t USING (book_id, start_tok)),
+        w AS (SELECT *, list_filter(regexp_split_to_array(trim(phrase), '\s+'), lambda x: x <> '') AS w FROM a),
+        h AS (SELECT *, len(w) > 1 AND lower(w[1]) IN {_in(ch.HONORIFICS)} AS has FROM w),
+        r AS (SELECT book_id, tok_num, CASE WHEN has THEN w[1] END AS hon, CASE WHEN has THEN w[2:] ELSE w END AS r FROM h),
+        n AS (SELECT book_id, tok_num, hon, CASE WHEN len(r) IN (1) OR len(r) > 3 THEN array_to_string(r, ' ')
+                ELSE array_to_string([x FOR x IN [CASE WHEN len(r) IN (2, 3) AND NOT regexp_full_match(r[1], '.\.?') THEN r[1] END,
+                                                  CASE WHEN len(r) IN (2, 3) AND NOT regexp_full_match(r[-1], '.\.?') THEN r[-1] END] IF x IS NOT NULL], ' ') END AS name FROM r)
+        SELECT book_id, tok_num, name, coalesce(hon, last_value(hon IGNORE NULLS) OVER (PARTITION BY book_id, name ORDER BY tok_num ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                first_value(hon IGNORE NULLS) OVER (PARTITION BY book_id, name ORDER BY tok_num ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)) AS honorific FROM n""",
     "ranked_characters": """
         WITH r AS (SELECT book_id, last_name, first_name, generic_name, gender, sum("count")::BIGINT AS n FROM characters GROUP BY ALL),
         m AS (SELECT book_id, last_name, first_name, generic_name, arg_max(gender, (n, gender = 'female')) AS g FROM r WHERE gender IS NOT NULL GROUP BY ALL),
