@@ -78,12 +78,12 @@ def complete_entities(entities: DataFrame, tokens: DataFrame) -> DataFrame:
     """Spans (book_id, start_tok, end_tok, phrase, ner): all entities; those that equal a
     frequent person's spelling become persons, and its untagged occurrences are added.
     Occurrences that touch a span in part are left alone; of new ones that overlap the
-    longer goes first, then the earlier."""
+    longer goes first, then the earlier. Of a span with several tags the first by alphabet counts."""
     from quire.operators.annotation import resolve_overlaps
 
     spans = entities.where("start_tok_num is not null and end_tok_num >= start_tok_num").groupBy(
         "book_id", F.col("start_tok_num").alias("start_tok"), F.col("end_tok_num").alias("end_tok")
-    ).agg(F.min("phrase").alias("phrase"), F.max_by("ner", F.col("ner").isNotNull().cast("int")).alias("ner"))
+    ).agg(F.min("phrase").alias("phrase"), F.min("ner").alias("ner"))
     persons = spans.where("ner = 'PERSON'")
     found = phrase_search(tokens, frequent_mentions(persons))
     cover = covered_tokens(spans).withColumn("_in", F.lit(1))

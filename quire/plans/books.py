@@ -241,6 +241,20 @@ def _in(words: tuple[str, ...]) -> str:
     return "(" + ", ".join(f"'{w}'" for w in words) + ")"
 
 
+# parts of the names of persons with the honorifics before them
+_PARSED = rf"""ti AS (
+            SELECT w.book_id, w.tok_num + 1 AS start_tok, w.word FROM words w WHERE lower(w.word) IN {_in(ch.HONORIFICS)} AND NOT EXISTS (
+                SELECT 1 FROM entities e WHERE e.book_id = w.book_id AND w.tok_num BETWEEN e.start_tok_num AND e.end_tok_num)),
+        ab AS (SELECT p.book_id, CASE WHEN ti.word IS NULL THEN p.start_tok ELSE p.start_tok - 1 END AS tok_num, concat_ws(' ', ti.word, p.phrase) AS phrase
+              FROM people p LEFT JOIN ti USING (book_id, start_tok)),
+        pw AS (SELECT *, list_filter(regexp_split_to_array(trim(phrase), '\s+'), lambda x: x <> '') AS w FROM ab),
+        ph AS (SELECT *, len(w) > 1 AND lower(w[1]) IN {_in(ch.HONORIFICS)} AS has FROM pw),
+        pr AS (SELECT book_id, tok_num, CASE WHEN has THEN w[1] END AS hon, CASE WHEN has THEN w[2:] ELSE w END AS r FROM ph),
+        parsed AS (SELECT book_id, tok_num, hon,
+            CASE WHEN len(r) = 1 THEN r[1] WHEN len(r) > 3 THEN array_to_string(r, ' ') END AS generic_name,
+            CASE WHEN len(r) IN (2, 3) AND NOT regexp_full_match(r[1], '.\.?') THEN r[1] END AS first_name,
+            CASE WHEN len(r) IN (2, 3) AND NOT regexp_full_match(r[-1], '.\.?') THEN r[-1] END AS last_name,
+            CASE WHEN lower(hon) IN {_in(ch.MALE_HONORIFICS)} THEN 'male' WHEN lower(hon) IN {_in(ch.FEMALE_HONORIFICS)} THEN 'female' END AS gender FROM pr)"""
 SQL = {
     "person_mentions": f"WITH {_PEOPLE} SELECT * FROM people",
     "frequent_mentions": f"WITH {_PEOPLE} SELECT book_id, phrase, count(*) AS n FROM people WHERE phrase IS NOT NULL GROUP BY ALL HAVING count(*) >= 2",
@@ -319,22 +333,42 @@ SQL = {
                 trim(regexp_replace(regexp_replace(lower(text), '[^a-z0-9\\s]', '', 'g'), '\\s+', ' ', 'g')) AS w FROM headed),
         b AS (SELECT *, min(para_no) FILTER (w IN {_in(mk.BACK)} AND para_no > l) OVER (PARTITION BY book_id) AS e FROM a)
         SELECT book_id, para_no, is_header, CASE WHEN para_no < f THEN 'front' WHEN para_no >= e THEN 'back' ELSE 'body' END AS region FROM b""",
+    "resolved_names": f"""
+        WITH {_PEOPLE}, {_TOK}, {_PARSED},
+        f AS (SELECT *, count(*) OVER (PARTITION BY book_id, first_name, last_name) AS n FROM parsed WHERE first_name IS NOT NULL AND last_name IS NOT NULL),
+        refs AS (SELECT DISTINCT book_id, unnest([first_name, last_name]) AS key, tok_num AS t, first_name, last_name, gender AS g FROM f WHERE n >= 2),
+        asks AS (SELECT DISTINCT book_id, tok_num, generic_name, gender FROM parsed WHERE generic_name IS NOT NULL),
+        j AS (SELECT a.*, r.t, r.first_name, r.last_name, r.g,
+                     CASE WHEN r.t IS NULL THEN 9 WHEN a.gender IS NULL OR r.g = a.gender THEN 0 WHEN r.g IS NULL THEN 1 ELSE 9 END AS tier
+              FROM asks a LEFT JOIN refs r ON r.book_id = a.book_id AND r.key = a.generic_name AND r.t <> a.tok_num),
+        k AS (SELECT *, row_number() OVER (PARTITION BY book_id, tok_num, generic_name, gender ORDER BY tier, t > tok_num, abs(t - tok_num)) AS k FROM j)
+        SELECT book_id, tok_num, generic_name, CASE WHEN tier < 9 THEN first_name END AS first_name, CASE WHEN tier < 9 THEN last_name END AS last_name,
+               coalesce(CASE WHEN tier < 9 THEN g END, gender) AS gender FROM k WHERE k = 1""",
+    "complete_entities": rf"""
+        WITH RECURSIVE spans AS (
+            SELECT book_id, start_tok_num AS a, end_tok_num AS b, min(phrase) AS phrase, min(ner) AS ner FROM entities
+            WHERE start_tok_num IS NOT NULL AND end_tok_num >= start_tok_num GROUP BY ALL),
+        {_TOK}, q AS (
+            SELECT book_id, phrase, string_split_regex(phrase, '\s+') AS w FROM spans WHERE ner = 'PERSON' AND phrase IS NOT NULL AND phrase <> '' GROUP BY ALL HAVING count(*) >= 2),
+        h AS (SELECT q.book_id, q.phrase, len(q.w) AS n, t.tok_num - i.i + 1 AS a, i.i
+              FROM q, LATERAL (SELECT unnest(range(1, len(q.w) + 1)) AS i) i JOIN words t ON t.book_id = q.book_id AND t.word = q.w[i.i]),
+        found AS (SELECT book_id, a, a + n - 1 AS b, phrase FROM h GROUP BY book_id, phrase, n, a HAVING count(DISTINCT i) = n),
+        cover AS (SELECT DISTINCT book_id, unnest(range(a, b + 1)) AS t FROM spans),
+        k AS (SELECT f.book_id, f.a, f.b, f.phrase, count(c.t) AS k FROM found f LEFT JOIN cover c ON c.book_id = f.book_id AND c.t BETWEEN f.a AND f.b GROUP BY ALL),
+        free AS (SELECT DISTINCT ON (book_id, a, b) book_id, a, b, phrase, row_number() OVER (PARTITION BY book_id ORDER BY a, b DESC) AS o FROM k WHERE k = 0),
+        walk AS (SELECT book_id, o, a, b, phrase, true AS kept, b AS last FROM free WHERE o = 1 UNION ALL
+                 SELECT f.book_id, f.o, f.a, f.b, f.phrase, f.a > w.last, CASE WHEN f.a > w.last THEN f.b ELSE w.last END
+                 FROM walk w JOIN free f ON f.book_id = w.book_id AND f.o = w.o + 1)
+        SELECT s.book_id, s.a::INT AS start_tok, s.b::INT AS end_tok, s.phrase,
+               CASE WHEN EXISTS (SELECT 1 FROM k WHERE k.book_id = s.book_id AND k.a = s.a AND k.b = s.b AND k.k = k.b - k.a + 1) THEN 'PERSON' ELSE s.ner END AS ner
+        FROM spans s UNION ALL
+        SELECT book_id, a::INT, b::INT, phrase, 'PERSON' FROM walk WHERE kept""",
     "name_genders": """
         WITH k AS (SELECT lower(coalesce(first_name, generic_name)) AS name, min(gender) AS g FROM characters
                    WHERE gender IS NOT NULL AND coalesce(first_name, generic_name) IS NOT NULL GROUP BY ALL HAVING count(DISTINCT gender) = 1)
         SELECT char_uid, first_name, generic_name, k.g AS gender_name FROM characters c LEFT JOIN k ON k.name = lower(coalesce(first_name, generic_name))""",
-    "nearest_honorifics": rf"""
-        WITH {_PEOPLE}, {_TOK}, t AS (
-            SELECT w.book_id, w.tok_num + 1 AS start_tok, w.word FROM words w WHERE lower(w.word) IN {_in(ch.HONORIFICS)} AND NOT EXISTS (
-                SELECT 1 FROM entities e WHERE e.book_id = w.book_id AND w.tok_num BETWEEN e.start_tok_num AND e.end_tok_num)),
-        a AS (SELECT p.book_id, CASE WHEN t.word IS NULL THEN p.start_tok ELSE p.start_tok - 1 END AS tok_num, concat_ws(' ', t.word, p.phrase) AS phrase
-              FROM people p LEFT JOIN t USING (book_id, start_tok)),
-        w AS (SELECT *, list_filter(regexp_split_to_array(trim(phrase), '\s+'), lambda x: x <> '') AS w FROM a),
-        h AS (SELECT *, len(w) > 1 AND lower(w[1]) IN {_in(ch.HONORIFICS)} AS has FROM w),
-        r AS (SELECT book_id, tok_num, CASE WHEN has THEN w[1] END AS hon, CASE WHEN has THEN w[2:] ELSE w END AS r FROM h),
-        n AS (SELECT book_id, tok_num, hon, CASE WHEN len(r) IN (1) OR len(r) > 3 THEN array_to_string(r, ' ')
-                ELSE array_to_string([x FOR x IN [CASE WHEN len(r) IN (2, 3) AND NOT regexp_full_match(r[1], '.\.?') THEN r[1] END,
-                                                  CASE WHEN len(r) IN (2, 3) AND NOT regexp_full_match(r[-1], '.\.?') THEN r[-1] END] IF x IS NOT NULL], ' ') END AS name FROM r)
+    "nearest_honorifics": f"""
+        WITH {_PEOPLE}, {_TOK}, {_PARSED}, n AS (SELECT *, coalesce(generic_name, concat_ws(' ', first_name, last_name)) AS name FROM parsed)
         SELECT book_id, tok_num, name, coalesce(hon, last_value(hon IGNORE NULLS) OVER (PARTITION BY book_id, name ORDER BY tok_num ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
                 first_value(hon IGNORE NULLS) OVER (PARTITION BY book_id, name ORDER BY tok_num ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)) AS honorific FROM n""",
     "ranked_characters": """

@@ -139,7 +139,7 @@ def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def adjacent_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pf.adjacent_similarity(_few(spark, sf_dir)).withColumn("cosine", F.round("cosine", 6))
+    return pf.adjacent_similarity(_few(spark, sf_dir)).withColumn("cosine", F.round("cosine", 6) + 0.0)
 
 
 def page_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -219,7 +219,68 @@ def _stripped(name: str, source: str, keep: str, tail: bool = True) -> str:
 _LETTERED, _UNNUMBERED = r"regexp_matches(s, '\p{L}')", r"NOT (regexp_matches(s, '^[\s\p{Z}]*[^\s\p{Z}]*\d') OR regexp_matches(s, '\d[^\s\p{Z}]*[\s\p{Z}]*$'))"
 _TOKENS = "regexp_split_to_array(regexp_replace(lower(rtrim({0}, ' ')), '[^a-z0-9$£ ]', '', 'g'), '\\s+')"
 _KEYS = "[" + ", ".join(f"'{w}'" for w in dict.fromkeys(pf.KEY_WORDS)) + "]"
+_WORD_FEATURES = f"""t AS (SELECT book_id, page_no, {_TOKENS.format("array_to_string(lines, '')")} AS t,
+                flatten([{_TOKENS.format('s')} FOR s IN lines[1:6]]) AS h FROM pg),
+        c AS (SELECT *, len(t) AS n, len([x FOR x IN t IF regexp_matches(x, '^[a-z0-9_]')]) AS w, len([x FOR x IN t IF regexp_matches(x, '^[0-9]')]) AS m FROM t)"""
+
+
+def _any(column: str, *words: str) -> str:
+    return f"list_has_any({column}, [" + ", ".join(f"'{w}'" for w in words) + "])"
+
+
+_LABELS = f"""{_VOL}, {_WORD_FEATURES},
+        po AS (SELECT book_id, page_no, page_no <= 10 AS early, count(*) OVER (PARTITION BY book_id) - page_no <= 10 AS late FROM pg),
+        la AS (SELECT c.book_id, c.page_no, CASE WHEN n < 5 THEN 'blank' WHEN early AND {_any('h', 'contents')} THEN 'toc'
+                WHEN early AND {_any('t', 'copyright', 'copyrighted', 'published')} THEN 'pubinfo'
+                WHEN early AND ({_any('h', 'dedicated')} OR {_any('t', 'dedicated')}) THEN 'dedication'
+                WHEN early AND {_any('h', 'preface', 'introduction', 'foreword')} THEN 'preface'
+                WHEN late AND {_any('h', 'index')} THEN 'index' WHEN late AND {_any('h', 'appendix')} THEN 'appendix'
+                WHEN {_any('h', 'advertisement', 'advertisements')} THEN 'ad' WHEN early AND w < 5 THEN 'title' ELSE 'content' END AS label
+               FROM c JOIN po ON po.book_id = c.book_id AND po.page_no = c.page_no)"""
 SQL = {
+    "rising_numbers": f"""
+        WITH {_VOL}, x AS (SELECT book_id, page_no, [[d::INT] FOR d IN regexp_extract_all(array_to_string(lines, ''), '[0-9]+') IF length(d) <= 9] AS x FROM pg),
+        r AS (SELECT book_id, page_no, len(x) AS n, list_reduce(x, lambda a, e: list_concat(list_concat(list_filter(a, lambda t: t < e[1]), e),
+                  a[len(list_filter(a, lambda t: t < e[1])) + 2:])) AS tails FROM x WHERE len(x) >= 4)
+        SELECT book_id, page_no, n::INT AS numbers, len(tails)::INT AS rise,
+               len(tails) > 2 * sqrt(n) - 1.771 * pow(n, 1 / 6::DOUBLE) + 1.65 * 0.902 * pow(n, 1 / 6::DOUBLE) AS significant FROM r""",
+    "dehyphenate": rf"""
+        WITH {_EDGE}, t AS (SELECT *, [s FOR s IN lines IF trim(s, ' ') <> ''] AS t FROM pos),
+        h AS (SELECT *, len(t) > 0 AND regexp_matches(coalesce(t[-1], ''), '[^\-\s]-\s*$') AS hangs, regexp_extract(coalesce(t[1], ''), '^[\s\p{{Z}}]*([^\s\p{{Z}}]+)', 1) AS word FROM t),
+        j AS (SELECT *, lead(word) OVER w AS next_word, coalesce(lag(hangs) OVER w, false) AS owed FROM h WINDOW w AS (PARTITION BY book_id ORDER BY pos)),
+        g AS (SELECT * REPLACE (CASE WHEN owed AND len(t) > 0 THEN [CASE WHEN i = list_position(lines, t[1]) THEN regexp_replace(s, '^[\s\p{{Z}}]*[^\s\p{{Z}}]+[\s\p{{Z}}]*', '') ELSE s END FOR s, i IN lines]
+                ELSE lines END AS lines) FROM j),
+        a AS (SELECT *, len(lines) + 1 - coalesce(nullif(list_position([trim(s, ' ') <> '' FOR s IN list_reverse(lines)], true), 0), 0) AS k FROM g),
+        k AS (SELECT book_id, page_no, CASE WHEN hangs AND coalesce(next_word, '') <> '' THEN [CASE WHEN i = k THEN regexp_replace(s, '-\s*$', '') || next_word ELSE s END FOR s, i IN lines]
+                ELSE lines END AS lines FROM a),
+        m AS (SELECT book_id, page_no, list_reduce(CASE WHEN len(lines) = 0 THEN [['']] ELSE [[regexp_replace(s, '[\s\p{{Z}}]+$', '')] FOR s IN lines] END, lambda o, e:
+                  CASE WHEN o[-1] LIKE '%-' AND NOT o[-1] LIKE '%--' AND regexp_matches(e[1], '[^\s\p{{Z}}]') THEN
+                       list_concat(list_concat(o[:-2], [o[-1][:-2] || string_split(regexp_replace(e[1], '^[\s\p{{Z}}]+', ''), ' ')[1]]),
+                                   [x FOR x IN [trim(regexp_replace(e[1], '^[\s\p{{Z}}]*[^ ]*', ''), ' ')] IF x <> ''])
+                       ELSE list_concat(o, e) END) AS lines FROM k)
+        SELECT book_id, page_no, coalesce(array_to_string(lines, chr(10)), '') AS text FROM m""",
+    "clean_edges": rf"""
+        WITH {_VOL}, {_stripped('a', 'pg', _LETTERED)}, {_stripped('b', 'a', _UNNUMBERED)},
+        {_stripped('c', 'b', 'NOT ' + _HEADING_LIKE, tail=False)},
+        d AS (SELECT c.book_id, c.page_no, CASE WHEN avg((len(c.lines) < len(b.lines))::INT) OVER (PARTITION BY c.book_id) >= 0.5 THEN c.lines ELSE b.lines END AS lines
+              FROM c JOIN b ON b.book_id = c.book_id AND b.page_no = c.page_no),
+        vw AS (SELECT unnest(list_distinct(string_split({_CLEAN.format("array_to_string(lines, ' ')")}, ' '))) AS word FROM pg),
+        vo AS (SELECT list(word) AS known FROM (SELECT word FROM vw WHERE word <> '' GROUP BY word HAVING count(*) >= 3)),
+        li AS (SELECT book_id, page_no, len(lines) AS n, unnest(range(len(lines)))::INT AS i, unnest(lines) AS line FROM d),
+        lw AS (SELECT *, list_filter(string_split({_CLEAN.format('line')}, ' '), lambda x: x <> '') AS w FROM li),
+        fl AS (SELECT book_id, page_no, i, line, (i = n - 1 AND regexp_matches(trim(line, ' '), '^\p{{L}}+[.!?]["''”’]?$')) OR NOT (trim(line, ' ') = ''
+                OR NOT ({_UNNUMBERED.replace('(s,', '(line,')})
+                OR CASE WHEN len(w) = 0 THEN true ELSE 1 - len(list_filter(w, lambda x: list_contains(known, x))) / len(w)::DOUBLE > 0.75 END) AS keep FROM lw CROSS JOIN vo),
+        fk AS (SELECT book_id, page_no, list(line ORDER BY i) AS lines, list(keep ORDER BY i) AS k FROM fl GROUP BY ALL),
+        fe AS (SELECT *, coalesce(nullif(list_position(k, true), 0) - 1, len(lines)) AS h, coalesce(nullif(list_position(list_reverse(k), true), 0) - 1, len(lines)) AS f FROM fk),
+        f AS (SELECT d.book_id, d.page_no, CASE WHEN fe.lines IS NULL THEN [] ELSE fe.lines[h + 1:len(fe.lines) - least(f, len(fe.lines) - h)] END AS lines FROM d LEFT JOIN fe ON fe.book_id = d.book_id AND fe.page_no = d.page_no),
+        uk AS (SELECT *, [NOT ({_HEADING_LIKE} OR NOT regexp_matches(s, '\p{{L}}')) FOR s IN lines] AS k FROM f),
+        o AS (SELECT *, coalesce(nullif(list_position(k, true), 0) - 1, len(lines)) AS own FROM uk),
+        u AS (SELECT book_id, own, count(*) AS n, min(page_no) AS first FROM o WHERE own > 0 GROUP BY ALL),
+        m AS (SELECT DISTINCT ON (book_id) book_id, own AS usual FROM u ORDER BY book_id, n DESC, first),
+        sh AS (SELECT book_id, avg((own > 0)::INT) AS share FROM o GROUP BY ALL)
+        SELECT o.book_id, o.page_no, array_to_string(lines[CASE WHEN share > 0.25 THEN least(own, coalesce(usual, 0)) ELSE 0 END + 1:], chr(10)) AS text
+        FROM o JOIN sh USING (book_id) LEFT JOIN m USING (book_id)""",
     "similar_lines": f"""WITH {_SIMILAR} SELECT book_id, side, pos_a::INT AS pos_a, at_a, pos_b::INT AS pos_b, at_b FROM sim""",
     "running_lines": f"""WITH RECURSIVE {_RUNNING} SELECT book_id, side, pos, i AS "at", cluster FROM rl""",
     "page_structure": f"""
@@ -253,15 +314,31 @@ SQL = {
         g AS (SELECT *, sum(b) OVER (PARTITION BY book_id ORDER BY line_no) AS para_no FROM b)
         SELECT book_id, para_no::BIGINT AS para_no, bool_or(hd) AS is_header, string_agg(trim(line, ' '), ' ' ORDER BY line_no) AS text FROM g GROUP BY ALL""",
     "word_features": f"""
-        WITH {_VOL}, t AS (SELECT book_id, page_no, {_TOKENS.format("array_to_string(lines, '')")} AS t,
-                flatten([{_TOKENS.format('s')} FOR s IN lines[1:6]]) AS h FROM pg),
-        c AS (SELECT *, len(t) AS n, len([x FOR x IN t IF regexp_matches(x, '^[a-z0-9_]')]) AS w, len([x FOR x IN t IF regexp_matches(x, '^[0-9]')]) AS m FROM t)
+        WITH {_VOL}, {_WORD_FEATURES}
         SELECT book_id, page_no, (n < 5)::INT AS blank_page, (w < 5)::INT AS words_under_5, w::INT AS num_words, m::INT AS num_numbers,
                CASE WHEN w > 0 THEN round_even(w / n::DOUBLE, 3) END AS word_ratio, CASE WHEN w > 0 THEN round_even(m / n::DOUBLE, 3) END AS num_ratio,
                CASE WHEN w > 0 THEN round_even((w + 5) / (m + 5)::DOUBLE, 3) END AS word_num_ratio,
                array_to_string(list_sort([k FOR k IN {_KEYS} IF list_contains(t, k)]), ' ') AS key_words,
                array_to_string(list_sort([k FOR k IN {_KEYS} IF list_contains(h, k)]), ' ') AS header_words
         FROM c""",
+    "page_labels": f"WITH {_LABELS} SELECT book_id, page_no, label FROM la",
+    "volume_sections": f"""
+        WITH {_LABELS}, ch AS (SELECT *, CASE WHEN label IS DISTINCT FROM lag(label) OVER w THEN 1 ELSE 0 END AS b FROM la WINDOW w AS (PARTITION BY book_id ORDER BY page_no)),
+        ru AS (SELECT *, sum(b) OVER (PARTITION BY book_id ORDER BY page_no) AS run FROM ch),
+        gr AS (SELECT book_id, run, min(page_no) AS a, max(page_no) AS z, any_value(label) AS label FROM ru GROUP BY ALL),
+        en AS (SELECT *, coalesce(lead(a) OVER (PARTITION BY book_id ORDER BY run), z + 1) AS e FROM gr),
+        bo AS (SELECT DISTINCT ON (book_id) book_id, a, e FROM en
+               ORDER BY book_id, label = 'content' DESC, CASE WHEN label = 'content' THEN e - a ELSE 0 END DESC, CASE WHEN label = 'content' THEN a ELSE -a END)
+        SELECT la.book_id, la.page_no, la.label, CASE WHEN la.page_no < bo.a THEN 'front' WHEN la.page_no >= bo.e THEN 'back' ELSE 'body' END AS section
+        FROM la JOIN bo ON bo.book_id = la.book_id""",
+    "adjacent_similarity": f"""
+        WITH {_VOL}, f AS (
+            SELECT book_id, page_no, 'lines' AS k, len(lines)::DOUBLE AS v FROM pg UNION ALL SELECT book_id, page_no, 'blank', len([s FOR s IN lines IF s = ''])::DOUBLE FROM pg),
+        z AS (SELECT book_id, page_no, k, (v - avg(v) OVER w) / nullif(stddev_pop(v) OVER w, 0) AS z FROM f WINDOW w AS (PARTITION BY book_id, k)),
+        n AS (SELECT book_id, page_no, sqrt(sum(z * z)) AS n FROM z WHERE z IS NOT NULL GROUP BY ALL),
+        d AS (SELECT a.book_id, a.page_no, sum(a.z * b.z) AS d FROM z a JOIN z b ON b.book_id = a.book_id AND b.k = a.k AND b.page_no = a.page_no - 1 GROUP BY ALL)
+        SELECT n.book_id, n.page_no, round(coalesce(d.d, 0) / nullif(n.n * m.n, 0), 6) + 0.0 AS cosine
+        FROM n JOIN n m ON m.book_id = n.book_id AND m.page_no = n.page_no - 1 LEFT JOIN d ON d.book_id = n.book_id AND d.page_no = n.page_no""",
     "roman_numerals": f"""
         WITH {_VOL}, r AS (SELECT [{", ".join(f"'{pf.roman(n)}'" for n in range(2, 500))}] AS r),
         w AS (SELECT book_id, page_no, flatten([regexp_split_to_array(lower(trim(s, ' ')), '\\s+') FOR s IN lines[1:5]]) AS a,
