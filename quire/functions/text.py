@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from quire.functions.types import STRING
+from quire.functions.types import LONG, STRING
 
 # Signs and letters that go before the general transliteration.
 TRANSLITERATION = {
@@ -45,6 +45,29 @@ def similar(a: Column, b: Column, ratio: float) -> Column:
     return F.when(near, similarity(a, b) >= ratio).otherwise(False)
 
 
+def weighted_distance(a: str, b: str, insert: int = 1, delete: int = 1, replace: int = 1) -> int:
+    """Least cost of turning one text into another, with a price for each kind of change."""
+    row = [j * insert for j in range(len(b) + 1)]
+    for i, x in enumerate(a, 1):
+        above, row[0] = row[0], i * delete
+        for j, y in enumerate(b, 1):
+            above, row[j] = row[j], min(row[j] + delete, row[j - 1] + insert, above + (x != y) * replace)
+    return row[-1]
+
+
+def distance(a: Column | str, b: Column | str, insert: int = 1, delete: int = 1, replace: int = 1) -> Column:
+    """Edit distance of two columns; unit prices stay in the JVM. Null with a null."""
+    a, b = (F.col(x) if isinstance(x, str) else x for x in (a, b))
+    if insert == delete == replace == 1:
+        return F.levenshtein(a, b)
+
+    @F.pandas_udf(LONG)
+    def priced(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([None if s is None or t is None else weighted_distance(s, t, insert, delete, replace) for s, t in zip(x, y)], dtype="Int64")
+
+    return priced(a, b)
+
+
 def xml_safe(text: Column | str) -> Column:
     """Without the characters that XML 1.0 forbids."""
     text = F.col(text) if isinstance(text, str) else text

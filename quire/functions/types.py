@@ -16,5 +16,6 @@ def struct(text: str) -> T.StructType:
     return out
 
 
+LONG = T.LongType()
 STRING = T.StringType()
 STRINGS = T.ArrayType(T.StringType())

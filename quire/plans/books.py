@@ -64,6 +64,12 @@ def _with_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocks.join(found, ["book_id", "para_no"], "left")
 
 
+def settled_stars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paragraphs of the bodies with lines of signs as separators and capitals as headers."""
+    paras = mk.paragraphs(_bodies(spark, sf_dir), "text").withColumn("is_header", F.col("text").rlike(r"^[A-Z]{2,}[^a-z]*$"))
+    return mk.settle_stars(paras).select("book_id", "para_no", "star", "is_header")
+
+
 def headed_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mk.regions(_with_headings(spark, sf_dir)).select("book_id", "para_no", "is_header", "region")
 
@@ -216,7 +222,7 @@ def ranked_characters(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        split_notices, book_paragraphs, markup_spans, heading_matches, headings, headings_upper, body_headings, headed_regions, headed_sections, book_regions, nested_paragraphs, book_sections,
+        split_notices, book_paragraphs, markup_spans, heading_matches, headings, headings_upper, body_headings, settled_stars, headed_regions, headed_sections, book_regions, nested_paragraphs, book_sections,
         capital_paragraphs, plain_texts, roman_values, number_words, person_mentions, absorbed_honorifics, frequent_mentions, phrase_search,
         complete_entities, consecutive_phrases, pronoun_references, reference_counts, parsed_names, nearest_honorifics, resolved_names, chain_references, name_genders,
         character_table, character_json, ranked_characters,

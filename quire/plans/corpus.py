@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import io
+import uuid
+import zipfile
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from quire.functions.text import xml_safe
 from quire.operators import analytics, annotation
 from quire.operators import characters as ch
-from quire.runtime import table
+from quire.runtime import checkpoint_dir, table
 from quire.sources import books, exports
 
 
@@ -54,6 +61,46 @@ def quotes_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exports.quotes_export(table(spark, sf_dir, "quotes"))
 
 
+def page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page numbers by the names of the delivered files, in both readings."""
+    pages = table(spark, sf_dir, "page").select("page_id", "file")
+    short = books.feature_page_numbers(pages).withColumnRenamed("page_no", "short_no").drop("file")
+    return books.page_numbers(pages).join(short, "page_id").select("page_id", "page_no", "short_no")
+
+
+def volume_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page packed into an archive of its own and read again."""
+    def pack(batches):
+        for pdf in batches:
+            rows = []
+            for lib, book, file, body in zip(pdf["lib_id"], pdf["book_id"], pdf["file"], pdf["page_body"]):
+                buffer = io.BytesIO()
+                with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
+                    z.writestr(file, body)
+                rows.append((f"/volumes/{lib}/{book}.zip", buffer.getvalue()))
+            yield pd.DataFrame(rows, columns=["path", "content"])
+
+    pages = table(spark, sf_dir, "page").where("lib_id is not null and book_id is not null and file is not null and page_body is not null")
+    packed = pages.select("lib_id", "book_id", "file", "page_body").mapInPandas(pack, "path string, content binary")
+    return books.unzip_pages(packed).select("lib_id", "book_id", "file", F.md5(F.col("text").cast("binary")).alias("digest"), "error")
+
+
+def xml_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles and authors written as an XML artefact and read again."""
+    path = f"{checkpoint_dir(spark)}/xml-{uuid.uuid4().hex}"
+    safe = table(spark, sf_dir, "book").select("book_id", *[xml_safe(F.col(c)).alias(c) for c in ("work_title", "author")])
+    exports.write_artefact(safe, path)
+    return books.read_artefact(spark, path, "book", StructType().add("book_id", "string").add("work_title", "string").add("author", "string"))
+
+
+def feature_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature lines of pages: sizes of header, body and footer."""
+    p = table(spark, sf_dir, "page").where("book_id is not null and page_no is not null")
+    sizes = F.create_map(*[x for c in ("page_body", "page_footer", "page_header") for x in (F.lit(c), F.coalesce(F.length(c), F.lit(0)).cast("double"))])
+    one = p.groupBy("book_id", "page_no").agg(F.min_by(sizes, "page_id").alias("m"))
+    return exports.feature_lines(one.select("book_id", "page_no", F.explode("m").alias("feature", "value")))
+
+
 def new_books(spark: SparkSession, sf_dir: str) -> DataFrame:
     return books.only_new(table(spark, sf_dir, "book").select("book_id", "lib_id"), table(spark, sf_dir, "page"), ["book_id"])
 
@@ -113,7 +160,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         lemma_counts, pos_counts, dep_counts, lemma_counts_non_entity, lemma_counts_non_character, tokens_export, entities_export,
-        quotes_export, new_books, character_tokens, annotated_tokens, entity_spans, resolved_spans, token_heads, quote_offsets, antecedents, sentence_paragraphs,
+        quotes_export, page_files, volume_pages, xml_books, feature_export, new_books, character_tokens, annotated_tokens, entity_spans, resolved_spans, token_heads, quote_offsets, antecedents, sentence_paragraphs,
     )
 }
 
@@ -172,6 +219,19 @@ SQL = {
         c AS (SELECT t.book_id, t.tok_num, p.phrase, row_number() OVER (PARTITION BY t.book_id, t.tok_num ORDER BY p.a DESC, p.phrase DESC) AS k
               FROM t JOIN people p ON p.book_id = t.book_id AND t.tok_num BETWEEN p.a AND p.b)
         SELECT t.book_id, t.tok_num, t.word, c.phrase AS "character" FROM t LEFT JOIN c ON c.book_id = t.book_id AND c.tok_num = t.tok_num AND c.k = 1""",
+    "page_files": r"""
+        WITH s AS (SELECT page_id, file, regexp_replace(file, '\.[^.]*$', '') AS stem FROM page),
+        n AS (SELECT *, TRY_CAST(CASE WHEN contains(file, '_') THEN regexp_extract(stem, '_([^_]*)$', 1) ELSE stem[-8:] END AS INT) AS page_no FROM s
+              WHERE NOT regexp_matches(stem, '^(?i:notes|pagedata)'))
+        SELECT page_id, page_no, TRY_CAST(stem[-4:] AS INT) AS short_no FROM n WHERE page_no IS NOT NULL""",
+    "volume_pages": """
+        SELECT lib_id, book_id, file, md5(page_body) AS digest, NULL::VARCHAR AS error FROM page
+        WHERE lib_id IS NOT NULL AND book_id IS NOT NULL AND file IS NOT NULL AND page_body IS NOT NULL""",
+    "xml_books": "SELECT book_id, work_title, author FROM book",
+    "feature_export": """
+        WITH o AS (SELECT DISTINCT ON (book_id, page_no) * FROM page WHERE book_id IS NOT NULL AND page_no IS NOT NULL ORDER BY book_id, page_no, page_id)
+        SELECT book_id, concat_ws(chr(9), book_id, page_no, 'page_body=' || coalesce(length(page_body), 0)::DOUBLE || ' page_footer=' || coalesce(length(page_footer), 0)::DOUBLE
+                   || ' page_header=' || coalesce(length(page_header), 0)::DOUBLE) AS value FROM o""",
     "quotes_export": "SELECT DISTINCT book_id, mention, begin_tok_num, end_tok_num, begin_mention_tok_num, end_mention_tok_num FROM quotes",
     "new_books": "SELECT book_id, lib_id FROM book WHERE book_id NOT IN (SELECT book_id FROM page WHERE book_id IS NOT NULL)",
     "entity_spans": """

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -22,26 +24,30 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def unzip_pages(binary: DataFrame) -> DataFrame:
-    """(lib_id, book_id, file, text) of volumes (path, content) packed as zip archives of text
-    files; the library is the folder of the archive. What is no archive gives no row."""
+    """(lib_id, book_id, file, text, error) of volumes (path, content) packed as zip archives of
+    text files; the library is the folder of the archive. What is no archive, or a file in
+    it that cannot be read, gives a row without text that says so in ``error``."""
 
     def open_(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
                 parts = path.split("/")
                 lib, book = (parts[-2] if len(parts) > 1 else None), parts[-1].removesuffix(".zip")
+                rows: list[tuple] = []
                 try:
-                    archive = zipfile.ZipFile(io.BytesIO(content))
-                except zipfile.BadZipFile:
-                    continue
-                rows = [
-                    (lib, book, name.rsplit("/", 1)[-1], archive.read(name).decode("utf-8", "replace"))
-                    for name in sorted(archive.namelist())
-                    if name.endswith(".txt")
-                ]
-                yield pd.DataFrame(rows, columns=["lib_id", "book_id", "file", "text"])
+                    archive = zipfile.ZipFile(io.BytesIO(content or b""))
+                    names = sorted(n for n in archive.namelist() if n.endswith(".txt"))
+                except zipfile.BadZipFile as e:
+                    names, rows = [], [(lib, book, None, None, str(e))]
+                for name in names:
+                    file = name.rsplit("/", 1)[-1]
+                    try:
+                        rows.append((lib, book, file, archive.read(name).decode("utf-8", "replace"), None))
+                    except (zipfile.BadZipFile, OSError, RuntimeError, NotImplementedError, zlib.error) as e:
+                        rows.append((lib, book, file, None, str(e)))
+                yield pd.DataFrame(rows, columns=["lib_id", "book_id", "file", "text", "error"])
 
-    return binary.select("path", "content").mapInPandas(open_, "lib_id string, book_id string, file string, text string")
+    return binary.select("path", "content").mapInPandas(open_, "lib_id string, book_id string, file string, text string, error string")
 
 
 def read_volumes(spark: SparkSession, path: str) -> DataFrame:
@@ -82,3 +88,34 @@ def read_means(spark: SparkSession, path: str) -> DataFrame:
 def only_new(inputs: DataFrame, done: DataFrame, keys: list[str], force: bool = False) -> DataFrame:
     """Inputs whose keys no earlier output has: a stage skips what is there, unless forced."""
     return inputs if force else inputs.join(done.select(*keys).distinct(), keys, "left_anti")
+
+
+def read_first(read: Callable[[str], DataFrame], paths: Sequence[str]) -> DataFrame:
+    """The first of several versions of an artefact that exists, latest version first."""
+    missing: Exception | None = None
+    for path in paths:
+        try:
+            return read(path)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            missing = e
+    raise missing or ValueError("no paths")
+
+
+def cached(inputs: DataFrame, stage: Callable[[DataFrame], DataFrame], path: str, keys: list[str], force: bool = False) -> DataFrame:
+    """Output of a costly stage (an annotator), kept as parquet: only inputs whose keys are not
+    there yet run through it. ``force`` runs them all again. Inputs that give no rows run each time."""
+    spark = inputs.sparkSession
+    if force:
+        stage(inputs).write.mode("overwrite").parquet(path)
+    else:
+        try:
+            done = spark.read.parquet(path)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            stage(inputs).write.mode("append").parquet(path)
+        else:
+            stage(only_new(inputs, done, keys)).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
