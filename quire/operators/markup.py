@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -14,34 +15,80 @@ from quire.functions import text as tx
 from quire.functions.types import struct
 from quire.operators.windows import islands
 
-# How notices begin. Collections with notices of their own pass longer lists.
-START_PREFIXES = ("*** START OF", "***START OF", "*END*THE SMALL PRINT", "*END THE SMALL PRINT", "Produced by", "E-text prepared by", "This etext was", "*SMALL PRINT!", "[Transcriber's Note")
-END_PREFIXES = ("*** END OF", "***END OF", "End of the Project", "End of The Project", "End of this Etext")
+# How the last lines of a notice before the text begin.
+START_PREFIXES = (
+    "*END*THE SMALL PRINT", "*** START OF THE PROJECT GUTENBERG", "*** START OF THIS PROJECT GUTENBERG", "This etext was prepared by",
+    "E-text prepared by", "Produced by", "Distributed Proofreading Team", "*END THE SMALL PRINT", "***START OF THE PROJECT GUTENBERG",
+    "This etext was produced by", "*** START OF THE COPYRIGHTED", "The Project Gutenberg", "http://gutenberg.spiegel.de/ erreichbar.",
+    "Project Runeberg publishes", "Beginning of this Project Gutenberg", "Project Gutenberg Online Distributed", "Gutenberg Online Distributed",
+    "the Project Gutenberg Online Distributed", "Project Gutenberg TEI", "This eBook was prepared by", "http://gutenberg2000.de erreichbar.",
+    "This Etext was prepared by", "This Etext prepared by", "This Project Gutenberg Etext was prepared by", "Gutenberg Distributed Proofreaders",
+    "Project Gutenberg Distributed Proofreaders", "**The Project Gutenberg", "*SMALL PRINT!", "More information about this book is at the top of this file.",
+    "tells you about restrictions in how the file may be used.", "l'authorization à les utilizer pour preparer ce texte.", "of the etext through OCR.",
+    "*****These eBooks Were Prepared By Thousands of Volunteers!*****", "We need your donations more than ever!", " *** START OF THIS PROJECT GUTENBERG",
+    "****     SMALL PRINT!", '["Small Print" V.', "*** START OF", "***START OF", "This etext was", "[Transcriber's Note",
+)
+# How notices behind the text begin.
+END_PREFIXES = (
+    "*** END OF THE PROJECT GUTENBERG", "*** END OF THIS PROJECT GUTENBERG", "***END OF THE PROJECT GUTENBERG", "End of the Project Gutenberg",
+    "End of The Project Gutenberg", "Ende dieses Project Gutenberg", "by Project Gutenberg", "End of Project Gutenberg", "End of this Project Gutenberg",
+    "Ende dieses Projekt Gutenberg", "        ***END OF THE PROJECT GUTENBERG", "*** END OF THE COPYRIGHTED", "End of this is COPYRIGHTED",
+    "Ende dieses Etextes ", "Ende dieses Project Gutenber", "Ende diese Project Gutenberg", "**This is a COPYRIGHTED Project Gutenberg Etext, Details Above**",
+    "Fin de Project Gutenberg", "The Project Gutenberg Etext of ", "Ce document fut presente en lecture", "Ce document fut présenté en lecture",
+    "More information about this book is at the top of this file.", "We need your donations more than ever!", "END OF PROJECT GUTENBERG",
+    " End of the Project Gutenberg", " *** END OF THIS PROJECT GUTENBERG", "End Project Gutenberg", "*** END OF", "***END OF", "End of this Etext",
+)
+# Whole lines that end a notice, sections to pass over, addresses.
+FULL_LINES = ("Bowler", "Team.", "Jim Tinsley.", "Team")
 SKIP_BEGIN, SKIP_END = ("<<THIS ELECTRONIC VERSION OF",), ("SERVICE THAT CHARGES FOR DOWNLOAD",)
-ADDRESSES = ("www.archive.org",)
+ADDRESSES = ("gutenberg.net", "www.archive.org")
+#: Beginnings of lines that end a notice if the line before ends with the second part.
+PAIRED = (("Florida", "university of"),)
+#: Rule for lines of credit, in place of a list of the hundreds that occur.
+CREDITS = re.compile(r"distributed proofread|proofreading team|pgdp|internet archive|google (?:print|book)|generously made|images of public domain|bibliothèque nationale", re.I)
+
+
+class Notices(NamedTuple):
+    """Marks of the notices of a collection; ``read_marks`` in ``sources.books`` reads longer lists."""
+
+    starts: tuple[str, ...] = START_PREFIXES
+    ends: tuple[str, ...] = END_PREFIXES
+    full_lines: tuple[str, ...] = FULL_LINES
+    addresses: tuple[str, ...] = ADDRESSES
+    paired: tuple[tuple[str, str], ...] = PAIRED
+    credits: re.Pattern[str] | None = CREDITS
+
+    def ends_header(self, line: str, before: str) -> bool:
+        """Whether a line is the last of a notice before the text, as far as it alone tells."""
+        bare, low = line.strip(), line.lower()
+        return (
+            line.startswith(self.starts)
+            or bare in self.full_lines
+            or any(a in low for a in self.addresses)
+            or any(bare.startswith(b) and before.strip().lower().endswith(a) for b, a in self.paired)
+            or self.credits is not None and self.credits.search(line) is not None
+        )
+
+
 #: Lines kept after which no header ends, and before the end where a footer may begin.
 REACH, RESET = 600, 100
 
 
-def text_span(lines: Sequence[str], starts: Sequence[str] = START_PREFIXES, ends: Sequence[str] = END_PREFIXES) -> tuple[int, int]:
+def text_span(lines: Sequence[str], notices: Notices = Notices()) -> tuple[int, int]:
     """First and behind-last line of the text proper, by line index.
 
     A header line discards what was kept so far as long as at most ``RESET`` lines lie
     between it and the first kept one; a block of lines right behind the first kept line
     is passed over (credits), as are blank lines at both ends.
     """
-    starts, ends = tuple(starts), tuple(ends)
     begin: int | None = None
     stop, kept, skipping = len(lines), 0, False
     for n, line in enumerate(lines):
-        if kept <= REACH:
-            low = line.lower()
-            header = line.startswith(starts) or any(a in low for a in ADDRESSES)
-            header |= n > 0 and line.strip().startswith("Florida") and lines[n - 1].strip().lower().endswith("university of")
-            if header and (not begin or n - begin <= RESET):
+        if kept <= REACH and notices.ends_header(line, lines[n - 1] if n else ""):
+            if not begin or n - begin <= RESET:
                 begin = None
                 continue
-        if kept >= len(lines) - REACH and line.startswith(ends):
+        if kept >= len(lines) - REACH and line.startswith(notices.ends):
             stop = n
             break
         if line.startswith(SKIP_BEGIN) or line.startswith(SKIP_END):
@@ -63,13 +110,13 @@ def text_span(lines: Sequence[str], starts: Sequence[str] = START_PREFIXES, ends
     return first, stop
 
 
-def split_notices(books: DataFrame, text: str = "text", starts: Sequence[str] = START_PREFIXES, ends: Sequence[str] = END_PREFIXES) -> DataFrame:
+def split_notices(books: DataFrame, text: str = "text", notices: Notices = Notices()) -> DataFrame:
     """(book_id, header, body, footer): the text between the notices, characters that XML
     forbids removed. A null text gives three nulls, an empty one three empty texts."""
 
     @F.pandas_udf(struct("first int, last int"))
     def span(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([text_span(t.splitlines(), starts, ends) if isinstance(t, str) else (0, 0) for t in texts], columns=["first", "last"])
+        return pd.DataFrame([text_span(t.splitlines(), notices) if isinstance(t, str) else (0, 0) for t in texts], columns=["first", "last"])
 
     spans = books.select("book_id", F.col(text).alias("t")).withColumn("l", tx.lines_of("t")).withColumn("s", span("t"))
     part = lambda a, n: tx.xml_safe(F.array_join(F.slice("l", a, F.greatest(n, F.lit(0))), "\n"))

@@ -119,3 +119,11 @@ def cached(inputs: DataFrame, stage: Callable[[DataFrame], DataFrame], path: str
         else:
             stage(only_new(inputs, done, keys)).write.mode("append").parquet(path)
     return spark.read.parquet(path)
+
+
+def read_marks(spark: SparkSession, path: str, most: int = 10_000) -> tuple[str, ...]:
+    """Marks of notices, one per line as it stands, from a list of at most ``most`` lines."""
+    lines = [r.value for r in spark.read.text(path).limit(most + 1).collect()]
+    if len(lines) > most:
+        raise ValueError(f"{path} has more than {most} marks")
+    return tuple(dict.fromkeys(x for x in lines if x.strip()))

@@ -15,6 +15,15 @@ def test_notices():
     assert mk.text_span([]) == (0, 0) and mk.text_span(["", "one", ""])[1] == 2
 
 
+def test_notices_of_a_collection():
+    credit = ["Some title", "", "images generously made available by a library", "", "", "CHAPTER I", "", "Text."]
+    assert mk.text_span(credit) == (5, 8) and mk.text_span(credit, mk.Notices(credits=None)) == (0, 8)
+    own = mk.Notices(starts=("HERE IT BEGINS",), ends=("HERE IT STOPS",))
+    assert mk.text_span(["x", "HERE IT BEGINS", "", "", "Text.", "HERE IT STOPS", "y"], own) == (4, 5)
+    paired = ["at the University of", "Florida", "", "", "Text."]
+    assert mk.text_span(paired)[0] == 4
+
+
 def test_spans_never_overlap():
     text = "a _b c_ and *bold words* [Illustration: _x y_] =on e= end\n * * *\n"
     spans = mk.select_spans(text)
