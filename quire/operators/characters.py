@@ -62,16 +62,21 @@ def frequent_mentions(mentions: DataFrame, least: int = FREQUENT) -> DataFrame:
 def phrase_search(tokens: DataFrame, phrases: DataFrame) -> DataFrame:
     """Spans at which a phrase of the book stands word by word.
 
-    Phrases meet the tokens by their first word and are followed word by word, each step
-    an equi-join, so only true beginnings go on; the last place of a book counts too.
+    A phrase meets the tokens by its rarest word in the book, and only where that stands
+    are its other words looked for, by their places; so frequent words like "the" or "of"
+    find no more than the phrases they are in. The last place of a book counts too.
     """
     wanted = phrases.select("book_id", "phrase", F.split("phrase", r"\s+").alias("words")).where("phrase <> ''").distinct()
-    n = F.size("words")
-    parts = wanted.select("book_id", "phrase", n.alias("n"), F.posexplode("words").alias("i", "word"))
-    # every word of a phrase says where the phrase would begin; a span has all of them
-    hits = tokens.join(parts, ["book_id", "word"]).select("book_id", "phrase", "n", "i", (F.col("tok_num") - F.col("i")).alias("start_tok"))
-    whole = hits.groupBy("book_id", "phrase", "n", "start_tok").agg(F.countDistinct("i").alias("k")).where("k = n")
-    return whole.select("book_id", "start_tok", (F.col("start_tok") + F.col("n") - 1).cast("int").alias("end_tok"), "phrase")
+    parts = wanted.select("book_id", "phrase", F.size("words").alias("n"), F.posexplode("words").alias("i", "word"))
+    often = tokens.join(parts.select("book_id", "word").distinct(), ["book_id", "word"], "left_semi").groupBy("book_id", "word").agg(F.count(F.lit(1)).alias("c"))
+    counted = parts.join(often, ["book_id", "word"])  # a word that the book lacks drops out, and with it the phrase
+    rarest = counted.groupBy("book_id", "phrase", "n").agg(F.min(F.struct("c", "i", "word")).alias("r"), F.count(F.lit(1)).alias("k")).where("k = n")
+    anchors = tokens.join(rarest.select("book_id", "phrase", "n", F.col("r.i").alias("at"), F.col("r.word").alias("word")), ["book_id", "word"])
+    begun = anchors.select("book_id", "phrase", "n", (F.col("tok_num") - F.col("at")).alias("start_tok"))
+    rest = begun.where("n > 1").join(parts.select("book_id", "phrase", "i", "word"), ["book_id", "phrase"]).withColumn("tok_num", F.col("start_tok") + F.col("i"))
+    along = rest.join(tokens, ["book_id", "tok_num", "word"]).groupBy("book_id", "phrase", "n", "start_tok").agg(F.countDistinct("i").alias("k")).where("k = n")
+    whole = begun.where("n = 1").unionByName(along.drop("k"))
+    return whole.select("book_id", "start_tok", (F.col("start_tok") + F.col("n") - 1).cast("int").alias("end_tok"), "phrase").distinct()
 
 
 def complete_entities(entities: DataFrame, tokens: DataFrame) -> DataFrame:
