@@ -79,7 +79,8 @@ def connected_components(edges: DataFrame, a: str, b: str, within: str | None =
     ends = F.greatest(a, b).alias("u"), F.least(a, b).alias("v")
     if not within:
         return _spread_names(_rounds(clean.select(*ends)))
-    stars = durable(_contract(clean.select(*ends, F.coalesce(F.col(within).cast("string"), F.lit("")).alias("_near")), "_near"))
+    keyed = durable(clean.select(*ends, F.coalesce(F.col(within).cast("string"), F.lit("")).alias("_near")))  # counted, then contracted
+    stars = durable(_contract(keyed, "_near"))
     split = stars.where("not whole").select("u", "v")
     done = stars.where("whole").select("u", "v")
     return _spread_names(done if split.isEmpty() else done.unionByName(_rounds(split)))
