@@ -45,10 +45,11 @@ _FRAMED = re.compile(r"^(?:[\[(—–-]\s*[0-9lIOS]{1,4}\s*[\])—–-]?|(?:page
 _ROMAN = re.compile(r"^[\[(—–-]?\s*[ivxlcdm]{1,8}\s*[\])—–-]?$")
 _SIGNATURE = re.compile(r"^[A-Z]\s?\d{0,2}$")
 _FOLIO = re.compile(r"^\s*[0-9lIOS]{1,4}\s{2,}\S|\S\s{2,}[0-9lIOS]{1,4}\s*$")
-_ENDED = re.compile(r"[.!?…。！？।:;,\"”’»』」)]\W{0,200}$")
+_ENDS = frozenset(".!?…。！？।:;,\"”’»』」)")
+_FRAMES = frozenset("[(—–-pPsSсС")
 _DIGITS = re.compile(r"\d+")
-#: Lines of numbers are shorter than that, the spaces inside them included.
-_SHORT = 64
+#: Framed numbers are no longer than that, the spaces inside them included.
+_SHORT = 40
 
 
 def shape(line: str) -> str:
@@ -56,28 +57,39 @@ def shape(line: str) -> str:
     return " ".join(_DIGITS.sub("#", line).split())
 
 
+def _ended(text: str) -> bool:
+    """Whether the signs at the end of a line hold a mark that ends or parts sentences."""
+    i = len(text)
+    while i and not (text[i - 1].isalnum() or text[i - 1] == "_"):
+        i -= 1
+        if text[i] in _ENDS:
+            return True
+    return False
+
+
 def form(line: str) -> int:
     text = line.strip()
-    if len(text) < _SHORT:
-        if _FRAMED.match(text):
+    size = len(text)
+    if size <= _SHORT:
+        if text[0] in _FRAMES and _FRAMED.match(text):
             return 2
-        if _NUMBER.match(text) and len(text) <= 9:
-            return 5 if text.endswith(".") else 0
-        if _ROMAN.match(text):
+        if size <= 9 and _NUMBER.match(text):
+            return 5 if text[-1] == "." else 0
+        if size <= 16 and _ROMAN.match(text):
             return 1
-        if _SIGNATURE.match(text):
+        if size <= 5 and _SIGNATURE.match(text):
             return 3
-    if _FOLIO.search(line):
+    if ("  " in text or "\t" in text or "\u3000" in text) and _FOLIO.search(line):
         return 4
     lower = sum(map(str.islower, text))
-    upper = 0 if lower > 0.25 * len(text) and not text.istitle() else sum(c.isupper() or c.istitle() for c in text)
+    upper = 0 if lower > 0.25 * size and not text.istitle() else sum(map(str.isupper, text))
     if not upper and not lower:
-        return 11 if len(text) >= 12 else 13
+        return 11 if size >= 12 else 13
+    ended = _ended(text)
     if upper > 3 * lower:
-        return 7 if _ENDED.search(text) else 6
-    if len(text) < 12:
+        return 7 if ended else 6
+    if size < 12:
         return 10
-    ended = _ENDED.search(text)
     if not ended:
         long = [w for w in text.split() if len(w) > 3]
         if len(long) > 1 and sum(w[0].isupper() for w in long) > 0.7 * len(long):
@@ -391,6 +403,7 @@ _HYPHEN_SIGNS = "-‐‑¬\xad"
 _FIRST = re.compile(r"^\W*([^\W\d_]+)")
 _TRIM = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "“”„‚‘’«»‹›…—–¡¿‐¬­•·"
 _PIECES = re.compile(r"[^\s'’—–…“”\"«»]+")
+_WORDS = re.compile(r"\w+(?:[-‐‑]\w+)*")
 _PRINTED = re.compile(r"[^\W\d_]+(?:[-‐‑][^\W\d_]+)*")
 _TO_HYPHEN = str.maketrans("‐‑", "--")
 
@@ -406,6 +419,20 @@ def words_of(line: str) -> list[str]:
     return out
 
 
+def printed(line: str) -> list[str]:
+    """Words of letters as printed in lower case, hyphens inside them included."""
+    low = line.lower()
+    if "‐" in low or "‑" in low:
+        low = low.translate(_TO_HYPHEN)
+    out = []
+    for w in _WORDS.findall(low):
+        if w.isalpha():
+            out.append(w)
+        else:
+            out += _PRINTED.findall(w)
+    return out
+
+
 def half_word(line: str) -> tuple[str, str, int] | None:
     """First half of a word with a hyphen at the end of a line, the sign, where the half begins."""
     bare = line.rstrip()
@@ -512,8 +539,7 @@ def vocabulary(labelled: DataFrame) -> DataFrame:
         for pdf in batches:
             for lines, data in zip(_lines(pdf), pdf["labels"]):
                 for x in text_lines(lines, _path(data)):
-                    line = lines[x.at][2].rstrip().rstrip(_HYPHEN_SIGNS).lower().translate(_TO_HYPHEN)
-                    tokens = _PRINTED.findall(line)
+                    tokens = printed(lines[x.at][2].rstrip().rstrip(_HYPHEN_SIGNS))
                     n.update(tokens)
                     if tokens and (x.carried or x.half is not None):
                         ends = ({0} if x.carried else set()) | ({len(tokens) - 1} if x.half is not None else set())
