@@ -13,6 +13,7 @@ from pyspark.sql.types import IntegerType
 from quire.functions import text as tx
 from quire.functions.types import struct
 from quire.operators.volumes import positions
+from quire.runtime import durable
 
 # Words that mark the parts of a book.
 KEY_WORDS = """
@@ -225,6 +226,7 @@ def ngram_counts(pages: DataFrame, longest: int = 3) -> DataFrame:
 def context_features(features: DataFrame, reach: int = 3) -> DataFrame:
     """Features (book_id, page_no, feature, value) of the pages ``j`` = 1..reach before and
     after, by page number. What follows at distance j counts only if the page j before exists."""
+    features = durable(features)  # read for every distance and direction
     there = features.select("book_id", "page_no").distinct()
     out = features
     for j in range(1, reach + 1):

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.operators.page_features import long_features
+from quire.operators.page_features import context_features, long_features
 from quire.operators.windows import islands
+from quire.runtime import durable
 
 
 def rule_labels(pages: DataFrame) -> DataFrame:
@@ -68,3 +71,102 @@ def sections(labels: DataFrame) -> DataFrame:
     body = body_run(label_runs(labels)).select("book_id", F.col("start").alias("_a"), F.col("end").alias("_b"))
     where = F.when(F.col("page_no") < F.col("_a"), "front").when(F.col("page_no") >= F.col("_b"), "back").otherwise("body")
     return labels.join(body, "book_id").select("book_id", "page_no", "label", where.alias("section"))
+
+
+# a trained labeller ----------------------------------------------------------------
+
+
+class PageModel(NamedTuple):
+    """Softmax over the features of a page: classes, feature names in order, their means and
+    deviations, and weights (class, feature + 1), the last of which is the bias."""
+
+    classes: tuple[str, ...]
+    features: tuple[str, ...]
+    means: np.ndarray
+    deviations: np.ndarray
+    weights: np.ndarray
+
+    def save(self, path: str) -> None:
+        np.savez(path, classes=np.array(self.classes), features=np.array(self.features), means=self.means, deviations=self.deviations, weights=self.weights)
+
+    @staticmethod
+    def load(path: str) -> PageModel:
+        data = np.load(path, allow_pickle=False)
+        return PageModel(tuple(data["classes"].tolist()), tuple(data["features"].tolist()), data["means"], data["deviations"], data["weights"])
+
+
+#: Labelled pages to which a model is fitted at most, features it uses at most, and the
+#: pull of its weights towards 0.
+MOST_PAGES, MOST_FEATURES, PULL = 20_000, 1500, 1e-3
+
+
+def _by_page(features: DataFrame) -> DataFrame:
+    return features.groupBy("book_id", "page_no").agg(F.map_from_entries(F.collect_list(F.struct("feature", "value"))).alias("m"))
+
+
+def fit_labels(features: DataFrame, labels: DataFrame, most: int = MOST_PAGES, steps: int = 300) -> PageModel:
+    """Fit a labeller to (book_id, page_no, label), with features (book_id, page_no, feature,
+    value), those of neighbouring pages among them (``context_features``).
+
+    Classes weigh alike however rare. At most ``most`` labelled pages (the first by a hash)
+    and the ``MOST_FEATURES`` most frequent features reach the driver. Without any labelled
+    page there is nothing to learn: ValueError.
+    """
+    chosen = labels.where("label is not null").orderBy(F.xxhash64("book_id", "page_no"), "book_id", "page_no").limit(most)
+    chosen = durable(chosen.select("book_id", "page_no", "label"))
+    own = features.join(chosen.select("book_id", "page_no"), ["book_id", "page_no"], "left_semi").where("value is not null")
+    used = own.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "feature").limit(MOST_FEATURES)
+    names = tuple(sorted(r.feature for r in used.collect()))
+    rows = chosen.join(_by_page(own), ["book_id", "page_no"], "left").select("label", "m").toPandas()
+    if not len(rows):
+        raise ValueError("no labelled page")
+    x = _dense(rows["m"], names)
+    means, deviations = x.mean(axis=0), x.std(axis=0)
+    deviations[deviations == 0] = 1.0
+    x = np.concatenate(((x - means) / deviations, np.ones((len(x), 1))), axis=1)
+    classes = tuple(sorted(set(rows["label"])))
+    at = np.array([classes.index(v) for v in rows["label"]])
+    truth = np.eye(len(classes))[at]
+    weight = (1 / np.bincount(at, minlength=len(classes)))[at, None] / len(classes)
+    w, speed = np.zeros((len(classes), x.shape[1])), np.zeros((len(classes), x.shape[1]))
+    for _ in range(steps):
+        slope = ((_softmax(x @ w.T) - truth) * weight).T @ x + PULL * w
+        speed = 0.9 * speed - 0.5 * slope
+        w += speed
+    return PageModel(classes, names, means, deviations, w)
+
+
+def _dense(maps: pd.Series, names: tuple[str, ...]) -> np.ndarray:
+    at = {n: i for i, n in enumerate(names)}
+    out = np.zeros((len(maps), len(names)))
+    for row, m in enumerate(maps):
+        for name, value in m.items() if isinstance(m, dict) else m if m is not None else ():
+            if name in at:
+                out[row, at[name]] = value
+    return out
+
+
+def _softmax(x: np.ndarray) -> np.ndarray:
+    e = np.exp(x - x.max(axis=1, keepdims=True))
+    return e / e.sum(axis=1, keepdims=True)
+
+
+def model_labels(features: DataFrame, model: PageModel) -> DataFrame:
+    """(book_id, page_no, label, confidence) of every page that has features, page by page."""
+    sent = features.sparkSession.sparkContext.broadcast(model)
+
+    def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        m = sent.value
+        for pdf in batches:
+            x = (_dense(pdf["m"], m.features) - m.means) / m.deviations
+            p = _softmax(np.concatenate((x, np.ones((len(x), 1))), axis=1) @ m.weights.T)
+            best = p.argmax(axis=1)
+            yield pd.DataFrame({"book_id": pdf["book_id"].astype(object), "page_no": pdf["page_no"], "label": pd.Series([m.classes[i] for i in best], dtype=object), "confidence": p[np.arange(len(p)), best]})
+
+    return _by_page(features.where("value is not null")).mapInPandas(label, "book_id string, page_no int, label string, confidence double")
+
+
+def segment_volumes(pages: DataFrame, model: PageModel | None = None) -> DataFrame:
+    """Labels and sections of whole volumes, by a trained model or else by rule."""
+    labels = rule_labels(pages) if model is None else model_labels(context_features(long_features(pages)), model).drop("confidence")
+    return sections(labels)

@@ -9,7 +9,7 @@ from quire.functions import text as tx
 from quire.operators import page_features as pf
 from quire.operators import segmentation as sg
 from quire.operators import volumes as vo
-from quire.runtime import table
+from quire.runtime import durable, table
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,6 +146,14 @@ def page_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sg.rule_labels(_pages(spark, sf_dir))
 
 
+def model_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of a model fitted to the delivered tags; a page without tag counts as content."""
+    tags = table(spark, sf_dir, "page").where("book_id is not null and page_no is not null").groupBy("book_id", "page_no").agg(F.min_by("bamman_tag", "page_id").alias("tag"))
+    features = durable(pf.context_features(pf.long_features(_pages(spark, sf_dir))))
+    model = sg.fit_labels(features, tags.select("book_id", "page_no", F.coalesce("tag", F.lit("content")).alias("label")))
+    return sg.model_labels(features, model).withColumn("confidence", F.round("confidence", 3))
+
+
 def label_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of the labels as delivered (``lang`` stands for a label that changes)."""
     labels = table(spark, sf_dir, "page").where("book_id is not null and page_no is not null").groupBy("book_id", "page_no").agg(F.min_by("lang", "page_id").alias("label"))
@@ -162,7 +170,7 @@ QUERIES = {
         clean_lines, similar_lines, running_lines, page_number_runs, page_structure, strip_unlettered, strip_numerals, majority_headings,
         strip_usual, clean_edges, dehyphenate, reparagraph, position_features, word_features, alphabetical, rising_numbers, roman_numerals,
         letter_features, page_sequence, offset_votes, text_tiling, ngram_counts, context_features, feature_vectors, adjacent_similarity,
-        page_labels, label_runs, volume_sections,
+        page_labels, model_labels, label_runs, volume_sections,
     )
 }
 
