@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import fsum
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,14 +16,15 @@ def source_sizes(docs: DataFrame, targets: DataFrame) -> DataFrame:
 
     Size of a text is its number of UTF-8 bytes (ByT5 tokens); null text is 0.
     A source listed twice counts once (largest share, largest cap); a listed
-    source without documents has size 0; a null source matches nothing.
+    source without documents has size 0; a null source matches nothing; a share
+    or cap that is nowhere given stays null.
     """
     listed = (
         targets.where(F.col("source").isNotNull())
         .groupBy("source")
         .agg(
-            F.max(F.coalesce("target_share", F.lit(0.0))).alias("target_share"),
-            F.max(F.coalesce("max_repeats", F.lit(1))).cast("int").alias("max_repeats"),
+            F.max("target_share").alias("target_share"),
+            F.max("max_repeats").cast("int").alias("max_repeats"),
         )
     )
     sizes = (
@@ -43,31 +46,37 @@ def _fill(frame: pd.DataFrame, budget: float | None) -> pd.DataFrame:
     """Water-filling over one row per source.
 
     Round 1 gives every source its share of the budget; whoever would exceed
-    ``max_repeats`` times its size is clamped there and the excess goes to the
-    rest in proportion to their shares, until nobody exceeds its cap.
-    ``clamped_round`` is the round in which a source was clamped (null: never).
+    ``max_repeats`` times its size is clamped there. What is left of the budget
+    (by clamps, or because the shares sum to less than 1) goes to the rest in
+    proportion to their shares, until nobody exceeds its cap: the level, that is
+    size per share, only rises. ``clamped_round`` is the round in which a source
+    was clamped (null: never). A source without share gets null; one without cap
+    is never clamped and, as in the SQL, gets its share of the level on top of
+    the budget.
     """
     out = frame.sort_values("source").reset_index(drop=True)
-    cap = out["max_repeats"].to_numpy("float64") * out["size"].to_numpy("float64")
+    out["max_repeats"] = out["max_repeats"].astype("Int32")
+    cap = out["max_repeats"].to_numpy("float64", na_value=float("nan")) * out["size"].to_numpy("float64")
     share = out["target_share"].to_numpy("float64")
     total = float(out["size"].sum()) if budget is None else float(budget)
     given = pd.Series(0.0, index=out.index)
     round_of = pd.Series(pd.NA, index=out.index, dtype="Int32")
-    open_, left, number = list(out.index), total, 0
+    open_ = [i for i in out.index if not pd.isna(share[i]) and not pd.isna(cap[i])]
+    level, left, number = total, total, 0
     while open_:
         number += 1
-        weight = sum(share[i] for i in open_)
-        # in the first round the shares are taken as given, even if they don't sum to 1
-        scale = total if number == 1 else (left / weight if weight > 0 else 0.0)
-        over = [i for i in open_ if share[i] * scale > cap[i]]
-        if not over:
-            for i in open_:
-                given[i] = share[i] * scale
-            break
+        over = [i for i in open_ if share[i] * level > cap[i]]
         for i in over:
             given[i], round_of[i] = cap[i], number
             left -= cap[i]
         open_ = [i for i in open_ if i not in set(over)]
+        weight = fsum(share[i] for i in open_)
+        raised = left / weight if weight > 0 else level
+        if not over and raised <= level:
+            break
+        level = max(level, raised)
+    for i in out.index[round_of.isna()]:
+        given[i] = share[i] * level
     size = out["size"].to_numpy("float64")
     out["granted"] = given.astype("float64")
     out["epochs"] = [g / s if s > 0 else 0.0 for g, s in zip(given, size)]
@@ -110,7 +119,7 @@ def sample_mix(docs: DataFrame, plan: DataFrame, seed: int = 17, key: str = "doc
         F.xxhash64(F.lit(seed), F.col(key), F.col("source")).alias("_hash"),
     )
     sized = sized.withColumn("_bucket", F.pmod("_hash", F.lit(_BUCKETS)).cast("int"))
-    quota = plan.select(
+    quota = plan.where("epochs > 0").select(
         "source",
         F.floor("epochs").cast("int").alias("_whole"),
         ((F.col("epochs") - F.floor("epochs")) * F.col("size")).alias("_part"),

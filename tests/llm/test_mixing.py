@@ -51,3 +51,40 @@ def test_empty_tables(spark):
     plan = mixing.water_fill(mixing.source_sizes(docs.limit(0), targets))
     assert {r.granted for r in plan.collect()} == {0.0}
     assert mixing.mix_report(plan, mixing.sample_mix(docs.limit(0), plan)).count() == 3
+
+
+def fill(spark, targets, budget=None):
+    docs, _ = make(spark)
+    sizes = mixing.source_sizes(docs, spark.createDataFrame(targets, TARGETS))
+    plan = mixing.water_fill(sizes, budget)
+    return docs, plan, {r.source: r for r in plan.collect()}
+
+
+def test_what_the_shares_leave_is_given_out_when_nobody_is_clamped(spark):
+    docs, plan, rows = fill(spark, [("big", 0.48, 2), ("small", 0.02, 3)])
+    assert {k: r.clamped_round for k, r in rows.items()} == {"big": None, "small": None}
+    assert rows["big"].granted == pytest.approx(0.96 * 10_200)
+    assert rows["small"].granted == pytest.approx(0.04 * 10_200)
+    # the second round can clamp, too
+    docs, plan, rows = fill(spark, [("big", 0.45, 2), ("small", 0.05, 3)])
+    assert (rows["small"].granted, rows["small"].clamped_round) == (600, 2)
+    assert rows["big"].granted == pytest.approx(9_600)
+    assert mixing.unreachable(plan).count() == 0
+
+
+def test_a_clamp_takes_nothing_from_the_others(spark):
+    docs, plan, rows = fill(spark, [("big", 1.5, 2), ("small", 0.5, 1)])
+    assert (rows["small"].granted, rows["small"].clamped_round) == (200, 1)
+    assert rows["big"].granted == pytest.approx(1.5 * 10_200)
+
+
+def test_missing_share_or_cap_is_not_made_up(spark):
+    docs, plan, rows = fill(spark, [("big", 0.5, 2), ("small", 0.5, None)])
+    assert rows["small"].max_repeats is None and rows["small"].clamped_round is None
+    assert mixing.unreachable(plan).count() == 0
+    docs, plan, rows = fill(spark, [("big", 1.0, 2), ("small", None, 3)])
+    assert rows["small"].target_share is None and rows["small"].granted is None
+    assert rows["big"].granted == 10_200
+    mix = mixing.sample_mix(docs, plan)
+    assert {r.source for r in mix.select("source").distinct().collect()} == {"big"}
+    assert {r.source: r.used_size for r in mixing.mix_report(plan, mix).collect()} == {"big": 10_200, "small": 0}
